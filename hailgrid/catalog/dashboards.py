@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hailgrid.catalog.allocation import ALLOC_SIMPLE, SLOT_PREDICTIONS, simple
-from hailgrid.catalog.inputs import PARAMS, SHIFT, all_zones, dense, features, slot_predictions, trips, week_tables
+from hailgrid.catalog.inputs import PARAMS, SHIFT, all_zones, dense, features, slot_predictions, stored_features, trips, week_tables
 from hailgrid.catalog.registry import query
 from hailgrid.catalog.sql import TRAIN_END, center, day_number, with_tables
 from hailgrid.operators import accuracy, demand, reshape, zone_hours
@@ -191,7 +191,7 @@ FROM (SELECT e, min(e) OVER () AS lo, max(e) OVER () AS hi
     ),
 )
 def error_histogram(spark, sf):
-    _, test = split_by_date(features(spark, sf), PARAMS.train_end)
+    _, test = split_by_date(stored_features(spark, sf), PARAMS.train_end)
     errors = test.select((F.col("hist_mean") - F.col("demand")).alias("error"))
     return accuracy.error_histogram(errors, 30)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from hailgrid.catalog.inputs import PARAMS, dense, features, trips, week_tables
+from hailgrid.catalog.inputs import PARAMS, dense, features, stored_features, trips, week_tables
 from hailgrid.catalog.registry import query
 from hailgrid.catalog.sql import TRAIN_END, day_number, with_tables
 from hailgrid.operators import accuracy, zone_hours
@@ -29,9 +29,8 @@ TEST_SQL = f"test AS MATERIALIZED (SELECT * FROM features WHERE date >= {TRAIN_E
 
 
 def _held_out(spark, sf):
-    """Features stored once, the model fitted on the train dates, the test dates scored."""
-    store = ResultStore(spark, shared_folder(spark, "forecast"))
-    train, test = split_by_date(store.write(features(spark, sf), "features"), PARAMS.train_end)
+    """The model fitted on the train dates of the stored features, the test dates scored."""
+    train, test = split_by_date(stored_features(spark, sf), PARAMS.train_end)
     return forecasting.held_out_predictions(forecasting.train_boosted(train, QUICK), test)
 
 
@@ -56,7 +55,8 @@ def hash_split(spark, sf):
 
 @query("rf_slot_forecast")
 def rf_slot_forecast(spark, sf):
-    return forecasting.slot_forecast(trips(spark, sf), trees=10)
+    store = ResultStore(spark, shared_folder(spark, "slots"))
+    return forecasting.slot_forecast(store.write(slot_demand(trips(spark, sf)), "slot_demand"), trees=10)
 
 
 @query("gbt_forecast")
@@ -112,7 +112,9 @@ def typical_grid(spark, sf):
 def pred_grid(spark, sf):
     """Fit, save, load, and score every zone and weekly slot."""
     week = week_tables(spark, sf)
-    train, _ = split_by_date(zone_hours.feature_table(week.data), PARAMS.train_end)
+    data = zone_hours.with_hist_mean(zone_hours.with_weekly_lag(week.data), PARAMS.train_end)
+    features = week.store.write(zone_hours.feature_table(data), "features")
+    train, _ = split_by_date(features, PARAMS.train_end)
     path = week.store.path(MODEL_PATH)
     forecasting.train_boosted(train, QUICK).write().overwrite().save(path)
     return forecasting.predict_grid(PipelineModel.load(path), week.hist)

@@ -56,6 +56,11 @@ def features(spark: SparkSession, sf: str) -> DataFrame:
     return zone_hours.feature_table(zone_hour_data(clean(spark, sf), zones(spark, sf), PARAMS))
 
 
+def stored_features(spark: SparkSession, sf: str) -> DataFrame:
+    """The features as a table, for queries that read them more than once."""
+    return ResultStore(spark, shared_folder(spark, "features")).write(features(spark, sf), "features")
+
+
 def slot_predictions(spark: SparkSession, sf: str) -> DataFrame:
     """Slot totals with the mean of the hour over all weekdays as a reproducible prediction."""
     same_hour = Window.partitionBy("pickup_hour")
@@ -84,7 +89,8 @@ def week_tables(spark: SparkSession, sf: str) -> WeekTables:
     store = ResultStore(spark, shared_folder(spark, "week"))
     cleaned = clean(spark, sf)
     top = store.write(top_zones(cleaned, PARAMS), "zones_and_span")
-    data = store.write(zone_hour_data(cleaned, top, PARAMS, zones_are_stored=True), "zone_hours")
+    filled = zone_hours.dense_demand(cleaned, top, PARAMS, zones_are_stored=True)
+    data = store.write(zone_hours.with_zone_calendar(filled), "zone_hours")
     hist = zone_hours.hist_mean(data, PARAMS.train_end)
     # The historical mean stands in for the model, so that SQL can follow.
     typical = F.round("hist_mean", 2)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from hailgrid.catalog.inputs import PARAMS, clean, dense, features, zones
+from hailgrid.catalog.inputs import PARAMS, clean, dense, features, stored_features, zones
 from hailgrid.catalog.registry import query
 from hailgrid.catalog.sql import TRAIN_END, with_tables
 from hailgrid.operators import demand, zone_hours
@@ -80,7 +80,7 @@ def time_split(spark, sf):
         sums = rows.groupBy("zone_id", "date").agg(F.count("*").alias("rows"), F.sum("demand").alias("demand"))
         return sums.select(F.lit(side).alias("side"), "zone_id", "date", "rows", "demand")
 
-    train, test = split_by_date(features(spark, sf), PARAMS.train_end)
+    train, test = split_by_date(stored_features(spark, sf), PARAMS.train_end)
     return per_day(train, "train").unionByName(per_day(test, "test"))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from hailgrid.functions.clock import day_name, hour_floor
 from hailgrid.functions.geo import zone_id, zone_lat, zone_lon
 from hailgrid.operators.filters import pickup_in_box
-from hailgrid.operators.sizes import broadcast_within
+from hailgrid.operators.sizes import fits_broadcast
 from hailgrid.params import GridSpec, RideParams
 
 
@@ -100,21 +100,28 @@ def top_zones(clean: DataFrame, params: RideParams) -> DataFrame:
     )
 
 
+def _modelled_counts(ends: DataFrame, zones: DataFrame, params: RideParams, into: str) -> DataFrame:
+    """Rows of ``ends`` (zone_id, ts) per modelled zone and hour.
+
+    A zone table that fits a broadcast filters the rows before they are
+    grouped. A larger one filters the groups: joining the rows themselves would
+    shuffle them all, a hot zone's to one task.
+    """
+    kept = zones.select("zone_id")
+    early = fits_broadcast(params.max_zones)
+    if early:
+        ends = ends.join(F.broadcast(kept), "zone_id", "left_semi")
+    counts = ends.groupBy("zone_id", "ts").agg(F.count("*").alias(into))
+    return counts if early else counts.join(kept, "zone_id", "left_semi")
+
+
 def zone_hour_pickups(clean: DataFrame, zones: DataFrame, params: RideParams) -> DataFrame:
     """Pickups per modelled zone and hour; hours without any have no row."""
-    kept = broadcast_within(zones.select("zone_id"), params.max_zones)
-    return (
-        clean.join(kept, "zone_id", "left_semi")
-        .groupBy("zone_id", hour_floor(F.col("pickup_ts")).alias("ts"))
-        .agg(F.count("*").alias("demand"))
-    )
+    ends = clean.select("zone_id", hour_floor(F.col("pickup_ts")).alias("ts"))
+    return _modelled_counts(ends, zones, params, "demand")
 
 
 def zone_hour_dropoffs(clean: DataFrame, zones: DataFrame, params: RideParams) -> DataFrame:
     """Drop-offs per modelled zone and hour: drivers who just became free there."""
-    kept = zones.select("zone_id").withColumnRenamed("zone_id", "drop_zone_id")
-    return (
-        clean.join(broadcast_within(kept, params.max_zones), "drop_zone_id", "left_semi")
-        .groupBy(F.col("drop_zone_id").alias("zone_id"), hour_floor(F.col("dropoff_ts")).alias("ts"))
-        .agg(F.count("*").alias("dropoffs"))
-    )
+    ends = clean.select("drop_zone_id", hour_floor(F.col("dropoff_ts")).alias("ts"))
+    return _modelled_counts(ends.withColumnRenamed("drop_zone_id", "zone_id"), zones, params, "dropoffs")

@@ -6,57 +6,61 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from hailgrid.functions.geo import cell_distance_squared, degree_km_between, km_between
 from hailgrid.functions.number import non_negative
 from hailgrid.operators.balance import SLOT_KEYS
+from hailgrid.operators.sizes import shuffle_partitions
 from hailgrid.params import GridSpec
 
 
-def _fill_wants(keys: list[str], largest_first: bool) -> Callable[[pd.DataFrame], pd.DataFrame]:
+def _fill_wants(largest_first: bool) -> Callable[[pd.DataFrame], pd.DataFrame]:
     """Serve each wanting zone of one group from its nearest giving zones.
 
     What one zone takes is gone for the next, so the order matters and the
     loop over wanting zones cannot be a join. Distances are whole cells.
     """
-    order = ["wants", "zone_id"] if largest_first else ["zone_id"]
 
     def fill(group: pd.DataFrame) -> pd.DataFrame:
-        givers = group[group.wants < 0].sort_values("zone_id")
-        takers = group[group.wants > 0].sort_values(order, ascending=[name != "wants" for name in order])
-        left = -givers.wants.to_numpy()
-        parts = []
-        for taker in takers.itertuples():
-            distance = (givers.zone_x - taker.zone_x) ** 2 + (givers.zone_y - taker.zone_y) ** 2
-            near = np.argsort(distance.to_numpy(), kind="stable")
+        group = group.sort_values("zone_id")
+        zone, x, y, wants = (group[name].to_numpy() for name in ("zone_id", "zone_x", "zone_y", "wants"))
+        givers = np.flatnonzero(wants < 0)
+        takers = np.flatnonzero(wants > 0)
+        if largest_first:
+            takers = takers[np.argsort(-wants[takers], kind="stable")]
+        left = -wants[givers]
+        source, target, drivers = [], [], []
+        for taker in takers:
+            distance = (x[givers] - x[taker]) ** 2 + (y[givers] - y[taker]) ** 2
+            near = np.argsort(distance, kind="stable")
             offered = left[near]
-            taken = np.clip(taker.wants - (np.cumsum(offered) - offered), 0, offered)
+            taken = np.clip(wants[taker] - (np.cumsum(offered) - offered), 0, offered)
             left[near] -= taken
-            used = taken > 0
-            parts.append(
-                pd.DataFrame(
-                    {
-                        "from_zone": givers.zone_id.to_numpy()[near][used],
-                        "to_zone": taker.zone_id,
-                        "drivers": taken[used],
-                    }
-                )
-            )
-        moves = pd.concat(parts) if parts else pd.DataFrame(columns=["from_zone", "to_zone", "drivers"])
+            used = near[taken > 0]
+            source.extend(zone[givers[used]])
+            target.extend([zone[taker]] * len(used))
+            drivers.extend(taken[taken > 0])
+        moves = pd.DataFrame({"from_zone": source, "to_zone": target, "drivers": drivers}, dtype="int64")
+        keys = group.columns.difference(["zone_id", "zone_x", "zone_y", "wants"])
         return moves.assign(**{key: group[key].iloc[0] for key in keys})
 
     return fill
 
 
-def _moves(zones: DataFrame, wants, keys: list[str], largest_first: bool) -> DataFrame:
-    """One task per group of keys. A group holds the zones of one slot, bounded by the grid."""
+def _moves(zones: DataFrame, wants: Column, keys: list[str], largest_first: bool) -> DataFrame:
+    """One call per group of keys; a group holds the zones of one slot, bounded by the grid.
+
+    The explicit partition count keeps adaptive execution from merging the
+    groups, small in bytes but not in work, into one task.
+    """
     open_zones = zones.select(
         *keys, "zone_id", "zone_x", "zone_y", wants.cast("long").alias("wants")
     ).filter("wants <> 0")
     fields = [f"{key} {open_zones.schema[key].dataType.simpleString()}" for key in keys]
     schema = ", ".join(["from_zone long", "to_zone long", "drivers long", *fields])
-    return open_zones.groupBy(*keys).applyInPandas(_fill_wants(keys, largest_first), schema)
+    spread = open_zones.repartition(shuffle_partitions(zones), *keys)
+    return spread.groupBy(*keys).applyInPandas(_fill_wants(largest_first), schema)
 
 
 def rebalancing_moves(allocated: DataFrame, grid: GridSpec, keys: list[str] | None = None) -> DataFrame:

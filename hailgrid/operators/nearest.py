@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from hailgrid.functions.geo import squared, zone_id
-from hailgrid.operators.sizes import MAX_BROADCAST_ROWS, broadcast_within
-from hailgrid.params import RideParams
+from hailgrid.functions.geo import in_box, squared, zone_id, zone_x, zone_y
+from hailgrid.operators.sizes import broadcast_within, fits_broadcast
+from hailgrid.params import ZONE_STRIDE, RideParams
 
 
 def unmodelled_points(points: DataFrame, zones: DataFrame, params: RideParams) -> DataFrame:
@@ -15,30 +15,68 @@ def unmodelled_points(points: DataFrame, zones: DataFrame, params: RideParams) -
     return own.join(broadcast_within(zones.select("zone_id"), params.max_zones), "zone_id", "left_anti")
 
 
+def cell_candidates(zones: DataFrame, params: RideParams) -> DataFrame:
+    """For every grid cell, the zones that can be nearest to some point of the cell.
+
+    A zone drops out if even its smallest distance to the cell exceeds another
+    zone's largest one. Distances are in half cells, hence exact integers.
+    """
+    grid = params.grid
+    centres = _centres(zones)
+    cells = zones.sparkSession.range(grid.n_cells).select(
+        (F.floor(F.col("id") / grid.n_y) * ZONE_STRIDE + F.col("id") % grid.n_y).alias("cell"),
+        centres.alias("centres"),
+    )
+
+    def apart(axis, centre) -> Column:
+        return F.abs(axis(centre.zone_id) - axis(F.col("cell"))) * 2
+
+    def farthest(centre) -> Column:
+        return squared(apart(zone_x, centre) + 1) + squared(apart(zone_y, centre) + 1)
+
+    def closest(centre) -> Column:
+        none = F.lit(0)
+        return squared(F.greatest(apart(zone_x, centre) - 1, none)) + squared(
+            F.greatest(apart(zone_y, centre) - 1, none)
+        )
+
+    reach = F.array_min(F.transform("centres", farthest))
+    return cells.withColumn("reach", reach).select(
+        "cell", F.filter("centres", lambda centre: closest(centre) <= F.col("reach")).alias("candidates")
+    )
+
+
+def _centres(zones: DataFrame) -> Column:
+    return zones.agg(F.sort_array(F.collect_list(F.struct("zone_id", "lon", "lat")))).scalar()
+
+
 def nearest_zone(points: DataFrame, zones: DataFrame, params: RideParams) -> DataFrame:
     """The modelled zone of every point: its own cell, else the zone with the nearest centre.
 
-    The zone centres reach every task as one array from a scalar subquery, so
-    there is no join and a point never turns into one row per zone. Equal
-    distances go to the smaller zone id.
+    Each point looks its cell up in a broadcast table with one row per grid
+    cell and compares the few zones listed there, so no point is ever paired
+    with all zones. Only a point outside the box goes through all of them.
+    Equal distances go to the smaller zone id.
     """
-    if params.max_zones > MAX_BROADCAST_ROWS:
-        raise ValueError(f"{params.max_zones} zones are too many to hold in one array")
-    centres = zones.agg(F.collect_list(F.struct("zone_id", "lon", "lat"))).scalar()
-    nearest = F.array_min(
-        F.transform(
-            "centres",
-            lambda centre: F.struct(
-                (squared(centre.lon - F.col("lon")) + squared(centre.lat - F.col("lat"))).alias("d2"),
-                centre.zone_id.alias("zone_id"),
-            ),
-        )
+    grid = params.grid
+    if not fits_broadcast(grid.n_cells):
+        raise ValueError(f"a grid of {grid.n_cells} cells is too fine for a broadcast cell table")
+    lon, lat = F.col("lon"), F.col("lat")
+    inside = in_box(lon, lat, grid)
+    listed = F.broadcast(cell_candidates(zones, params))
+    own = points.withColumn("cell", F.when(inside, zone_id(lon, lat, grid)))
+    choices = own.join(listed, "cell", "left").withColumn(
+        "candidates", F.coalesce("candidates", _centres(zones))
     )
-    own = zone_id(F.col("lon"), F.col("lat"), params.grid)
-    is_modelled = F.exists("centres", lambda centre: centre.zone_id == F.col("own_zone"))
+
+    def offer(centre) -> Column:
+        distance = squared(centre.lon - lon) + squared(centre.lat - lat)
+        return F.struct(distance.alias("d2"), centre.zone_id.alias("zone_id"))
+
+    modelled = F.exists("candidates", lambda centre: centre.zone_id == F.col("cell"))
+    nearest = F.array_min(F.transform("candidates", offer)).zone_id
     return (
-        points.withColumns({"own_zone": own, "centres": centres})
-        .withColumn("modelled", is_modelled)
-        .withColumn("zone_id", F.when(F.col("modelled"), F.col("own_zone")).otherwise(nearest.zone_id))
-        .drop("centres", "own_zone")
+        choices.withColumn("modelled", F.coalesce(modelled, F.lit(False)))
+        .withColumn("zone_id", F.when(F.col("modelled"), F.col("cell")).otherwise(nearest))
+        .drop("cell", "candidates")
     )

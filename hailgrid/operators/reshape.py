@@ -49,10 +49,11 @@ def zone_map(zones: DataFrame, grid: GridSpec) -> DataFrame:
 def with_demand_level(zones: DataFrame, lower: float = 0.33, upper: float = 0.66) -> DataFrame:
     """Low up to the lower quantile of trips, Medium up to the upper one, High above.
 
-    The exact quantiles are taken over the zone table, at most one row per grid
-    cell, and reach the rows through a scalar subquery.
+    The exact quantiles are taken in a window over the zone table, at most one
+    row per grid cell, so the trips behind it are not read again.
     """
-    cuts = zones.agg(F.percentile("total_trips", F.array(F.lit(lower), F.lit(upper)))).scalar()
-    trips = F.col("total_trips")
-    level = F.when(trips <= cuts[0], "Low").when(trips <= cuts[1], "Medium").otherwise("High")
-    return zones.withColumn("demand_level", level)
+    everywhere = Window.partitionBy(F.lit(0))
+    cuts = F.percentile("total_trips", F.array(F.lit(lower), F.lit(upper))).over(everywhere)
+    trips, cut = F.col("total_trips"), F.col("_cuts")
+    level = F.when(trips <= cut[0], "Low").when(trips <= cut[1], "Medium").otherwise("High")
+    return zones.withColumn("_cuts", cuts).withColumn("demand_level", level).drop("_cuts")

@@ -8,10 +8,19 @@ from pyspark.sql import DataFrame, functions as F
 MAX_BROADCAST_ROWS = 1_000_000
 
 
+def fits_broadcast(max_rows: int) -> bool:
+    return max_rows <= MAX_BROADCAST_ROWS
+
+
 def broadcast_within(df: DataFrame, max_rows: int) -> DataFrame:
     """Hint a broadcast only if ``max_rows``, a proven upper bound, is small.
 
     Beyond it Spark plans a shuffled join, which adaptive execution can still
     turn into a broadcast or split where a key is hot.
     """
-    return F.broadcast(df) if max_rows <= MAX_BROADCAST_ROWS else df
+    return F.broadcast(df) if fits_broadcast(max_rows) else df
+
+
+def shuffle_partitions(df: DataFrame) -> int:
+    """The session's shuffle width, for the few places that must fix a partition count."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

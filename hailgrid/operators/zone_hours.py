@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from hailgrid.functions.clock import HOURS_PER_WEEK, hour_floor, with_calendar
 from hailgrid.functions.geo import zone_x, zone_y
 from hailgrid.operators.filters import before_date
-from hailgrid.operators.sizes import broadcast_within
+from hailgrid.operators.sizes import fits_broadcast, shuffle_partitions
 from hailgrid.params import RideParams
 
 SLOT = ["zone_id", "dow", "hour"]
@@ -45,8 +45,7 @@ def dense_demand(
     """
     none = F.lit(0).cast("long")
     one = F.lit(1).cast("long")
-    shuffles = int(zones.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    grid = zones.repartition(min(shuffles, params.max_zones), "zone_id").select(
+    grid = zones.repartition(min(shuffle_partitions(zones), params.max_zones), "zone_id").select(
         "zone_id",
         _hours(F.col("first_hour"), F.col("last_hour")),
         none.alias("demand"),
@@ -66,8 +65,8 @@ def dense_demand(
         one.alias("dropoffs"),
     )
     ends = clean.select(F.inline(F.array(pickup, dropoff)))
-    if zones_are_stored:
-        ends = ends.join(broadcast_within(zones.select("zone_id"), params.max_zones), "zone_id", "left_semi")
+    if zones_are_stored and fits_broadcast(params.max_zones):
+        ends = ends.join(F.broadcast(zones.select("zone_id")), "zone_id", "left_semi")
     return (
         grid.unionByName(ends.withColumn("on_grid", F.lit(False)))
         .groupBy("zone_id", "ts")

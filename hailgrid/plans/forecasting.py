@@ -13,7 +13,6 @@ from hailgrid.functions.clock import is_weekend
 from hailgrid.functions.geo import zone_x, zone_y
 from hailgrid.functions.number import non_negative
 from hailgrid.operators.accuracy import compare_models
-from hailgrid.operators.demand import slot_demand
 from hailgrid.operators.filters import hash_split
 from hailgrid.operators.zone_hours import FEATURES
 
@@ -33,9 +32,12 @@ class BoostParams:
     seed: int = 42
 
 
-def slot_forecast(trips: DataFrame, trees: int = 50, seed: int = 42) -> DataFrame:
-    """Random-forest forecast of slot totals from hour and weekday, for the held-out slots."""
-    slots = slot_demand(trips)
+def slot_forecast(slots: DataFrame, trees: int = 50, seed: int = 42) -> DataFrame:
+    """Random-forest forecast of slot totals from hour and weekday, for the held-out slots.
+
+    Fitting reads its input several times, so pass a stored slot table and not
+    a plan over the trips.
+    """
     assembler = VectorAssembler(inputCols=["pickup_hour", "day_of_week"], outputCol="features")
     forest = RandomForestRegressor(featuresCol="features", labelCol="total_trips", numTrees=trees, seed=seed)
     train, test = hash_split(slots, ["pickup_hour", "day_of_week"], 0.8, seed)

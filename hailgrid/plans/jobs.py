@@ -15,7 +15,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hailgrid.operators import balance, zone_hours
-from hailgrid.operators.demand import top_zones
+from hailgrid.operators.demand import slot_demand, top_zones
 from hailgrid.operators.filters import split_by_date
 from hailgrid.params import COARSE_GRID, GridSpec, RideParams
 from hailgrid.plans import forecasting, reports
@@ -36,8 +36,9 @@ def report_stage(store: ResultStore, trips: DataFrame, grid: GridSpec = COARSE_G
 
 
 def slot_forecast_stage(store: ResultStore, trips: DataFrame, trees: int = 50) -> None:
-    """Forecast slot totals, then allocate drivers from the stored forecast."""
-    predictions = store.write_csv(forecasting.slot_forecast(trips, trees), "demand_predictions")
+    """Store the slot totals, forecast them, then allocate drivers from the stored forecast."""
+    slots = store.write(slot_demand(trips), "slot_demand")
+    predictions = store.write_csv(forecasting.slot_forecast(slots, trees), "demand_predictions")
     store.write_csv(balance.simple_allocation(predictions), "driver_allocation")
 
 

@@ -38,17 +38,21 @@ class ResultStore:
     def path(self, name: str) -> str:
         return f"{self.base}/{name}"
 
-    def write(self, df: DataFrame, name: str, date_column: str | None = None) -> DataFrame:
+    def write(
+        self, df: DataFrame, name: str, date_column: str | None = None, in_date_order: bool = False
+    ) -> DataFrame:
         """Overwrite a Parquet table and return it as read back.
 
         A date-partitioned table is rebalanced on the date first: each date
-        then goes to few files, while a date holding much of the data is still
-        spread over several tasks.
+        then goes to few files instead of one per input task, a date holding
+        much of the data is still spread over several tasks, and later
+        groupings by hour combine almost everything before their shuffle.
+        Input that already comes in date order does not need that shuffle.
         """
         if date_column is None:
             df.write.mode("overwrite").parquet(self.path(name))
         else:
-            balanced = df.hint("rebalance", date_column)
+            balanced = df if in_date_order else df.hint("rebalance", date_column)
             balanced.write.mode("overwrite").partitionBy(date_column).parquet(self.path(name))
         return self.read(name)
 
