@@ -48,12 +48,14 @@ def all_zones(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dense(spark: SparkSession, sf: str) -> DataFrame:
-    filled = zone_hours.dense_demand(clean(spark, sf), zones(spark, sf), PARAMS)
+    cleaned = clean(spark, sf)
+    filled = zone_hours.dense_demand(cleaned, top_zones(cleaned, PARAMS), PARAMS)
     return zone_hours.with_zone_calendar(filled)
 
 
 def features(spark: SparkSession, sf: str) -> DataFrame:
-    return zone_hours.feature_table(zone_hour_data(clean(spark, sf), zones(spark, sf), PARAMS))
+    cleaned = clean(spark, sf)
+    return zone_hours.feature_table(zone_hour_data(cleaned, top_zones(cleaned, PARAMS), PARAMS))
 
 
 def stored_features(spark: SparkSession, sf: str) -> DataFrame:

@@ -198,7 +198,7 @@ def time_features(spark, sf):
         dow.alias("dow"),
         clock.day_name(dow).alias("day_name"),
         F.to_date(ts).alias("date"),
-        clock.hour_floor(ts).alias("hour_ts"),
+        clock.hour_floor("pickup_ts").alias("hour_ts"),
         clock.is_weekend(dow).alias("is_weekend"),
         (F.to_date(ts) < F.lit(PARAMS.train_end).cast("date")).alias("is_train"),
     )
@@ -237,7 +237,7 @@ FROM (SELECT id, {PICKUP_ZONE} AS zone_id FROM trips WHERE {in_box('pickup')})""
     ),
 )
 def zone_codec(spark, sf):
-    coded = points(spark, sf).select("id", geo.zone_id(F.col("lon"), F.col("lat"), GRID).alias("zone_id"))
+    coded = points(spark, sf).select("id", geo.zone_id("lon", "lat", GRID).alias("zone_id"))
     zone_col = F.col("zone_id")
     return coded.select(
         "id",

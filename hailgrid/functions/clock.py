@@ -20,8 +20,8 @@ def parse_ts(text: Column) -> Column:
     return text.try_cast("timestamp_ntz")
 
 
-def hour_floor(ts: Column) -> Column:
-    return F.timestamp_add("HOUR", F.hour(ts), F.to_date(ts).cast("timestamp_ntz"))
+def hour_floor(ts: str) -> Column:
+    return F.expr(f"timestampadd(HOUR, hour({ts}), CAST(to_date({ts}) AS TIMESTAMP_NTZ))")
 
 
 def day_name(dow: Column) -> Column:
@@ -55,11 +55,10 @@ def next_slot(dow: Column, hour: Column) -> Column:
 
 def with_calendar(df: DataFrame, ts: str = "ts") -> DataFrame:
     """Add date, hour, dow (1 = Sunday) and is_weekend."""
-    return df.withColumns(
-        {
-            "date": F.to_date(ts),
-            "hour": F.hour(ts),
-            "dow": F.dayofweek(ts),
-            "is_weekend": is_weekend(F.dayofweek(ts)),
-        }
+    return df.selectExpr(
+        "*",
+        f"to_date({ts}) AS date",
+        f"hour({ts}) AS hour",
+        f"dayofweek({ts}) AS dow",
+        f"CAST(dayofweek({ts}) IN (1, 7) AS INT) AS is_weekend",
     )

@@ -12,16 +12,18 @@ KM_PER_DEG_LAT = 111.2
 KM_PER_DEG = 111
 
 
-def in_box(lon: Column, lat: Column, grid: GridSpec) -> Column:
-    return lon.between(F.lit(grid.lon_min), F.lit(grid.lon_max)) & lat.between(
-        F.lit(grid.lat_min), F.lit(grid.lat_max)
+def in_box(lon: str, lat: str, grid: GridSpec) -> Column:
+    """True for points inside the box or on its edge. Null coordinates give null."""
+    return F.expr(
+        f"{lon} BETWEEN {grid.lon_min}D AND {grid.lon_max}D AND {lat} BETWEEN {grid.lat_min}D AND {grid.lat_max}D"
     )
 
 
-def zone_id(lon: Column, lat: Column, grid: GridSpec) -> Column:
-    x = F.floor((lon - F.lit(grid.lon_min)) / F.lit(grid.cell))
-    y = F.floor((lat - F.lit(grid.lat_min)) / F.lit(grid.cell))
-    return x * ZONE_STRIDE + y
+def zone_id(lon: str, lat: str, grid: GridSpec) -> Column:
+    return F.expr(
+        f"floor(({lon} - {grid.lon_min}D) / {grid.cell}D) * {ZONE_STRIDE}L"
+        f" + floor(({lat} - {grid.lat_min}D) / {grid.cell}D)"
+    )
 
 
 def zone_x(zone: Column) -> Column:

@@ -46,7 +46,7 @@ def zone_demand(trips: DataFrame, grid: GridSpec) -> DataFrame:
     """Demand, mean duration and mean passengers per pickup zone, busiest zone first."""
     return (
         trips.filter(pickup_in_box(grid))
-        .groupBy(zone_id(F.col("pickup_longitude"), F.col("pickup_latitude"), grid).alias("zone_id"))
+        .groupBy(zone_id("pickup_longitude", "pickup_latitude", grid).alias("zone_id"))
         .agg(
             F.count("*").alias("total_trips"),
             F.round(F.avg("trip_duration") / 60, 2).alias("avg_trip_duration_minutes"),
@@ -80,12 +80,8 @@ def top_zones(clean: DataFrame, params: RideParams) -> DataFrame:
         F.max("pickup_ts").alias("last_pickup"),
     )
     return (
-        per_zone.withColumns(
-            {
-                "first_hour": hour_floor(F.min("first_pickup").over(everywhere)),
-                "last_hour": hour_floor(F.max("last_pickup").over(everywhere)),
-            }
-        )
+        per_zone.withColumn("first_hour", F.min(hour_floor("first_pickup")).over(everywhere))
+        .withColumn("last_hour", F.max(hour_floor("last_pickup")).over(everywhere))
         .orderBy(F.desc("total_trips"), "zone_id")
         .limit(params.top_zones)
         .select(
@@ -117,11 +113,11 @@ def _modelled_counts(ends: DataFrame, zones: DataFrame, params: RideParams, into
 
 def zone_hour_pickups(clean: DataFrame, zones: DataFrame, params: RideParams) -> DataFrame:
     """Pickups per modelled zone and hour; hours without any have no row."""
-    ends = clean.select("zone_id", hour_floor(F.col("pickup_ts")).alias("ts"))
+    ends = clean.select("zone_id", hour_floor("pickup_ts").alias("ts"))
     return _modelled_counts(ends, zones, params, "demand")
 
 
 def zone_hour_dropoffs(clean: DataFrame, zones: DataFrame, params: RideParams) -> DataFrame:
     """Drop-offs per modelled zone and hour: drivers who just became free there."""
-    ends = clean.select("drop_zone_id", hour_floor(F.col("dropoff_ts")).alias("ts"))
+    ends = clean.select("drop_zone_id", hour_floor("dropoff_ts").alias("ts"))
     return _modelled_counts(ends.withColumnRenamed("drop_zone_id", "zone_id"), zones, params, "dropoffs")

@@ -9,23 +9,20 @@ from hailgrid.params import GridSpec, RideParams
 
 
 def pickup_in_box(grid: GridSpec) -> Column:
-    return in_box(F.col("pickup_longitude"), F.col("pickup_latitude"), grid)
+    return in_box("pickup_longitude", "pickup_latitude", grid)
 
 
 def dropoff_in_box(grid: GridSpec) -> Column:
-    return in_box(F.col("dropoff_longitude"), F.col("dropoff_latitude"), grid)
+    return in_box("dropoff_longitude", "dropoff_latitude", grid)
 
 
 def is_valid_trip(params: RideParams) -> Column:
     """Both ends in the box, a plausible duration, passengers, and timestamps that parsed."""
-    return (
-        pickup_in_box(params.grid)
-        & dropoff_in_box(params.grid)
-        & F.col("trip_duration").between(params.min_seconds, params.max_seconds)
-        & (F.col("passenger_count") > 0)
-        & F.col("pickup_ts").isNotNull()
-        & F.col("dropoff_ts").isNotNull()
+    plausible = F.expr(
+        f"trip_duration BETWEEN {params.min_seconds} AND {params.max_seconds} AND passenger_count > 0 "
+        "AND pickup_ts IS NOT NULL AND dropoff_ts IS NOT NULL"
     )
+    return pickup_in_box(params.grid) & dropoff_in_box(params.grid) & plausible
 
 
 def quality_counts(df: DataFrame, valid: Column) -> DataFrame:

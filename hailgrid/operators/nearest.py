@@ -11,7 +11,7 @@ from hailgrid.params import ZONE_STRIDE, RideParams
 
 def unmodelled_points(points: DataFrame, zones: DataFrame, params: RideParams) -> DataFrame:
     """Points (lon, lat) whose own cell is not a modelled zone."""
-    own = points.withColumn("zone_id", zone_id(F.col("lon"), F.col("lat"), params.grid))
+    own = points.withColumn("zone_id", zone_id("lon", "lat", params.grid))
     return own.join(broadcast_within(zones.select("zone_id"), params.max_zones), "zone_id", "left_anti")
 
 
@@ -62,9 +62,8 @@ def nearest_zone(points: DataFrame, zones: DataFrame, params: RideParams) -> Dat
     if not fits_broadcast(grid.n_cells):
         raise ValueError(f"a grid of {grid.n_cells} cells is too fine for a broadcast cell table")
     lon, lat = F.col("lon"), F.col("lat")
-    inside = in_box(lon, lat, grid)
     listed = F.broadcast(cell_candidates(zones, params))
-    own = points.withColumn("cell", F.when(inside, zone_id(lon, lat, grid)))
+    own = points.withColumn("cell", F.when(in_box("lon", "lat", grid), zone_id("lon", "lat", grid)))
     choices = own.join(listed, "cell", "left").withColumn(
         "candidates", F.coalesce("candidates", _centres(zones))
     )

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import IntegralType
 
-from hailgrid.functions.number import whole_quotient
-
 WEIGHT_SCALE = 1_000_000
 
 
@@ -29,26 +27,16 @@ def apportion(
     of ``tie``. A group without positive total or weight gets zeros. The rows of
     a group share one task: a group is one weekly slot, at most one row a zone.
     """
-    group = Window.partitionBy(*keys)
-    by_remainder = group.orderBy(F.desc("_rest"), tie)
-    shared = (F.col(total) > 0) & (F.col("_sum") > 0)
-    product = F.col(total).cast("long") * F.col("_units")
-    divisor = F.when(F.col("_sum") > 0, F.col("_sum"))
+    group = f"PARTITION BY {', '.join(keys)}"
     return (
         df.withColumn("_units", weight_units(df, weight))
-        .withColumn("_sum", F.sum("_units").over(group))
-        .withColumns(
-            {
-                "_base": F.when(shared, whole_quotient(product, divisor)).otherwise(F.lit(0)),
-                "_rest": F.when(shared, product % divisor).otherwise(F.lit(0)),
-            }
-        )
-        .withColumns(
-            {
-                "_left": F.when(shared, F.col(total) - F.sum("_base").over(group)).otherwise(F.lit(0)),
-                "_rank": F.row_number().over(by_remainder),
-            }
+        .selectExpr("*", f"sum(_units) OVER ({group}) AS _sum")
+        .selectExpr("*", f"CASE WHEN {total} > 0 AND _sum > 0 THEN CAST({total} AS BIGINT) * _units END AS _product")
+        .selectExpr("*", "coalesce(_product DIV _sum, 0L) AS _base", "coalesce(_product % _sum, 0L) AS _rest")
+        .selectExpr(
+            "*",
+            f"IF({total} > 0 AND _sum > 0, {total} - sum(_base) OVER ({group}), 0) AS _left",
+            f"row_number() OVER ({group} ORDER BY _rest DESC, {tie}) AS _rank",
         )
-        .withColumn(into, F.col("_base") + (F.col("_rank") <= F.col("_left")).cast("long"))
-        .drop("_units", "_sum", "_base", "_rest", "_left", "_rank")
+        .selectExpr(*df.columns, f"_base + CAST(_rank <= _left AS BIGINT) AS {into}")
     )

@@ -15,17 +15,15 @@ from hailgrid.operators.sizes import fits_broadcast, shuffle_partitions
 from hailgrid.params import RideParams
 
 SLOT = ["zone_id", "dow", "hour"]
+EVERY_HOUR = "explode(sequence(first_hour, last_hour, INTERVAL 1 HOUR)) AS ts"
 FEATURES = ["hour", "dow", "is_weekend", "zone_x", "zone_y", "hist_mean", "lag_168"]
 
 
 def hour_timeline(clean: DataFrame) -> DataFrame:
     """Every hour from the first to the last pickup, busy or not."""
-    span = clean.agg(F.min("pickup_ts").alias("a"), F.max("pickup_ts").alias("b"))
-    return span.select(_hours(hour_floor(F.col("a")), hour_floor(F.col("b"))))
-
-
-def _hours(first, last):
-    return F.explode(F.sequence(first, last, F.expr("INTERVAL 1 HOUR"))).alias("ts")
+    span = clean.agg(F.min("pickup_ts").alias("first"), F.max("pickup_ts").alias("last"))
+    bounds = span.select(hour_floor("first").alias("first_hour"), hour_floor("last").alias("last_hour"))
+    return bounds.selectExpr(EVERY_HOUR)
 
 
 def dense_demand(
@@ -43,28 +41,18 @@ def dense_demand(
     zone table that is still a plan over the trips would be computed a second
     time for that, which costs more than the few partial sums it saves.
     """
-    none = F.lit(0).cast("long")
-    one = F.lit(1).cast("long")
-    grid = zones.repartition(min(shuffle_partitions(zones), params.max_zones), "zone_id").select(
+    spread = zones.repartition(min(shuffle_partitions(zones), params.max_zones), "zone_id")
+    grid = spread.selectExpr("zone_id", EVERY_HOUR, "0L AS demand", "0L AS dropoffs", "true AS on_grid")
+    ends = clean.select(
         "zone_id",
-        _hours(F.col("first_hour"), F.col("last_hour")),
-        none.alias("demand"),
-        none.alias("dropoffs"),
-        F.lit(True).alias("on_grid"),
-    )
-    pickup = F.struct(
-        F.col("zone_id"),
-        hour_floor(F.col("pickup_ts")).alias("ts"),
-        one.alias("demand"),
-        none.alias("dropoffs"),
-    )
-    dropoff = F.struct(
-        F.col("drop_zone_id").alias("zone_id"),
-        hour_floor(F.col("dropoff_ts")).alias("ts"),
-        none.alias("demand"),
-        one.alias("dropoffs"),
+        "drop_zone_id",
+        hour_floor("pickup_ts").alias("pickup_hour"),
+        hour_floor("dropoff_ts").alias("dropoff_hour"),
+    ).selectExpr(
+        """inline(array(
+            struct(zone_id AS zone_id, pickup_hour AS ts, 1L AS demand, 0L AS dropoffs),
+            struct(drop_zone_id AS zone_id, dropoff_hour AS ts, 0L AS demand, 1L AS dropoffs)))"""
     )
-    ends = clean.select(F.inline(F.array(pickup, dropoff)))
     if zones_are_stored and fits_broadcast(params.max_zones):
         ends = ends.join(F.broadcast(zones.select("zone_id")), "zone_id", "left_semi")
     return (

@@ -18,8 +18,8 @@ def clean_trips(trips: DataFrame, params: RideParams) -> DataFrame:
         "dropoff_ts",
         F.to_date("pickup_ts").alias("date"),
         F.hour("pickup_ts").alias("hour"),
-        zone_id(F.col("pickup_longitude"), F.col("pickup_latitude"), grid).alias("zone_id"),
-        zone_id(F.col("dropoff_longitude"), F.col("dropoff_latitude"), grid).alias("drop_zone_id"),
+        zone_id("pickup_longitude", "pickup_latitude", grid).alias("zone_id"),
+        zone_id("dropoff_longitude", "dropoff_latitude", grid).alias("drop_zone_id"),
         "trip_duration",
         "passenger_count",
     )

@@ -54,7 +54,7 @@ class ResultStore:
         else:
             balanced = df if in_date_order else df.hint("rebalance", date_column)
             balanced.write.mode("overwrite").partitionBy(date_column).parquet(self.path(name))
-        return self.read(name)
+        return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def read(self, name: str) -> DataFrame:
         """Read a Parquet table; the declared schema spares the footer scan where there is one."""

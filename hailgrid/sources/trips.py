@@ -57,21 +57,20 @@ def trips_from_events(events: DataFrame) -> DataFrame:
     the same values. Ends lie in and around the default box, denser towards
     its lower corner, and a share of the rows breaks each cleaning rule.
     """
-    event = F.col("event_id")
-    seconds = (F.lit(30) + (event * 37) % 11400).cast("int")
 
-    def coordinate(start: float, factor: int, span: int, groups: int, step: int):
-        offset = ((event * factor) % span) % (step + (event % groups) * step)
-        return F.lit(start) + offset / F.lit(10000.0)
+    def coordinate(start: float, factor: int, span: int, groups: int, step: int) -> str:
+        offset = f"((event_id * {factor}) % {span}) % ({step} + (event_id % {groups}) * {step})"
+        return f"{start}D + {offset} / 10000D"
 
-    return events.select(
-        event.alias("id"),
-        F.col("ts").alias("pickup_ts"),
-        F.timestamp_add("SECOND", seconds, F.col("ts")).alias("dropoff_ts"),
-        coordinate(-74.06, 7919, 3800, 19, 200).alias("pickup_longitude"),
-        coordinate(40.54, 104729, 4200, 13, 300).alias("pickup_latitude"),
-        coordinate(-74.06, 15485863, 3800, 17, 200).alias("dropoff_longitude"),
-        coordinate(40.54, 1299709, 4200, 11, 300).alias("dropoff_latitude"),
-        seconds.alias("trip_duration"),
-        (event % 7).cast("int").alias("passenger_count"),
+    seconds = "CAST(30 + (event_id * 37) % 11400 AS INT)"
+    return events.selectExpr(
+        "event_id AS id",
+        "ts AS pickup_ts",
+        f"timestampadd(SECOND, {seconds}, ts) AS dropoff_ts",
+        f"{coordinate(-74.06, 7919, 3800, 19, 200)} AS pickup_longitude",
+        f"{coordinate(40.54, 104729, 4200, 13, 300)} AS pickup_latitude",
+        f"{coordinate(-74.06, 15485863, 3800, 17, 200)} AS dropoff_longitude",
+        f"{coordinate(40.54, 1299709, 4200, 11, 300)} AS dropoff_latitude",
+        f"{seconds} AS trip_duration",
+        "CAST(event_id % 7 AS INT) AS passenger_count",
     )
