@@ -101,14 +101,15 @@ def _modelled_counts(ends: DataFrame, zones: DataFrame, params: RideParams, into
 
     A zone table that fits a broadcast filters the rows before they are
     grouped. A larger one filters the groups: joining the rows themselves would
-    shuffle them all, a hot zone's to one task.
+    shuffle them all, a hot zone's to one task. That late join is an inner one,
+    zones being unique, because Spark would move a semi join below the grouping.
     """
     kept = zones.select("zone_id")
     early = fits_broadcast(params.max_zones)
     if early:
         ends = ends.join(F.broadcast(kept), "zone_id", "left_semi")
     counts = ends.groupBy("zone_id", "ts").agg(F.count("*").alias(into))
-    return counts if early else counts.join(kept, "zone_id", "left_semi")
+    return counts if early else counts.join(kept, "zone_id")
 
 
 def zone_hour_pickups(clean: DataFrame, zones: DataFrame, params: RideParams) -> DataFrame:
