@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hailgrid.catalog.allocation import ALLOC_SIMPLE, SLOT_PREDICTIONS, simple
-from hailgrid.catalog.inputs import PARAMS, SHIFT, all_zones, dense, features, slot_predictions, stored_features, trips, week_tables
+from hailgrid.catalog.inputs import PARAMS, SHIFT, all_zones, dense, features, slot_predictions, stored_features, totals, week_tables
 from hailgrid.catalog.registry import query
 from hailgrid.catalog.sql import TRAIN_END, center, day_number, with_tables
 from hailgrid.operators import accuracy, demand, reshape, zone_hours
@@ -24,7 +24,7 @@ FROM zone_demand, (SELECT quantile_cont(total_trips, [0.33, 0.66]) AS q FROM zon
 
 
 def _hourly(spark, sf):
-    return demand.hourly_demand(trips(spark, sf))
+    return demand.hourly_demand(totals(spark, sf))
 
 
 def _rounded(df, *names):
@@ -69,7 +69,7 @@ FROM trips GROUP BY ALL ORDER BY total_trips DESC, day_number LIMIT 1""",
     ),
 )
 def peak_day(spark, sf):
-    return dashboards.peak_day(demand.daily_demand(trips(spark, sf)))
+    return dashboards.peak_day(demand.daily_demand(totals(spark, sf)))
 
 
 @query("demand_level", with_tables("SELECT * FROM levels", "zone_demand", extra=LEVELS))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from hailgrid.catalog.inputs import PARAMS, all_zones, clean, points, trips, zones
+from hailgrid.catalog.inputs import PARAMS, all_zones, clean, points, totals, trips, zones
 from hailgrid.catalog.registry import query
 from hailgrid.catalog.sql import LAT_MIN, LON_MIN, CELL, day_number, in_box, with_tables, zone
 from hailgrid.functions import clock, geo
@@ -36,7 +36,7 @@ def csv_roundtrip(spark, sf):
 )
 def report_csv_roundtrip(spark, sf):
     store = ResultStore(spark, shared_folder(spark, "report"))
-    return store.write_csv(demand.daily_demand(trips(spark, sf)), "daily_demand")
+    return store.write_csv(demand.daily_demand(totals(spark, sf)), "daily_demand")
 
 
 @query("parquet_roundtrip", with_tables("SELECT * FROM clean", "clean"))
@@ -109,7 +109,7 @@ def clean_quality(spark, sf):
     ),
 )
 def hourly_demand(spark, sf):
-    return demand.hourly_demand(trips(spark, sf))
+    return demand.hourly_demand(totals(spark, sf))
 
 
 @query(
@@ -121,7 +121,7 @@ def hourly_demand(spark, sf):
     ),
 )
 def daily_demand(spark, sf):
-    return demand.daily_demand(trips(spark, sf))
+    return demand.daily_demand(totals(spark, sf))
 
 
 @query(
@@ -129,7 +129,7 @@ def daily_demand(spark, sf):
     with_tables("SELECT round(avg(trip_duration) / 60, 2) AS average_duration_minutes FROM trips", "trips"),
 )
 def avg_duration(spark, sf):
-    return demand.average_duration(trips(spark, sf))
+    return demand.average_duration(totals(spark, sf))
 
 
 @query(
@@ -137,7 +137,7 @@ def avg_duration(spark, sf):
     with_tables("SELECT round(avg(passenger_count), 2) AS average_passengers FROM trips", "trips"),
 )
 def avg_passengers(spark, sf):
-    return demand.average_passengers(trips(spark, sf))
+    return demand.average_passengers(totals(spark, sf))
 
 
 @query("zone_demand", with_tables("SELECT * FROM zone_demand", "zone_demand"))
@@ -154,7 +154,7 @@ def zone_demand(spark, sf):
     ),
 )
 def slot_demand(spark, sf):
-    return demand.slot_demand(trips(spark, sf))
+    return demand.slot_demand(totals(spark, sf))
 
 
 @query("top_zones", with_tables("SELECT * FROM top_zones", "top_zones"))
@@ -198,7 +198,7 @@ def time_features(spark, sf):
         dow.alias("dow"),
         clock.day_name(dow).alias("day_name"),
         F.to_date(ts).alias("date"),
-        clock.hour_floor("pickup_ts").alias("hour_ts"),
+        clock.hour_start("pickup_ts").alias("hour_ts"),
         clock.is_weekend(dow).alias("is_weekend"),
         (F.to_date(ts) < F.lit(PARAMS.train_end).cast("date")).alias("is_train"),
     )
@@ -215,7 +215,7 @@ FROM (SELECT {day_number('pickup_ts')} AS dow, CAST(hour(pickup_ts) AS INTEGER)
     ),
 )
 def prev_slot(spark, sf):
-    slots = demand.slot_demand(trips(spark, sf))
+    slots = demand.slot_demand(totals(spark, sf))
     before = clock.previous_slot(F.col("day_of_week"), F.col("pickup_hour"))
     return slots.select(
         F.col("day_of_week").alias("dow"),

@@ -20,7 +20,17 @@ def parse_ts(text: Column) -> Column:
     return text.try_cast("timestamp_ntz")
 
 
+def hour_start(ts: str) -> Column:
+    """Start of the hour, for grouping many rows; rows without a timestamp are dropped.
+
+    Tumbling windows are plain arithmetic on the stored number. They cost next
+    to nothing, where calendar functions build date objects for every row.
+    """
+    return F.window(ts, "1 hour").start
+
+
 def hour_floor(ts: str) -> Column:
+    """Start of the hour as an ordinary expression, null for null; meant for few rows."""
     return F.expr(f"timestampadd(HOUR, hour({ts}), CAST(to_date({ts}) AS TIMESTAMP_NTZ))")
 
 

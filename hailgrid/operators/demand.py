@@ -5,8 +5,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from hailgrid.functions.clock import day_name, hour_floor
+from hailgrid.functions.clock import day_name, hour_floor, hour_start
 from hailgrid.functions.geo import zone_id, zone_lat, zone_lon
+from hailgrid.functions.number import ratio
 from hailgrid.operators.filters import pickup_in_box
 from hailgrid.operators.sizes import fits_broadcast
 from hailgrid.params import GridSpec, RideParams
@@ -16,30 +17,54 @@ def trip_count(trips: DataFrame) -> DataFrame:
     return trips.agg(F.count("*").alias("total_trips"))
 
 
-def hourly_demand(trips: DataFrame) -> DataFrame:
+def hour_totals(trips: DataFrame) -> DataFrame:
+    """Trips, duration and passengers per calendar hour.
+
+    One row per hour of the period, so every report below comes from a single
+    scan of the trips. Rows whose timestamp did not parse stay, under null.
+    """
+    return trips.groupBy(F.to_date("pickup_ts").alias("date"), F.hour("pickup_ts").alias("hour")).agg(
+        F.count("*").alias("trips"),
+        F.sum("trip_duration").alias("seconds"),
+        F.count("trip_duration").alias("timed_trips"),
+        F.sum("passenger_count").alias("passengers"),
+        F.count("passenger_count").alias("counted_trips"),
+    )
+
+
+def hourly_demand(totals: DataFrame) -> DataFrame:
+    """Trips by hour of day, from ``hour_totals``."""
     return (
-        trips.groupBy(F.hour("pickup_ts").alias("pickup_hour"))
-        .agg(F.count("*").alias("total_trips"))
+        totals.groupBy(F.col("hour").alias("pickup_hour"))
+        .agg(F.sum("trips").alias("total_trips"))
         .orderBy("pickup_hour")
     )
 
 
-def daily_demand(trips: DataFrame) -> DataFrame:
+def daily_demand(totals: DataFrame) -> DataFrame:
     """Trips by weekday. The name follows from the number, so it is added after grouping."""
     return (
-        trips.groupBy(F.dayofweek("pickup_ts").alias("day_number"))
-        .agg(F.count("*").alias("total_trips"))
+        totals.groupBy(F.dayofweek("date").alias("day_number"))
+        .agg(F.sum("trips").alias("total_trips"))
         .select("day_number", day_name(F.col("day_number")).alias("day_name"), "total_trips")
         .orderBy("day_number")
     )
 
 
-def average_duration(trips: DataFrame) -> DataFrame:
-    return trips.agg(F.round(F.avg("trip_duration") / 60, 2).alias("average_duration_minutes"))
+def average_duration(totals: DataFrame) -> DataFrame:
+    mean = ratio(F.sum("seconds"), F.sum("timed_trips"))
+    return totals.agg(F.round(mean / 60, 2).alias("average_duration_minutes"))
+
 
+def average_passengers(totals: DataFrame) -> DataFrame:
+    mean = ratio(F.sum("passengers"), F.sum("counted_trips"))
+    return totals.agg(F.round(mean, 2).alias("average_passengers"))
 
-def average_passengers(trips: DataFrame) -> DataFrame:
-    return trips.agg(F.round(F.avg("passenger_count"), 2).alias("average_passengers"))
+
+def slot_demand(totals: DataFrame) -> DataFrame:
+    """Trips over the whole period per hour of day and weekday."""
+    slot = [F.col("hour").alias("pickup_hour"), F.dayofweek("date").alias("day_of_week")]
+    return totals.groupBy(*slot).agg(F.sum("trips").alias("total_trips"))
 
 
 def zone_demand(trips: DataFrame, grid: GridSpec) -> DataFrame:
@@ -56,15 +81,6 @@ def zone_demand(trips: DataFrame, grid: GridSpec) -> DataFrame:
     )
 
 
-def slot_demand(trips: DataFrame) -> DataFrame:
-    """Trips over the whole period per hour of day and weekday."""
-    return (
-        trips.groupBy(F.hour("pickup_ts").alias("pickup_hour"), F.dayofweek("pickup_ts").alias("day_of_week"))
-        .count()
-        .withColumnRenamed("count", "total_trips")
-    )
-
-
 def top_zones(clean: DataFrame, params: RideParams) -> DataFrame:
     """The busiest pickup zones with their centre, and the span of all pickups.
 
@@ -114,11 +130,11 @@ def _modelled_counts(ends: DataFrame, zones: DataFrame, params: RideParams, into
 
 def zone_hour_pickups(clean: DataFrame, zones: DataFrame, params: RideParams) -> DataFrame:
     """Pickups per modelled zone and hour; hours without any have no row."""
-    ends = clean.select("zone_id", hour_floor("pickup_ts").alias("ts"))
+    ends = clean.select("zone_id", hour_start("pickup_ts").alias("ts"))
     return _modelled_counts(ends, zones, params, "demand")
 
 
 def zone_hour_dropoffs(clean: DataFrame, zones: DataFrame, params: RideParams) -> DataFrame:
     """Drop-offs per modelled zone and hour: drivers who just became free there."""
-    ends = clean.select("drop_zone_id", hour_floor("dropoff_ts").alias("ts"))
+    ends = clean.select("drop_zone_id", hour_start("dropoff_ts").alias("ts"))
     return _modelled_counts(ends.withColumnRenamed("drop_zone_id", "zone_id"), zones, params, "dropoffs")

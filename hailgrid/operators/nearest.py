@@ -19,13 +19,13 @@ def cell_candidates(zones: DataFrame, params: RideParams) -> DataFrame:
     """For every grid cell, the zones that can be nearest to some point of the cell.
 
     A zone drops out if even its smallest distance to the cell exceeds another
-    zone's largest one. Distances are in half cells, hence exact integers.
+    zone's largest one. Distances are in half cells, hence exact integers. A
+    modelled cell lists only itself.
     """
     grid = params.grid
-    centres = _centres(zones)
     cells = zones.sparkSession.range(grid.n_cells).select(
         (F.floor(F.col("id") / grid.n_y) * ZONE_STRIDE + F.col("id") % grid.n_y).alias("cell"),
-        centres.alias("centres"),
+        _centres(zones).alias("centres"),
     )
 
     def apart(axis, centre) -> Column:
@@ -41,8 +41,12 @@ def cell_candidates(zones: DataFrame, params: RideParams) -> DataFrame:
         )
 
     reach = F.array_min(F.transform("centres", farthest))
-    return cells.withColumn("reach", reach).select(
-        "cell", F.filter("centres", lambda centre: closest(centre) <= F.col("reach")).alias("candidates")
+    possible = F.filter("centres", lambda centre: closest(centre) <= F.col("reach"))
+    itself = F.filter("centres", lambda centre: centre.zone_id == F.col("cell"))
+    return (
+        cells.withColumns({"reach": reach, "itself": itself})
+        .withColumn("modelled", F.size("itself") > 0)
+        .select("cell", "modelled", F.when(F.col("modelled"), F.col("itself")).otherwise(possible).alias("candidates"))
     )
 
 
@@ -72,10 +76,10 @@ def nearest_zone(points: DataFrame, zones: DataFrame, params: RideParams) -> Dat
         distance = squared(centre.lon - lon) + squared(centre.lat - lat)
         return F.struct(distance.alias("d2"), centre.zone_id.alias("zone_id"))
 
-    modelled = F.exists("candidates", lambda centre: centre.zone_id == F.col("cell"))
+    first = F.get("candidates", F.lit(0)).zone_id
     nearest = F.array_min(F.transform("candidates", offer)).zone_id
     return (
-        choices.withColumn("modelled", F.coalesce(modelled, F.lit(False)))
-        .withColumn("zone_id", F.when(F.col("modelled"), F.col("cell")).otherwise(nearest))
+        choices.withColumn("zone_id", F.when(F.size("candidates") == 1, first).otherwise(nearest))
+        .withColumn("modelled", F.coalesce("modelled", F.lit(False)))
         .drop("cell", "candidates")
     )

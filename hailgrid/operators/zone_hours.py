@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from hailgrid.functions.clock import HOURS_PER_WEEK, hour_floor, with_calendar
+from hailgrid.functions.clock import HOURS_PER_WEEK, hour_floor, hour_start, with_calendar
 from hailgrid.functions.geo import zone_x, zone_y
 from hailgrid.operators.filters import before_date
 from hailgrid.operators.sizes import fits_broadcast, shuffle_partitions
@@ -43,16 +43,11 @@ def dense_demand(
     """
     spread = zones.repartition(min(shuffle_partitions(zones), params.max_zones), "zone_id")
     grid = spread.selectExpr("zone_id", EVERY_HOUR, "0L AS demand", "0L AS dropoffs", "true AS on_grid")
-    ends = clean.select(
-        "zone_id",
-        "drop_zone_id",
-        hour_floor("pickup_ts").alias("pickup_hour"),
-        hour_floor("dropoff_ts").alias("dropoff_hour"),
-    ).selectExpr(
+    ends = clean.selectExpr(
         """inline(array(
-            struct(zone_id AS zone_id, pickup_hour AS ts, 1L AS demand, 0L AS dropoffs),
-            struct(drop_zone_id AS zone_id, dropoff_hour AS ts, 0L AS demand, 1L AS dropoffs)))"""
-    )
+            struct(zone_id AS zone_id, pickup_ts AS at, 1L AS demand, 0L AS dropoffs),
+            struct(drop_zone_id AS zone_id, dropoff_ts AS at, 0L AS demand, 1L AS dropoffs)))"""
+    ).select("zone_id", hour_start("at").alias("ts"), "demand", "dropoffs")
     if zones_are_stored and fits_broadcast(params.max_zones):
         ends = ends.join(F.broadcast(zones.select("zone_id")), "zone_id", "left_semi")
     return (

@@ -15,7 +15,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hailgrid.operators import balance, zone_hours
-from hailgrid.operators.demand import slot_demand, top_zones
+from hailgrid.operators.demand import hour_totals, slot_demand, top_zones
 from hailgrid.operators.filters import split_by_date
 from hailgrid.params import COARSE_GRID, GridSpec, RideParams
 from hailgrid.plans import forecasting, reports
@@ -29,15 +29,16 @@ MODEL_PATH = "models/gbt"
 
 
 def report_stage(store: ResultStore, trips: DataFrame, grid: GridSpec = COARSE_GRID) -> None:
-    """Write the descriptive reports as CSV with a header."""
-    tables = {**reports.demand_report(trips), "zone_demand": reports.zone_report(trips, grid)["zone_demand"]}
+    """Write the descriptive reports as CSV with a header. Two scans of the trips in all."""
+    totals = store.write(hour_totals(trips), "hour_totals")
+    tables = {**reports.demand_report(totals), "zone_demand": reports.zone_report(trips, grid)["zone_demand"]}
     for name, table in tables.items():
         store.write_csv(table, name)
 
 
 def slot_forecast_stage(store: ResultStore, trips: DataFrame, trees: int = 50) -> None:
     """Store the slot totals, forecast them, then allocate drivers from the stored forecast."""
-    slots = store.write(slot_demand(trips), "slot_demand")
+    slots = store.write(slot_demand(hour_totals(trips)), "slot_demand")
     predictions = store.write_csv(forecasting.slot_forecast(slots, trees), "demand_predictions")
     store.write_csv(balance.simple_allocation(predictions), "driver_allocation")
 

@@ -15,12 +15,13 @@ def inspect_trips(trips: DataFrame, rows: int = 10) -> dict[str, DataFrame]:
     return {"head": first_n(trips, rows, "id"), "trip_count": demand.trip_count(trips)}
 
 
-def demand_report(trips: DataFrame) -> dict[str, DataFrame]:
+def demand_report(totals: DataFrame) -> dict[str, DataFrame]:
+    """Four reports from ``demand.hour_totals``; store those first and the trips are read once."""
     return {
-        "hourly_demand": demand.hourly_demand(trips),
-        "daily_demand": demand.daily_demand(trips),
-        "average_duration": demand.average_duration(trips),
-        "average_passengers": demand.average_passengers(trips),
+        "hourly_demand": demand.hourly_demand(totals),
+        "daily_demand": demand.daily_demand(totals),
+        "average_duration": demand.average_duration(totals),
+        "average_passengers": demand.average_passengers(totals),
     }
 
 
