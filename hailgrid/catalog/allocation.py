@@ -162,7 +162,7 @@ def top_moves(spark, sf):
 
 
 @query(
-    "first_choice",
+    "move_candidates",
     with_tables(
         """SELECT t.dow, t.hour, t.zone_id, t.gap, g.zone_id AS from_zone,
   CAST(count(*) OVER (PARTITION BY t.dow, t.hour, t.zone_id) AS INTEGER) AS candidates
@@ -173,7 +173,7 @@ QUALIFY row_number() OVER (PARTITION BY t.dow, t.hour, t.zone_id ORDER BY
         "allocation",
     ),
 )
-def first_choice(spark, sf):
+def move_candidates(spark, sf):
     return moves.first_choice(_allocated(week_tables(spark, sf)))
 
 

@@ -12,6 +12,7 @@ from hailgrid.operators.demand import hour_totals, slot_demand, top_zones, zone_
 from hailgrid.operators.filters import pickup_in_box
 from hailgrid.params import COARSE_GRID, RideParams
 from hailgrid.plans.cleaning import clean_trips
+from hailgrid.plans.dashboards import with_missing_centres
 from hailgrid.plans.features import zone_hour_data
 from hailgrid.sources.tables import ResultStore, shared_folder
 from hailgrid.sources.trips import trips_from_events
@@ -75,7 +76,7 @@ def slot_predictions(spark: SparkSession, sf: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class WeekTables:
-    """Stored zones and series, and the weekly-slot tables derived from them."""
+    """The stored series, and the zone and weekly-slot tables derived from it."""
 
     store: ResultStore
     zones: DataFrame
@@ -88,15 +89,14 @@ class WeekTables:
 def week_tables(spark: SparkSession, sf: str) -> WeekTables:
     """The tables of the allocation queries, which read each of them several times.
 
-    Zones and series are written to the shared folder first. So the trips are
-    scanned twice in all, however many branches the query has, and a lost
-    executor costs a reread of a small table.
+    The series is written to the shared folder first, and the zones follow from
+    it. So the trips are scanned twice in all, however many branches the query
+    has, and a lost executor costs a reread of a small table.
     """
     store = ResultStore(spark, shared_folder(spark, "week"))
-    cleaned = clean(spark, sf)
-    top = store.write(top_zones(cleaned, PARAMS), "zones_and_span")
-    filled = zone_hours.dense_demand(cleaned, top, PARAMS, zones_are_stored=True)
-    data = store.write(zone_hours.with_zone_calendar(filled), "zone_hours")
+    data = store.write(dense(spark, sf), "zone_hours")
+    totals_by_zone = data.groupBy("zone_id").agg(F.sum("demand").alias("total_trips"))
+    top = with_missing_centres(totals_by_zone, PARAMS.grid)
     hist = zone_hours.hist_mean(data, PARAMS.train_end)
     # The historical mean stands in for the model, so that SQL can follow.
     typical = F.round("hist_mean", 2)
