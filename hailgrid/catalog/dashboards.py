@@ -24,7 +24,7 @@ FROM zone_demand, (SELECT quantile_cont(total_trips, [0.33, 0.66]) AS q FROM zon
 
 
 def _hourly(spark, sf):
-    return demand.hourly_demand(totals(spark, sf))
+    return demand.hourly_demand(totals(spark, sf, "hour"))
 
 
 def _rounded(df, *names):
@@ -69,7 +69,7 @@ FROM trips GROUP BY ALL ORDER BY total_trips DESC, day_number LIMIT 1""",
     ),
 )
 def peak_day(spark, sf):
-    return dashboards.peak_day(demand.daily_demand(totals(spark, sf)))
+    return dashboards.peak_day(demand.daily_demand(totals(spark, sf, "date")))
 
 
 @query("demand_level", with_tables("SELECT * FROM levels", "zone_demand", extra=LEVELS))

@@ -50,13 +50,13 @@ FROM (SELECT CAST(hour(pickup_ts) AS INTEGER) AS pickup_hour, {day_number('picku
 )
 def hash_split(spark, sf):
     side = in_hash_fraction(["pickup_hour", "day_of_week"], 0.8, 42)
-    return slot_demand(totals(spark, sf)).withColumn("is_train", side)
+    return slot_demand(totals(spark, sf, "date", "hour")).withColumn("is_train", side)
 
 
 @query("rf_slot_forecast")
 def rf_slot_forecast(spark, sf):
     store = ResultStore(spark, shared_folder(spark, "slots"))
-    return forecasting.slot_forecast(store.write(slot_demand(totals(spark, sf)), "slot_demand"), trees=10)
+    return forecasting.slot_forecast(store.write(slot_demand(totals(spark, sf, "date", "hour")), "slot_demand"), trees=10)
 
 
 @query("gbt_forecast")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from hailgrid.operators import zone_hours
 from hailgrid.operators.balance import with_scenarios
-from hailgrid.operators.demand import hour_totals, slot_demand, top_zones, zone_demand
+from hailgrid.operators.demand import slot_demand, top_zones, trip_totals, zone_demand
 from hailgrid.operators.filters import pickup_in_box
 from hailgrid.params import COARSE_GRID, RideParams
 from hailgrid.plans.cleaning import clean_trips
@@ -29,8 +29,8 @@ def trips(spark: SparkSession, sf: str) -> DataFrame:
     return trips_from_events(spark.read.parquet(f"{sf}/events.parquet"))
 
 
-def totals(spark: SparkSession, sf: str) -> DataFrame:
-    return hour_totals(trips(spark, sf))
+def totals(spark: SparkSession, sf: str, *by: str) -> DataFrame:
+    return trip_totals(trips(spark, sf), list(by), PARAMS.grid)
 
 
 def points(spark: SparkSession, sf: str) -> DataFrame:
@@ -49,7 +49,7 @@ def zones(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def all_zones(spark: SparkSession, sf: str) -> DataFrame:
-    return zone_demand(trips(spark, sf), PARAMS.grid)
+    return zone_demand(totals(spark, sf, "zone_id"))
 
 
 def dense(spark: SparkSession, sf: str) -> DataFrame:
@@ -71,7 +71,7 @@ def stored_features(spark: SparkSession, sf: str) -> DataFrame:
 def slot_predictions(spark: SparkSession, sf: str) -> DataFrame:
     """Slot totals with the mean of the hour over all weekdays as a reproducible prediction."""
     same_hour = Window.partitionBy("pickup_hour")
-    return slot_demand(totals(spark, sf)).withColumn("prediction", F.avg("total_trips").over(same_hour))
+    return slot_demand(totals(spark, sf, "date", "hour")).withColumn("prediction", F.avg("total_trips").over(same_hour))
 
 
 @dataclass(frozen=True)

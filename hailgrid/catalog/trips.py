@@ -36,7 +36,7 @@ def csv_roundtrip(spark, sf):
 )
 def report_csv_roundtrip(spark, sf):
     store = ResultStore(spark, shared_folder(spark, "report"))
-    return store.write_csv(demand.daily_demand(totals(spark, sf)), "daily_demand")
+    return store.write_csv(demand.daily_demand(totals(spark, sf, "date")), "daily_demand")
 
 
 @query("parquet_roundtrip", with_tables("SELECT * FROM clean", "clean"))
@@ -92,6 +92,11 @@ def pickup_quality(spark, sf):
     return quality_counts(trips(spark, sf), pickup_in_box(GRID))
 
 
+@query("zone_quality_counts", _quality_sql(in_box("pickup")))
+def zone_quality(spark, sf):
+    return demand.zone_quality(totals(spark, sf, "zone_id"))
+
+
 @query(
     "clean_quality_counts",
     _quality_sql(
@@ -109,7 +114,7 @@ def clean_quality(spark, sf):
     ),
 )
 def hourly_demand(spark, sf):
-    return demand.hourly_demand(totals(spark, sf))
+    return demand.hourly_demand(totals(spark, sf, "hour"))
 
 
 @query(
@@ -121,7 +126,7 @@ def hourly_demand(spark, sf):
     ),
 )
 def daily_demand(spark, sf):
-    return demand.daily_demand(totals(spark, sf))
+    return demand.daily_demand(totals(spark, sf, "date"))
 
 
 @query(
@@ -154,7 +159,7 @@ def zone_demand(spark, sf):
     ),
 )
 def slot_demand(spark, sf):
-    return demand.slot_demand(totals(spark, sf))
+    return demand.slot_demand(totals(spark, sf, "date", "hour"))
 
 
 @query("top_zones", with_tables("SELECT * FROM top_zones", "top_zones"))
@@ -215,7 +220,7 @@ FROM (SELECT {day_number('pickup_ts')} AS dow, CAST(hour(pickup_ts) AS INTEGER)
     ),
 )
 def prev_slot(spark, sf):
-    slots = demand.slot_demand(totals(spark, sf))
+    slots = demand.slot_demand(totals(spark, sf, "date", "hour"))
     before = clock.previous_slot(F.col("day_of_week"), F.col("pickup_hour"))
     return slots.select(
         F.col("day_of_week").alias("dow"),

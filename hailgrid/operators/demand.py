@@ -3,27 +3,32 @@ hour, weekday or zone costs each task one row."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from hailgrid.functions.clock import day_name, hour_floor, hour_start
 from hailgrid.functions.geo import zone_id, zone_lat, zone_lon
 from hailgrid.functions.number import ratio
 from hailgrid.operators.filters import pickup_in_box
 from hailgrid.operators.sizes import fits_broadcast
-from hailgrid.params import GridSpec, RideParams
+from hailgrid.params import COARSE_GRID, GridSpec, RideParams
 
 
 def trip_count(trips: DataFrame) -> DataFrame:
     return trips.agg(F.count("*").alias("total_trips"))
 
 
-def hour_totals(trips: DataFrame) -> DataFrame:
-    """Trips, duration and passengers per calendar hour.
+def trip_totals(trips: DataFrame, by: list[str], grid: GridSpec = COARSE_GRID) -> DataFrame:
+    """Trips, duration and passengers by any of date, hour and zone_id of the pickup.
 
-    One row per hour of the period, so every report below comes from a single
-    scan of the trips. Rows whose timestamp did not parse stay, under null.
+    The reports below add such totals up, so one scan of the trips, stored by
+    all three keys, serves all of them: at most one row per calendar hour and
+    cell. A single report groups by its own key only, and adding up again then
+    needs no second shuffle. Pickups outside the box have a null zone, pickups
+    whose time did not parse a null date and hour.
     """
-    return trips.groupBy(F.to_date("pickup_ts").alias("date"), F.hour("pickup_ts").alias("hour")).agg(
+    inside = F.when(pickup_in_box(grid), zone_id("pickup_longitude", "pickup_latitude", grid))
+    keys = {"date": F.to_date("pickup_ts"), "hour": F.hour("pickup_ts"), "zone_id": inside}
+    return trips.groupBy(*[keys[name].alias(name) for name in by]).agg(
         F.count("*").alias("trips"),
         F.sum("trip_duration").alias("seconds"),
         F.count("trip_duration").alias("timed_trips"),
@@ -32,8 +37,16 @@ def hour_totals(trips: DataFrame) -> DataFrame:
     )
 
 
+def _mean_minutes() -> Column:
+    return F.round(ratio(F.sum("seconds"), F.sum("timed_trips")) / 60, 2)
+
+
+def _mean_passengers() -> Column:
+    return F.round(ratio(F.sum("passengers"), F.sum("counted_trips")), 2)
+
+
 def hourly_demand(totals: DataFrame) -> DataFrame:
-    """Trips by hour of day, from ``hour_totals``."""
+    """Trips by hour of day."""
     return (
         totals.groupBy(F.col("hour").alias("pickup_hour"))
         .agg(F.sum("trips").alias("total_trips"))
@@ -52,13 +65,11 @@ def daily_demand(totals: DataFrame) -> DataFrame:
 
 
 def average_duration(totals: DataFrame) -> DataFrame:
-    mean = ratio(F.sum("seconds"), F.sum("timed_trips"))
-    return totals.agg(F.round(mean / 60, 2).alias("average_duration_minutes"))
+    return totals.agg(_mean_minutes().alias("average_duration_minutes"))
 
 
 def average_passengers(totals: DataFrame) -> DataFrame:
-    mean = ratio(F.sum("passengers"), F.sum("counted_trips"))
-    return totals.agg(F.round(mean, 2).alias("average_passengers"))
+    return totals.agg(_mean_passengers().alias("average_passengers"))
 
 
 def slot_demand(totals: DataFrame) -> DataFrame:
@@ -67,20 +78,30 @@ def slot_demand(totals: DataFrame) -> DataFrame:
     return totals.groupBy(*slot).agg(F.sum("trips").alias("total_trips"))
 
 
-def zone_demand(trips: DataFrame, grid: GridSpec) -> DataFrame:
+def zone_demand(totals: DataFrame) -> DataFrame:
     """Demand, mean duration and mean passengers per pickup zone, busiest zone first."""
     return (
-        trips.filter(pickup_in_box(grid))
-        .groupBy(zone_id("pickup_longitude", "pickup_latitude", grid).alias("zone_id"))
+        totals.filter(F.col("zone_id").isNotNull())
+        .groupBy("zone_id")
         .agg(
-            F.count("*").alias("total_trips"),
-            F.round(F.avg("trip_duration") / 60, 2).alias("avg_trip_duration_minutes"),
-            F.round(F.avg("passenger_count"), 2).alias("avg_passengers"),
+            F.sum("trips").alias("total_trips"),
+            _mean_minutes().alias("avg_trip_duration_minutes"),
+            _mean_passengers().alias("avg_passengers"),
         )
         .orderBy(F.desc("total_trips"), "zone_id")
     )
 
 
+def zone_quality(totals: DataFrame) -> DataFrame:
+    """How many trips start inside the box and how many are removed."""
+    valid = F.coalesce(F.sum(F.when(F.col("zone_id").isNotNull(), F.col("trips"))), F.lit(0))
+    return totals.agg(
+        F.sum("trips").alias("total_records"),
+        valid.alias("valid_records"),
+        (F.sum("trips") - valid).alias("removed_records"),
+    )
+
+
 def top_zones(clean: DataFrame, params: RideParams) -> DataFrame:
     """The busiest pickup zones with their centre, and the span of all pickups.
 

@@ -1,6 +1,6 @@
 """Stages that read and write a result store, and a command line for spark-submit.
 
-    spark-submit --py-files hailgrid.zip hailgrid/plans/jobs.py --base hdfs:///rides --raw hdfs:///rides/raw/train.csv
+    spark-submit --py-files hailgrid.zip hailgrid/plans/jobs.py --base hdfs:///data/rides --raw hdfs:///data/trips.csv
 
 Every stage starts from stored tables, so a lost stage is rerun on its own and
 no plan grows across stages.
@@ -15,7 +15,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hailgrid.operators import balance, zone_hours
-from hailgrid.operators.demand import hour_totals, slot_demand, top_zones
+from hailgrid.operators.demand import slot_demand, top_zones, trip_totals
 from hailgrid.operators.filters import split_by_date
 from hailgrid.params import COARSE_GRID, GridSpec, RideParams
 from hailgrid.plans import forecasting, reports
@@ -26,19 +26,20 @@ from hailgrid.sources.tables import ResultStore
 from hailgrid.sources.trips import read_trips_csv
 
 MODEL_PATH = "models/gbt"
+TOTALS = "trip_totals"
 
 
 def report_stage(store: ResultStore, trips: DataFrame, grid: GridSpec = COARSE_GRID) -> None:
-    """Write the descriptive reports as CSV with a header. Two scans of the trips in all."""
-    totals = store.write(hour_totals(trips), "hour_totals")
-    tables = {**reports.demand_report(totals), "zone_demand": reports.zone_report(trips, grid)["zone_demand"]}
-    for name, table in tables.items():
+    """Add the trips up once, store the totals, and write the reports from them as CSV."""
+    totals = store.write(trip_totals(trips, reports.TOTALS_BY, grid), TOTALS)
+    for name, table in {**reports.demand_report(totals), **reports.zone_report(totals)}.items():
         store.write_csv(table, name)
 
 
-def slot_forecast_stage(store: ResultStore, trips: DataFrame, trees: int = 50) -> None:
-    """Store the slot totals, forecast them, then allocate drivers from the stored forecast."""
-    slots = store.write(slot_demand(hour_totals(trips)), "slot_demand")
+def slot_forecast_stage(store: ResultStore, trees: int = 50) -> None:
+    """Forecast slot totals from the stored trip totals, then allocate from the stored forecast."""
+    (totals,) = store.require(TOTALS)
+    slots = store.write(slot_demand(totals), "slot_demand")
     predictions = store.write_csv(forecasting.slot_forecast(slots, trees), "demand_predictions")
     store.write_csv(balance.simple_allocation(predictions), "driver_allocation")
 
@@ -121,12 +122,12 @@ def main() -> None:
     params = replace(
         RideParams(), fleet=args.fleet, trips_per_driver=args.trips_per_driver, train_end=args.train_end
     )
-    if args.stage in ("all", "reports", "slot-forecast", "clean") and not args.raw:
+    if args.stage in ("all", "reports", "clean") and not args.raw:
         parser.error(f"stage {args.stage} needs --raw")
     stages = {
         "all": lambda: run_all(store, args.raw, params),
         "reports": lambda: report_stage(store, read_trips_csv(spark, args.raw)),
-        "slot-forecast": lambda: slot_forecast_stage(store, read_trips_csv(spark, args.raw)),
+        "slot-forecast": lambda: slot_forecast_stage(store),
         "clean": lambda: clean_stage(store, read_trips_csv(spark, args.raw), params),
         "features": lambda: feature_stage(store, params),
         "train": lambda: train_stage(store, params),

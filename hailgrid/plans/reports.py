@@ -5,9 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from hailgrid.operators import demand
-from hailgrid.operators.filters import pickup_in_box, quality_counts
 from hailgrid.operators.ranking import first_n
-from hailgrid.params import COARSE_GRID, GridSpec
 
 
 def inspect_trips(trips: DataFrame, rows: int = 10) -> dict[str, DataFrame]:
@@ -15,8 +13,11 @@ def inspect_trips(trips: DataFrame, rows: int = 10) -> dict[str, DataFrame]:
     return {"head": first_n(trips, rows, "id"), "trip_count": demand.trip_count(trips)}
 
 
+TOTALS_BY = ["date", "hour", "zone_id"]
+
+
 def demand_report(totals: DataFrame) -> dict[str, DataFrame]:
-    """Four reports from ``demand.hour_totals``; store those first and the trips are read once."""
+    """Four tables from ``demand.trip_totals``; store the totals first and the trips are read once."""
     return {
         "hourly_demand": demand.hourly_demand(totals),
         "daily_demand": demand.daily_demand(totals),
@@ -25,8 +26,5 @@ def demand_report(totals: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def zone_report(trips: DataFrame, grid: GridSpec = COARSE_GRID) -> dict[str, DataFrame]:
-    return {
-        "quality_counts": quality_counts(trips, pickup_in_box(grid)),
-        "zone_demand": demand.zone_demand(trips, grid),
-    }
+def zone_report(totals: DataFrame) -> dict[str, DataFrame]:
+    return {"quality_counts": demand.zone_quality(totals), "zone_demand": demand.zone_demand(totals)}

@@ -18,6 +18,7 @@ RESULT_SCHEMAS = {
     "daily_demand": "day_number int, day_name string, total_trips long",
     "average_duration": "average_duration_minutes double",
     "average_passengers": "average_passengers double",
+    "quality_counts": "total_records long, valid_records long, removed_records long",
     "zone_demand": "zone_id long, total_trips long, avg_trip_duration_minutes double, avg_passengers double",
     "demand_predictions": "pickup_hour int, day_of_week int, total_trips long, prediction double",
     "driver_allocation": (

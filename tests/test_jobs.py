@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hailgrid.catalog.inputs import PARAMS, features, trips
+from hailgrid.operators import demand
 from hailgrid.operators.demand import zone_hour_pickups
 from hailgrid.plans import forecasting, jobs
 from hailgrid.schemas import RESULT_SCHEMAS
@@ -23,9 +24,8 @@ def store(spark, tmp_path_factory):
     write_trips_csv(trips(spark, SF), raw)
     store = ResultStore(spark, base)
     jobs.run_all(store, raw, PARAMS, QUICK)
-    raw_trips = read_trips_csv(spark, raw)
-    jobs.report_stage(store, raw_trips)
-    jobs.slot_forecast_stage(store, raw_trips, trees=3)
+    jobs.report_stage(store, read_trips_csv(spark, raw))
+    jobs.slot_forecast_stage(store, trees=3)
     return store
 
 
@@ -51,6 +51,27 @@ def test_reports_read_back(store, name):
     assert table.filter(F.col(table.columns[0]).isNull()).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("name", "by", "report"),
+    [
+        ("hourly_demand", ["hour"], demand.hourly_demand),
+        ("daily_demand", ["date"], demand.daily_demand),
+        ("average_duration", [], demand.average_duration),
+        ("average_passengers", [], demand.average_passengers),
+        ("zone_demand", ["zone_id"], demand.zone_demand),
+        ("quality_counts", ["zone_id"], demand.zone_quality),
+    ],
+)
+def test_reports_from_shared_totals_equal_their_own_scan(spark, store, name, by, report):
+    alone = report(demand.trip_totals(trips(spark, SF), by))
+    assert sorted(map(tuple, store.read_csv(name).collect())) == sorted(map(tuple, alone.collect()))
+
+
+def test_one_report_shuffles_its_groups_once(spark):
+    plan = plan_of(demand.hourly_demand(demand.trip_totals(trips(spark, SF), ["hour"])))
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 def test_csv_with_other_columns_is_refused(spark, store):
     spark.range(3).write.mode("overwrite").option("header", True).csv(store.path("daily_demand_other"))
     reader = spark.read.schema(RESULT_SCHEMAS["hourly_demand"]).option("header", True).option("enforceSchema", False)
