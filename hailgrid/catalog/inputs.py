@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from hailgrid.operators import zone_hours
 from hailgrid.operators.balance import with_scenarios
-from hailgrid.operators.demand import slot_demand, top_zones, trip_totals, zone_demand
+from hailgrid.operators.demand import slot_demand, top_zones, trip_totals, zone_demand, zone_hour_totals
 from hailgrid.operators.filters import pickup_in_box
 from hailgrid.params import COARSE_GRID, RideParams
 from hailgrid.plans.cleaning import clean_trips
@@ -45,7 +45,17 @@ def clean(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def zones(spark: SparkSession, sf: str) -> DataFrame:
-    return top_zones(clean(spark, sf), PARAMS)
+    return top_zones(zone_hour_totals(clean(spark, sf), dropoffs=False), PARAMS)
+
+
+def stored_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """Totals per cell and hour, written to the shared folder.
+
+    Zones and series both start from them, so without the copy the trips would
+    be scanned once for each.
+    """
+    store = ResultStore(spark, shared_folder(spark, "totals"))
+    return store.write(zone_hour_totals(clean(spark, sf)), "zone_hour_totals")
 
 
 def all_zones(spark: SparkSession, sf: str) -> DataFrame:
@@ -53,14 +63,14 @@ def all_zones(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dense(spark: SparkSession, sf: str) -> DataFrame:
-    cleaned = clean(spark, sf)
-    filled = zone_hours.dense_demand(cleaned, top_zones(cleaned, PARAMS), PARAMS)
+    counted = stored_totals(spark, sf)
+    filled = zone_hours.dense_demand(counted, top_zones(counted, PARAMS), PARAMS)
     return zone_hours.with_zone_calendar(filled)
 
 
 def features(spark: SparkSession, sf: str) -> DataFrame:
-    cleaned = clean(spark, sf)
-    return zone_hours.feature_table(zone_hour_data(cleaned, top_zones(cleaned, PARAMS), PARAMS))
+    counted = stored_totals(spark, sf)
+    return zone_hours.feature_table(zone_hour_data(counted, top_zones(counted, PARAMS), PARAMS))
 
 
 def stored_features(spark: SparkSession, sf: str) -> DataFrame:
@@ -90,8 +100,8 @@ def week_tables(spark: SparkSession, sf: str) -> WeekTables:
     """The tables of the allocation queries, which read each of them several times.
 
     The series is written to the shared folder first, and the zones follow from
-    it. So the trips are scanned twice in all, however many branches the query
-    has, and a lost executor costs a reread of a small table.
+    it. So the trips are scanned once, however many branches the query has, and
+    a lost executor costs a reread of a small table.
     """
     store = ResultStore(spark, shared_folder(spark, "week"))
     data = store.write(dense(spark, sf), "zone_hours")

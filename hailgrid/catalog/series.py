@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from hailgrid.catalog.inputs import PARAMS, clean, dense, features, stored_features, zones
+from hailgrid.catalog.inputs import PARAMS, clean, dense, features, stored_features, stored_totals
 from hailgrid.catalog.registry import query
 from hailgrid.catalog.sql import TRAIN_END, with_tables
 from hailgrid.operators import demand, zone_hours
+from hailgrid.operators.demand import zone_hour_totals
 from hailgrid.operators.filters import split_by_date
 from hailgrid.operators.ranking import distinct_keys, last_rows
 
@@ -16,17 +17,19 @@ DENSE = "zone_id, ts, date, hour, dow, is_weekend, zone_x, zone_y, demand, dropo
 
 @query("hour_timeline", with_tables("SELECT ts FROM hours", "hours"))
 def hour_timeline(spark, sf):
-    return zone_hours.hour_timeline(clean(spark, sf))
+    return zone_hours.hour_timeline(zone_hour_totals(clean(spark, sf), dropoffs=False))
 
 
 @query("zone_hour_demand", with_tables("SELECT * FROM pickups", "pickups"))
 def zone_hour_demand(spark, sf):
-    return demand.zone_hour_pickups(clean(spark, sf), zones(spark, sf), PARAMS)
+    totals = stored_totals(spark, sf)
+    return demand.zone_hour_pickups(totals, demand.top_zones(totals, PARAMS), PARAMS)
 
 
 @query("zone_hour_dropoffs", with_tables("SELECT * FROM dropoffs", "dropoffs"))
 def zone_hour_dropoffs(spark, sf):
-    return demand.zone_hour_dropoffs(clean(spark, sf), zones(spark, sf), PARAMS)
+    totals = stored_totals(spark, sf)
+    return demand.zone_hour_dropoffs(totals, demand.top_zones(totals, PARAMS), PARAMS)
 
 
 @query("dense_demand", with_tables(f"SELECT {DENSE} FROM dense", "dense"))

@@ -29,11 +29,6 @@ def hour_start(ts: str) -> Column:
     return F.window(ts, "1 hour").start
 
 
-def hour_floor(ts: str) -> Column:
-    """Start of the hour as an ordinary expression, null for null; meant for few rows."""
-    return F.expr(f"timestampadd(HOUR, hour({ts}), CAST(to_date({ts}) AS TIMESTAMP_NTZ))")
-
-
 def day_name(dow: Column) -> Column:
     return F.element_at(F.array(*[F.lit(name) for name in DAY_NAMES]), dow)
 

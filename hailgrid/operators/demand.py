@@ -5,11 +5,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from hailgrid.functions.clock import day_name, hour_floor, hour_start
+from hailgrid.functions.clock import day_name, hour_start
 from hailgrid.functions.geo import zone_id, zone_lat, zone_lon
 from hailgrid.functions.number import ratio
 from hailgrid.operators.filters import pickup_in_box
-from hailgrid.operators.sizes import fits_broadcast
+from hailgrid.operators.sizes import broadcast_within
 from hailgrid.params import COARSE_GRID, GridSpec, RideParams
 
 
@@ -102,23 +102,42 @@ def zone_quality(totals: DataFrame) -> DataFrame:
     )
 
 
-def top_zones(clean: DataFrame, params: RideParams) -> DataFrame:
-    """The busiest pickup zones with their centre, and the span of all pickups.
+def zone_hour_totals(clean: DataFrame, dropoffs: bool = True) -> DataFrame:
+    """Pickups, drop-offs and pickup seconds per cell and hour: all that later steps need of the trips.
 
-    One scan of the trips gives both: the aggregate has at most one row per
-    grid cell, and only those rows meet in the window that finds the span.
-    Ties in volume go to the smaller zone id.
+    Each trip is unfolded into its two ends inside the scan, so one pass and one
+    shuffle of partial sums count both. The result has at most one row per grid
+    cell and hour; store it, and zones, timeline and series follow from it
+    without another look at the trips.
+    """
+    ends = ["struct(zone_id AS zone_id, pickup_ts AS at, 1L AS demand, 0L AS dropoffs, trip_duration AS seconds)"]
+    if dropoffs:
+        ends.append("struct(drop_zone_id AS zone_id, dropoff_ts AS at, 0L AS demand, 1L AS dropoffs, 0 AS seconds)")
+    return (
+        clean.selectExpr(f"inline(array({', '.join(ends)}))")
+        .groupBy("zone_id", hour_start("at").alias("ts"))
+        .agg(*[F.sum(name).alias(name) for name in ("demand", "dropoffs", "seconds")])
+    )
+
+
+def top_zones(totals: DataFrame, params: RideParams) -> DataFrame:
+    """The busiest pickup zones with their centre, and the first and last hour with a pickup anywhere.
+
+    One row per grid cell remains after the grouping, and only those meet in
+    the window that finds the span. Ties in volume go to the smaller zone id.
     """
     everywhere = Window.partitionBy(F.lit(0))
-    per_zone = clean.groupBy("zone_id").agg(
-        F.count("*").alias("total_trips"),
-        F.round(F.avg("trip_duration") / 60, 2).alias("avg_trip_min"),
-        F.min("pickup_ts").alias("first_pickup"),
-        F.max("pickup_ts").alias("last_pickup"),
+    busy_hour = F.when(F.col("demand") > 0, F.col("ts"))
+    per_zone = totals.groupBy("zone_id").agg(
+        F.sum("demand").alias("total_trips"),
+        F.round(ratio(F.sum("seconds"), F.sum("demand")) / 60, 2).alias("avg_trip_min"),
+        F.min(busy_hour).alias("first_busy"),
+        F.max(busy_hour).alias("last_busy"),
     )
     return (
-        per_zone.withColumn("first_hour", F.min(hour_floor("first_pickup")).over(everywhere))
-        .withColumn("last_hour", F.max(hour_floor("last_pickup")).over(everywhere))
+        per_zone.filter("total_trips > 0")
+        .withColumn("first_hour", F.min("first_busy").over(everywhere))
+        .withColumn("last_hour", F.max("last_busy").over(everywhere))
         .orderBy(F.desc("total_trips"), "zone_id")
         .limit(params.top_zones)
         .select(
@@ -133,29 +152,15 @@ def top_zones(clean: DataFrame, params: RideParams) -> DataFrame:
     )
 
 
-def _modelled_counts(ends: DataFrame, zones: DataFrame, params: RideParams, into: str) -> DataFrame:
-    """Rows of ``ends`` (zone_id, ts) per modelled zone and hour.
-
-    A zone table that fits a broadcast filters the rows before they are
-    grouped. A larger one filters the groups: joining the rows themselves would
-    shuffle them all, a hot zone's to one task. That late join is an inner one,
-    zones being unique, because Spark would move a semi join below the grouping.
-    """
-    kept = zones.select("zone_id")
-    early = fits_broadcast(params.max_zones)
-    if early:
-        ends = ends.join(F.broadcast(kept), "zone_id", "left_semi")
-    counts = ends.groupBy("zone_id", "ts").agg(F.count("*").alias(into))
-    return counts if early else counts.join(kept, "zone_id")
+def _modelled(totals: DataFrame, zones: DataFrame, params: RideParams) -> DataFrame:
+    return totals.join(broadcast_within(zones.select("zone_id"), params.max_zones), "zone_id", "left_semi")
 
 
-def zone_hour_pickups(clean: DataFrame, zones: DataFrame, params: RideParams) -> DataFrame:
+def zone_hour_pickups(totals: DataFrame, zones: DataFrame, params: RideParams) -> DataFrame:
     """Pickups per modelled zone and hour; hours without any have no row."""
-    ends = clean.select("zone_id", hour_start("pickup_ts").alias("ts"))
-    return _modelled_counts(ends, zones, params, "demand")
+    return _modelled(totals.filter("demand > 0"), zones, params).select("zone_id", "ts", "demand")
 
 
-def zone_hour_dropoffs(clean: DataFrame, zones: DataFrame, params: RideParams) -> DataFrame:
+def zone_hour_dropoffs(totals: DataFrame, zones: DataFrame, params: RideParams) -> DataFrame:
     """Drop-offs per modelled zone and hour: drivers who just became free there."""
-    ends = clean.select("drop_zone_id", hour_start("dropoff_ts").alias("ts"))
-    return _modelled_counts(ends.withColumnRenamed("drop_zone_id", "zone_id"), zones, params, "dropoffs")
+    return _modelled(totals.filter("dropoffs > 0"), zones, params).select("zone_id", "ts", "dropoffs")

@@ -1,17 +1,17 @@
 """The zone x hour time series: zero filling, lag, historical means, weekly-slot summaries.
 
-Everything after ``dense_demand`` works on zones x hours rows, a number set by
-the grid and the period and not by the count of trips.
+Everything here works on totals per cell and hour, a number of rows set by the
+grid and the period and not by the count of trips.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from hailgrid.functions.clock import HOURS_PER_WEEK, hour_floor, hour_start, with_calendar
+from hailgrid.functions.clock import HOURS_PER_WEEK, with_calendar
 from hailgrid.functions.geo import zone_x, zone_y
 from hailgrid.operators.filters import before_date
-from hailgrid.operators.sizes import fits_broadcast, shuffle_partitions
+from hailgrid.operators.sizes import shuffle_partitions
 from hailgrid.params import RideParams
 
 SLOT = ["zone_id", "dow", "hour"]
@@ -19,39 +19,25 @@ EVERY_HOUR = "explode(sequence(first_hour, last_hour, INTERVAL 1 HOUR)) AS ts"
 FEATURES = ["hour", "dow", "is_weekend", "zone_x", "zone_y", "hist_mean", "lag_168"]
 
 
-def hour_timeline(clean: DataFrame) -> DataFrame:
+def hour_timeline(totals: DataFrame) -> DataFrame:
     """Every hour from the first to the last pickup, busy or not."""
-    span = clean.agg(F.min("pickup_ts").alias("first"), F.max("pickup_ts").alias("last"))
-    bounds = span.select(hour_floor("first").alias("first_hour"), hour_floor("last").alias("last_hour"))
-    return bounds.selectExpr(EVERY_HOUR)
+    busy = totals.filter("demand > 0")
+    return busy.agg(F.min("ts").alias("first_hour"), F.max("ts").alias("last_hour")).selectExpr(EVERY_HOUR)
 
 
-def dense_demand(
-    clean: DataFrame, zones: DataFrame, params: RideParams, zones_are_stored: bool = False
-) -> DataFrame:
+def dense_demand(totals: DataFrame, zones: DataFrame, params: RideParams) -> DataFrame:
     """Pickups and drop-offs for every zone and every hour, zeros included.
 
     ``zones`` carries ``first_hour`` and ``last_hour``, so each zone unfolds its
     own timeline and no zones-by-hours join is needed. The empty grid is put
-    under the trip ends and one grouping fills it: a single scan of the trips
-    and a single shuffle of partial sums for both counts. Ends in other zones,
-    or after the last pickup hour, meet no grid row and are dropped.
-
-    With a stored zone table, ends outside it are dropped before grouping. A
-    zone table that is still a plan over the trips would be computed a second
-    time for that, which costs more than the few partial sums it saves.
+    under the totals and one grouping fills it. Totals of other zones, or of
+    hours after the last pickup, meet no grid row and are dropped.
     """
     spread = zones.repartition(min(shuffle_partitions(zones), params.max_zones), "zone_id")
     grid = spread.selectExpr("zone_id", EVERY_HOUR, "0L AS demand", "0L AS dropoffs", "true AS on_grid")
-    ends = clean.selectExpr(
-        """inline(array(
-            struct(zone_id AS zone_id, pickup_ts AS at, 1L AS demand, 0L AS dropoffs),
-            struct(drop_zone_id AS zone_id, dropoff_ts AS at, 0L AS demand, 1L AS dropoffs)))"""
-    ).select("zone_id", hour_start("at").alias("ts"), "demand", "dropoffs")
-    if zones_are_stored and fits_broadcast(params.max_zones):
-        ends = ends.join(F.broadcast(zones.select("zone_id")), "zone_id", "left_semi")
+    counted = totals.selectExpr("zone_id", "ts", "demand", "dropoffs", "false AS on_grid")
     return (
-        grid.unionByName(ends.withColumn("on_grid", F.lit(False)))
+        grid.unionByName(counted)
         .groupBy("zone_id", "ts")
         .agg(
             F.sum("demand").alias("demand"),

@@ -1,4 +1,4 @@
-"""Clean trips to model features and weekly-slot tables."""
+"""Totals per cell and hour to model features and weekly-slot tables."""
 
 from __future__ import annotations
 
@@ -8,11 +8,9 @@ from hailgrid.operators import zone_hours
 from hailgrid.params import RideParams
 
 
-def zone_hour_data(
-    clean: DataFrame, zones: DataFrame, params: RideParams, zones_are_stored: bool = False
-) -> DataFrame:
+def zone_hour_data(totals: DataFrame, zones: DataFrame, params: RideParams) -> DataFrame:
     """The dense series with calendar columns, weekly lag and historical mean."""
-    dense = zone_hours.dense_demand(clean, zones, params, zones_are_stored)
+    dense = zone_hours.dense_demand(totals, zones, params)
     lagged = zone_hours.with_weekly_lag(zone_hours.with_zone_calendar(dense))
     return zone_hours.with_hist_mean(lagged, params.train_end)
 

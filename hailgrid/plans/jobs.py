@@ -15,7 +15,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hailgrid.operators import balance, zone_hours
-from hailgrid.operators.demand import slot_demand, top_zones, trip_totals
+from hailgrid.operators.demand import slot_demand, top_zones, trip_totals, zone_hour_totals
 from hailgrid.operators.filters import split_by_date
 from hailgrid.params import COARSE_GRID, GridSpec, RideParams
 from hailgrid.plans import forecasting, reports
@@ -27,6 +27,7 @@ from hailgrid.sources.trips import read_trips_csv
 
 MODEL_PATH = "models/gbt"
 TOTALS = "trip_totals"
+ZONE_TOTALS = "zone_hour_totals"
 
 
 def report_stage(store: ResultStore, trips: DataFrame, grid: GridSpec = COARSE_GRID) -> None:
@@ -45,19 +46,21 @@ def slot_forecast_stage(store: ResultStore, trees: int = 50) -> None:
 
 
 def clean_stage(store: ResultStore, trips: DataFrame, params: RideParams) -> None:
+    """Store clean trips, then read them once for the totals that zones and series follow from."""
     clean = store.write(clean_trips(trips, params), "clean", date_column="date")
-    zones = store.write(top_zones(clean, params), "zones_and_span")
+    totals = store.write(zone_hour_totals(clean), ZONE_TOTALS)
+    zones = top_zones(totals, params)
     store.write(zones.select("zone_id", "total_trips", "avg_trip_min", "lon", "lat"), "zones")
     store.write(zones.select("first_hour", "last_hour").limit(1), "timeline")
 
 
 def feature_stage(store: ResultStore, params: RideParams) -> None:
     """Compute the dense series once, store it, and derive the other tables from the stored copy."""
-    clean, zones, timeline = store.require("clean", "zones", "timeline")
+    totals, zones, timeline = store.require(ZONE_TOTALS, "zones", "timeline")
     spans = zones.withColumns(
         {name: timeline.select(name).scalar() for name in ("first_hour", "last_hour")}
     )
-    data = store.write(zone_hour_data(clean, spans, params, zones_are_stored=True), "zone_hours", "date")
+    data = store.write(zone_hour_data(totals, spans, params), "zone_hours", "date")
     for name, table in slot_tables(data, params).items():
         store.write(table, name)
     store.write(zone_hours.feature_table(data), "features", date_column="date")

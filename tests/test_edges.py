@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from hailgrid.functions import clock, geo
 from hailgrid.functions.text import code_label
 from hailgrid.operators import accuracy, balance, moves, nearest, reshape, zone_hours
-from hailgrid.operators.demand import top_zones
+from hailgrid.operators.demand import top_zones, zone_hour_totals
 from hailgrid.operators.filters import hash_split, is_valid_trip, quality_counts, with_levels
 from hailgrid.operators.shares import apportion
 from hailgrid.params import COARSE_GRID, FINE_GRID, GridSpec, RideParams
@@ -129,11 +129,11 @@ def test_shared_folder_follows_the_session(spark):
 
 
 def test_hours_do_not_depend_on_the_session_time_zone(spark):
-    # 02:30 on this day does not exist in New York.
+    # 02:30 on that day does not exist in New York.
     frame = spark.sql("SELECT TIMESTAMP_NTZ'2016-03-13 02:30:59.5' AS ts")
     try:
         spark.conf.set("spark.sql.session.timeZone", "America/New_York")
-        floored = clock.with_calendar(frame.select(clock.hour_floor("ts").alias("ts"))).first()
+        floored = clock.with_calendar(frame.select(clock.hour_start("ts").alias("ts"))).first()
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert tuple(floored) == (datetime(2016, 3, 13, 2), date(2016, 3, 13), 2, 1, 1)
@@ -193,19 +193,19 @@ def test_dense_series_covers_every_hour_and_drops_late_dropoffs(spark):
         "zone_id long, drop_zone_id long, pickup_ts timestamp_ntz, dropoff_ts timestamp_ntz, trip_duration int",
     )
     params = RideParams(grid=COARSE_GRID, top_zones=2)
-    zones = top_zones(clean, params)
-    for stored in (False, True):
-        dense = zone_hours.dense_demand(clean, zones, params, zones_are_stored=stored)
-        got = {(z, ts.hour): (p, d) for z, ts, p, d in rows(dense)}
-        assert len(got) == 2 * 5
-        assert {k: v for k, v in got.items() if v != (0, 0)} == {
-            (5, 22): (1, 1),
-            (5, 23): (0, 1),
-            (6, 23): (1, 0),
-            (6, 0): (0, 1),
-            (5, 1): (2, 0),
-            (6, 1): (1, 1),
-        }
+    totals = zone_hour_totals(clean)
+    dense = zone_hours.dense_demand(totals, top_zones(totals, params), params)
+    got = {(z, ts.hour): (p, d) for z, ts, p, d in rows(dense)}
+    assert len(got) == 2 * 5
+    assert {k: v for k, v in got.items() if v != (0, 0)} == {
+        (5, 22): (1, 1),
+        (5, 23): (0, 1),
+        (6, 23): (1, 0),
+        (6, 0): (0, 1),
+        (5, 1): (2, 0),
+        (6, 1): (1, 1),
+    }
+    assert len(rows(zone_hours.hour_timeline(totals))) == 5
 
 
 def test_equal_volumes_rank_by_zone(spark):
@@ -213,7 +213,7 @@ def test_equal_volumes_rank_by_zone(spark):
         [(z, datetime(2024, 1, 1, h), 60) for z in (7, 3, 5) for h in (1, 2)],
         "zone_id long, pickup_ts timestamp_ntz, trip_duration int",
     )
-    top = top_zones(clean, RideParams(grid=COARSE_GRID, top_zones=2))
+    top = top_zones(zone_hour_totals(clean, dropoffs=False), RideParams(grid=COARSE_GRID, top_zones=2))
     assert [row.zone_id for row in top.orderBy("zone_id").collect()] == [3, 5]
 
 

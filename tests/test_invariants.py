@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from hailgrid.catalog.inputs import PARAMS, clean, one_fleet, trips, week_tables, zones
 from hailgrid.operators import balance, moves, nearest, zone_hours
-from hailgrid.operators.demand import top_zones, zone_hour_pickups
+from hailgrid.operators.demand import top_zones, zone_hour_pickups, zone_hour_totals
 from hailgrid.operators.shares import apportion
 from hailgrid.params import COARSE_GRID, RideParams
 from hailgrid.plans import dashboards, forecasting
@@ -105,8 +105,9 @@ def test_nearest_zone_against_all_pairs(spark):
 
 def test_series_keeps_every_modelled_pickup(spark):
     cleaned, top = clean(spark, SF), zones(spark, SF)
-    dense = zone_hours.dense_demand(cleaned, top, PARAMS)
-    hours = zone_hours.hour_timeline(cleaned).count()
+    totals = zone_hour_totals(cleaned)
+    dense = zone_hours.dense_demand(totals, top, PARAMS)
+    hours = zone_hours.hour_timeline(totals).count()
     total = dense.agg(F.count("*"), F.sum("demand"), F.countDistinct("zone_id", "ts")).first()
     assert total[0] == total[2] == PARAMS.top_zones * hours
     assert total[1] == cleaned.join(top, "zone_id", "left_semi").count()
@@ -145,7 +146,7 @@ def test_results_do_not_depend_on_layout(spark, week):
     assert fingerprint(1) == fingerprint(7)
     cleaned = clean(spark, SF)
     a, b = (
-        sorted(map(tuple, zone_hours.dense_demand(c, zones(spark, SF), PARAMS).collect()))
+        sorted(map(tuple, zone_hours.dense_demand(zone_hour_totals(c), zones(spark, SF), PARAMS).collect()))
         for c in (cleaned.coalesce(1), cleaned.repartition(6))
     )
     assert a == b
@@ -168,7 +169,12 @@ def test_hot_zone_holding_a_third_of_all_trips(spark):
     first = base.orderBy("id").limit(1)
     hot = first.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(third)))).drop("copy")
     skewed = base.unionByName(hot)
-    top = top_zones(skewed, PARAMS)
-    dense = zone_hours.dense_demand(skewed, top, PARAMS).filter("demand > 0").select("zone_id", "ts", "demand")
-    assert sorted(map(tuple, dense.collect())) == sorted(map(tuple, zone_hour_pickups(skewed, top, PARAMS).collect()))
+    totals = zone_hour_totals(skewed)
+    top = top_zones(totals, PARAMS)
+    dense = zone_hours.dense_demand(totals, top, PARAMS).filter("demand > 0").select("zone_id", "ts", "demand")
+    assert sorted(map(tuple, dense.collect())) == sorted(map(tuple, zone_hour_pickups(totals, top, PARAMS).collect()))
+    plain = skewed.join(top, "zone_id", "left_semi").groupBy("zone_id", F.date_trunc("hour", "pickup_ts").alias("ts"))
+    assert sorted(dense.agg(F.sum("demand"), F.count("*")).first()) == sorted(
+        plain.count().agg(F.sum("count"), F.count("*")).first()
+    )
     assert dense.agg(F.max("demand")).first()[0] > third

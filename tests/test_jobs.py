@@ -5,9 +5,8 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from hailgrid.catalog.inputs import PARAMS, features, trips
+from hailgrid.catalog.inputs import PARAMS, clean, features, trips
 from hailgrid.operators import demand
-from hailgrid.operators.demand import zone_hour_pickups
 from hailgrid.plans import forecasting, jobs
 from hailgrid.schemas import RESULT_SCHEMAS
 from hailgrid.sources.tables import MissingInput, ResultStore
@@ -127,19 +126,23 @@ def test_dates_prune_partitions_and_columns_prune_the_scan(store):
     assert "PartitionFilters: [isnotnull(date" in train
 
 
-def test_features_scan_trips_twice_and_shuffle_partial_sums(spark):
+def test_trips_are_scanned_once_and_shuffled_as_partial_sums(spark):
+    plan = plan_of(demand.zone_hour_totals(clean(spark, SF)))
+    assert plan.count("FileScan parquet") == plan.count("Exchange ") == 1
+    assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz>" in plan
+    assert plan.index("Exchange ") < plan.index("partial_sum")
+
+
+def test_features_read_only_stored_totals_and_join_nothing(spark):
     plan = plan_of(features(spark, SF))
-    assert plan.count("FileScan parquet") == 2
-    assert plan.count("ReadSchema: struct<event_id:bigint,ts:timestamp_ntz>") == 2
+    assert "events.parquet" not in plan
     # zones: by zone and to one row set; grid: by zone; series: by zone and hour, then by zone.
     assert plan.count("Exchange ") == 5
     assert "Join" not in plan
-    assert "partial_sum" in plan
 
 
-def test_small_zone_table_filters_trips_and_a_large_one_filters_their_counts(spark, store):
-    plan = plan_of(zone_hour_pickups(store.read("clean"), store.read("zones"), PARAMS))
-    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+def test_zone_table_is_broadcast_only_within_its_bound(spark, store):
+    totals, zones = store.read("zone_hour_totals"), store.read("zones")
+    assert "BroadcastHashJoin" in plan_of(demand.zone_hour_pickups(totals, zones, PARAMS))
     wide = replace(PARAMS, top_zones=10**7, grid=replace(PARAMS.grid, lon_max=1e9))
-    after = plan_of(zone_hour_pickups(store.read("clean"), store.read("zones").hint("merge"), wide))
-    assert after.index("SortMergeJoin") < after.index("partial_count")
+    assert "SortMergeJoin" in plan_of(demand.zone_hour_pickups(totals, zones.hint("merge"), wide))
