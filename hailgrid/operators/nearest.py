@@ -19,8 +19,9 @@ def cell_candidates(zones: DataFrame, params: RideParams) -> DataFrame:
     """For every grid cell, the zones that can be nearest to some point of the cell.
 
     A zone drops out if even its smallest distance to the cell exceeds another
-    zone's largest one. Distances are in half cells, hence exact integers. A
-    modelled cell lists only itself.
+    zone's largest one. Distances are in half cells, hence exact integers. Where
+    one zone remains, as in a modelled cell, it stands in ``only`` and the list
+    is null, so that most points carry no list at all.
     """
     grid = params.grid
     cells = zones.sparkSession.range(grid.n_cells).select(
@@ -42,11 +43,15 @@ def cell_candidates(zones: DataFrame, params: RideParams) -> DataFrame:
 
     reach = F.array_min(F.transform("centres", farthest))
     possible = F.filter("centres", lambda centre: closest(centre) <= F.col("reach"))
-    itself = F.filter("centres", lambda centre: centre.zone_id == F.col("cell"))
+    modelled = F.exists("centres", lambda centre: centre.zone_id == F.col("cell"))
+    first = F.get("possible", F.lit(0)).zone_id
     return (
-        cells.withColumns({"reach": reach, "itself": itself})
-        .withColumn("modelled", F.size("itself") > 0)
-        .select("cell", "modelled", F.when(F.col("modelled"), F.col("itself")).otherwise(possible).alias("candidates"))
+        cells.withColumns({"reach": reach, "modelled": modelled})
+        .withColumn("possible", possible)
+        .withColumn(
+            "only", F.when(F.col("modelled"), F.col("cell")).when(F.size("possible") == 1, first)
+        )
+        .select("cell", "modelled", "only", F.when(F.col("only").isNull(), F.col("possible")).alias("candidates"))
     )
 
 
@@ -68,18 +73,19 @@ def nearest_zone(points: DataFrame, zones: DataFrame, params: RideParams) -> Dat
     lon, lat = F.col("lon"), F.col("lat")
     listed = F.broadcast(cell_candidates(zones, params))
     own = points.withColumn("cell", F.when(in_box("lon", "lat", grid), zone_id("lon", "lat", grid)))
-    choices = own.join(listed, "cell", "left").withColumn(
-        "candidates", F.coalesce("candidates", _centres(zones))
-    )
+    choices = F.when(F.col("only").isNull(), F.coalesce("candidates", _centres(zones)))
 
     def offer(centre) -> Column:
         distance = squared(centre.lon - lon) + squared(centre.lat - lat)
         return F.struct(distance.alias("d2"), centre.zone_id.alias("zone_id"))
 
-    first = F.get("candidates", F.lit(0)).zone_id
-    nearest = F.array_min(F.transform("candidates", offer)).zone_id
+    nearest = F.array_min(F.transform("choices", offer)).zone_id
     return (
-        choices.withColumn("zone_id", F.when(F.size("candidates") == 1, first).otherwise(nearest))
-        .withColumn("modelled", F.coalesce("modelled", F.lit(False)))
-        .drop("cell", "candidates")
+        own.join(listed, "cell", "left")
+        .withColumn("choices", choices)
+        .select(
+            *points.columns,
+            F.coalesce("modelled", F.lit(False)).alias("modelled"),
+            F.coalesce("only", nearest).alias("zone_id"),
+        )
     )
