@@ -232,6 +232,19 @@ def predicted_by_hour(spark, sf):
     return _rounded(dashboards.predicted_by_hour(week_tables(spark, sf).pred_grid), "prediction")
 
 
+@query(
+    "predicted_peak_hour",
+    with_tables(
+        """SELECT hour, round(sum(prediction), 6) AS prediction FROM pred_grid
+GROUP BY hour ORDER BY prediction DESC, hour LIMIT 1""",
+        "pred_grid",
+    ),
+)
+def predicted_peak_hour(spark, sf):
+    hours = _rounded(dashboards.predicted_by_hour(week_tables(spark, sf).pred_grid), "prediction")
+    return dashboards.largest_row(hours, "prediction", "hour")
+
+
 @query(
     "zone_day_curve",
     with_tables("SELECT hour, prediction, hist_mean FROM pred_grid WHERE zone_id = 0 AND dow = 5", "pred_grid"),
