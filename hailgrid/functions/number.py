@@ -18,5 +18,5 @@ def non_negative(value: Column) -> Column:
 
 
 def whole_quotient(a: Column, b: Column) -> Column:
-    """Integer quotient of two longs, exact beyond the range a double can hold."""
+    """Integer quotient, exact beyond the range a double can hold."""
     return F.call_function("div", a, b)

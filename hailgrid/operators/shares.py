@@ -7,6 +7,9 @@ from pyspark.sql.types import IntegralType
 
 WEIGHT_SCALE = 1_000_000
 
+# The product of two longs needs more than 64 bits.
+WIDE = "CAST({} AS DECIMAL(19, 0))"
+
 
 def weight_units(df: DataFrame, weight: str) -> Column:
     """Weights as whole numbers, so that sums do not depend on the order of rows.
@@ -31,8 +34,12 @@ def apportion(
     return (
         df.withColumn("_units", weight_units(df, weight))
         .selectExpr("*", f"sum(_units) OVER ({group}) AS _sum")
-        .selectExpr("*", f"CASE WHEN {total} > 0 AND _sum > 0 THEN CAST({total} AS BIGINT) * _units END AS _product")
-        .selectExpr("*", "coalesce(_product DIV _sum, 0L) AS _base", "coalesce(_product % _sum, 0L) AS _rest")
+        .selectExpr("*", f"IF({total} > 0 AND _sum > 0, {WIDE.format(total)} * {WIDE.format('_units')}, NULL) AS _product")
+        .selectExpr(
+            "*",
+            "coalesce(_product DIV _sum, 0L) AS _base",
+            "coalesce(CAST(_product % _sum AS BIGINT), 0L) AS _rest",
+        )
         .selectExpr(
             "*",
             f"IF({total} > 0 AND _sum > 0, {total} - sum(_base) OVER ({group}), 0) AS _left",

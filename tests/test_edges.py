@@ -229,6 +229,14 @@ def test_apportion_ties_zeros_and_totals(spark):
     assert rows(split) == [(1, 10, 1), (1, 11, 1), (1, 12, 0), (2, 10, 0), (2, 11, 0), (3, 9, 7), (4, 1, 0)]
 
 
+def test_shares_of_very_large_fleets_do_not_overflow(spark):
+    fleet = 3_000_000_000_000
+    weights = spark.createDataFrame([(1, z, float(z) * 1e6, fleet) for z in (1, 2, 3)], "s int, zone_id long, w double, n long")
+    assert rows(apportion(weights, "w", "n", ["s"], "part").select("zone_id", "part")) == [
+        (1, fleet // 6), (2, fleet // 3), (3, fleet // 2)
+    ]
+
+
 SLOTS = "dow int, hour int, zone_id long, zone_x int, zone_y int, prediction double, avg_dropoffs double"
 
 
