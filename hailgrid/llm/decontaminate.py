@@ -160,6 +160,16 @@ def merged(a: list[tuple[int, int]], b: list[tuple[int, int]]) -> list[tuple[int
     return out
 
 
+def passes(benchmark: DataFrame, length: int, pass_bytes: int) -> Iterator[list[WindowTables]]:
+    """Tables for one part of the benchmark after the other, each of about ``pass_bytes`` of text."""
+    size = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    count = -(-size // pass_bytes) or 1
+    items = benchmark.filter("text is not null").select(F.col("item_id").cast("string").alias("item"), "text")
+    for k in range(count):
+        part = items.filter(F.pmod(F.xxhash64("item"), F.lit(count)) == k).collect()
+        yield window_tables([(r["item"] or "", r["text"]) for r in part], length)
+
+
 def benchmark_hits(docs: DataFrame, benchmark: DataFrame, length: int = 10, pass_bytes: int = PASS_BYTES) -> DataFrame:
     """Every occurrence of a benchmark window in the documents.
 
@@ -171,13 +181,28 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, length: int = 10, pass
     benchmark hits nothing. The driver holds at most about ``pass_bytes`` of the
     benchmark: a larger one is searched in several passes over each batch.
     """
-    size = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    passes = -(-size // pass_bytes) or 1
-    items = benchmark.filter("text is not null").select(F.col("item_id").cast("string").alias("item"), "text")
     out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    for k in range(passes):
-        part = items.filter(F.pmod(F.xxhash64("item"), F.lit(passes)) == k).collect()
-        out = search_pass(out, window_tables([(r["item"] or "", r["text"]) for r in part], length))
+    for tables in passes(benchmark, length, pass_bytes):
+        out = search_pass(out, tables)
+    return out
+
+
+def uncontaminated(docs: DataFrame, benchmark: DataFrame, length: int = 10, pass_bytes: int = PASS_BYTES) -> DataFrame:
+    """The rows of ``docs``, with all columns, in which no benchmark window occurs."""
+
+    def clean(tables: list[WindowTables]):
+        shared = docs.sparkSession.sparkContext.broadcast(tables)
+
+        def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in slices(batches):
+                _, _, items = scan(batch.column("text"), shared.value)
+                yield batch.filter(pa.array([not x for x in items], pa.bool_()))
+
+        return keep
+
+    out = docs
+    for tables in passes(benchmark, length, pass_bytes):
+        out = out.mapInArrow(clean(tables), docs.schema)
     return out
 
 

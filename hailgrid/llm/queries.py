@@ -4,18 +4,125 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from hailgrid.llm.chat import PROBE_ID, PROBE_TEXT, chat_digest
 from hailgrid.llm.decontaminate import contamination
+from hailgrid.llm.language import languages
+from hailgrid.llm.minhash import edited_fingerprints
+from hailgrid.llm.packing import packed
+from hailgrid.llm.pages import page_texts
+from hailgrid.llm.pii import pii_digest
 from hailgrid.llm.registry import query, table
+from hailgrid.llm.shards import shard_digest
 from hailgrid.llm.simhash import simhash_groups
 from hailgrid.llm.substrings import substring_digest
 
 
-@query("op5_decontaminate")
+@query("op1_pii")
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    return pii_digest(table(spark, sf, "documents"))
+
+
+CHAT_SQL = rf"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT {PROBE_ID}, 0, 'user', '{PROBE_TEXT}'
+  UNION ALL SELECT {PROBE_ID}, 1, 'assistant', '{PROBE_TEXT}'
+), sized AS (
+  SELECT *, CASE WHEN role = 'assistant' THEN text ELSE '' END AS loss,
+    length('<|im_start|><|im_end|>') + 2 + length(role) + length(regexp_replace(text, '<(\\*n?)\|', '<\\\1|', 'g')) AS size
+  FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  CAST(sum(length(loss)) AS BIGINT) AS loss_chars,
+  sha256(string_agg(loss, '' ORDER BY turn)) AS loss_sha256,
+  CAST(sum(size) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+
+@query("op2_chat", CHAT_SQL)
+def op2(spark: SparkSession, sf: str) -> DataFrame:
+    return chat_digest(table(spark, sf, "conversations"))
+
+
+@query("op3_minhash")
+def op3(spark: SparkSession, sf: str) -> DataFrame:
+    return edited_fingerprints(table(spark, sf, "documents"))
+
+
+@query("op4_language")
+def op4(spark: SparkSession, sf: str) -> DataFrame:
+    return languages(table(spark, sf, "documents"))
+
+
+CONTAMINATION_SQL = r"""
+WITH item_words AS (
+  SELECT CAST(item_id AS VARCHAR) AS item,
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM benchmark WHERE text IS NOT NULL
+), windows AS (
+  SELECT DISTINCT item, least(10, len(words)) AS size, list_slice(words, k, k + least(10, len(words)) - 1) AS win
+  FROM (SELECT item, words, unnest(range(1, len(words) - least(10, len(words)) + 2)) AS k FROM item_words WHERE len(words) > 0)
+), doc_words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), starts AS (
+  SELECT doc_id, size, k, list_slice(words, k, k + size - 1) AS win
+  FROM (SELECT doc_id, words, size, unnest(range(1, len(words) - size + 2)) AS k
+        FROM doc_words, (SELECT DISTINCT size FROM windows) WHERE len(words) >= size)
+), found AS (
+  SELECT doc_id, item, starts.size AS size, k FROM starts JOIN windows USING (size, win)
+), hit AS (
+  SELECT doc_id, count(DISTINCT w) AS n_hit
+  FROM (SELECT doc_id, unnest(range(k, k + size)) AS w FROM found) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc_words LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
+@query("op5_decontaminate", CONTAMINATION_SQL)
 def op5(spark: SparkSession, sf: str) -> DataFrame:
     return contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
-@query("op8_substring_dedup")
+@query("op6_shards")
+def op6(spark: SparkSession, sf: str) -> DataFrame:
+    return shard_digest(table(spark, sf, "documents"))
+
+
+@query("op7_packing")
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    return packed(table(spark, sf, "documents"))
+
+
+SUBSTRING_SQL = r"""
+WITH split AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), starts AS (
+  SELECT doc_id, k, list_slice(words, k, k + 34) AS win
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 33)) AS k FROM split WHERE len(words) >= 35)
+), repeated AS (
+  SELECT win FROM starts GROUP BY win HAVING count(*) > 1
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(k, k + 35)) AS w FROM starts JOIN repeated USING (win)
+), word AS (
+  SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS w FROM split
+), kept AS (
+  SELECT word.doc_id, count(gone.w) AS n_removed, string_agg(word, ' ' ORDER BY word.w) FILTER (WHERE gone.w IS NULL) AS kept
+  FROM word LEFT JOIN gone ON word.doc_id = gone.doc_id AND word.w = gone.w GROUP BY word.doc_id
+)
+SELECT split.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM split LEFT JOIN kept ON split.doc_id = kept.doc_id
+"""
+
+
+@query("op8_substring_dedup", SUBSTRING_SQL)
 def op8(spark: SparkSession, sf: str) -> DataFrame:
     return substring_digest(table(spark, sf, "documents"))
 
@@ -24,3 +131,8 @@ def op8(spark: SparkSession, sf: str) -> DataFrame:
 def op9(spark: SparkSession, sf: str) -> DataFrame:
     groups = simhash_groups(table(spark, sf, "documents"))
     return groups.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query("op10_pages")
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    return page_texts(table(spark, sf, "pages"))

@@ -60,16 +60,18 @@ def simhash(text: str | None, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id and fp (the fingerprint's 64 bits as a signed long) of every row."""
+    """doc_id, text_hash and fp (the fingerprint's 64 bits as a signed long) of every row."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text")
-            found = np.fromiter((simhash(texts[k].as_py(), shingle) for k in range(len(texts))), np.uint64, len(texts))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+            found = np.array([simhash(t, shingle) for t in batch.column("text").to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array(found.view(np.int64))], names=["doc_id", "text_hash", "fp"]
+            )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(hashed, "doc_id long, fp long")
+    text = F.col("text").cast("string")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    return rows.mapInArrow(hashed, "doc_id long, text_hash long, fp long")
 
 
 def distance(a: Column, b: Column) -> Column:
@@ -130,23 +132,51 @@ def pivot_links(fps: DataFrame, radius: int, n_references: int = REFERENCES, see
     return verified.filter(F.col("k") == first).select("a", "b")
 
 
+def fingerprint_groups(hashed: DataFrame, radius: int) -> DataFrame:
+    """By fingerprint: component_id, and ``first``, which names the one row of the group that stays.
+
+    Equal fingerprints are one node, so copies cost one row each, however many
+    there are.
+    """
+    name = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    nodes = stored(hashed.groupBy("fp").agg(F.min("doc_id").alias("component_id"), F.min(name).alias("first")), "simhash-nodes")
+    links = pivot_links(nodes.select("fp"), radius)
+    members = stored(connected(links.select(F.col("a").alias("u"), F.col("b").alias("v"))), "simhash-members")
+    best = (
+        members.join(nodes, members.node == nodes.fp)
+        .groupBy("root")
+        .agg(F.min("component_id").alias("group_id"), F.min("first").alias("group_first"))
+    )
+    grouped = members.join(best, "root").select(F.col("node").alias("fp"), "group_id", "group_first")
+    return nodes.join(grouped, "fp", "left").select(
+        "fp", F.coalesce("group_id", "component_id").alias("component_id"), F.coalesce("group_first", "first").alias("first")
+    )
+
+
 def simhash_groups(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
     """Near-duplicate groups: fingerprints within ``radius`` bits are linked, transitively.
 
     docs: doc_id, text; other columns are ignored. Returns doc_id, fp and
     component_id, the smallest doc_id of the group, one row per row of
     ``docs``. Null, empty and blank texts have fingerprint zero and are linked
-    like any other. Equal fingerprints are one node, so copies cost one row
-    each, however many there are; the smallest id of a fingerprint is kept
-    beside it. A null doc_id is never a component_id unless its group has
-    no other.
+    like any other. A null doc_id is a component_id only if its group has no
+    other.
     """
     hashed = stored(fingerprints(docs, shingle), "simhash")
-    nodes = stored(hashed.groupBy("fp").agg(F.min("doc_id").alias("smallest")), "simhash-nodes")
-    links = pivot_links(nodes.select("fp"), radius)
-    # nodes are named by their smallest id, so that the smallest name of a group is its component_id
-    members = connected(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    named = members.join(nodes, members.node == nodes.fp).groupBy("root").agg(F.min("smallest").alias("component_id"))
-    grouped = members.join(named, "root").select(F.col("node").alias("fp"), "component_id")
-    roots = nodes.join(grouped, "fp", "left").select("fp", F.coalesce("component_id", "smallest").alias("component_id"))
-    return hashed.join(roots, "fp").select("doc_id", "fp", "component_id")
+    return hashed.join(fingerprint_groups(hashed, radius), "fp").select("doc_id", "fp", "component_id")
+
+
+def one_of_each_group(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
+    """The rows of ``docs``, with all columns, that stay if each near-duplicate group keeps one.
+
+    The row with the smallest doc_id stays; null ids come last, ties go by a
+    hash of the text, and of rows alike in both one stays.
+    """
+    hashed = stored(fingerprints(docs, shingle), "simhash")
+    # every fingerprint of a group names the same row
+    names = fingerprint_groups(hashed, radius).select("first.doc_id", "first.text_hash").distinct()
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
+    keep = names.select(key.alias("_id"), F.col("text_hash").alias("_hash"), F.col("doc_id").isNull().alias("_none"))
+    keyed = docs.withColumns({"_id": key, "_hash": F.xxhash64(F.col("text").cast("string")), "_none": F.col("doc_id").isNull()})
+    kept = keyed.join(keep, ["_id", "_hash", "_none"], "left_semi").dropDuplicates(["_id", "_hash", "_none"])
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

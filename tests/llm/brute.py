@@ -88,3 +88,54 @@ def simhash_groups(docs, shingle=3, radius=2):
     distinct = list(places)
     links += [(places[a][0], places[b][0]) for n, a in enumerate(distinct) for b in distinct[n + 1 :] if (a ^ b).bit_count() <= radius]
     return [(i, p, c) for (i, _), p, c in zip(docs, prints, groups([i for i, _ in docs], links), strict=True)]
+
+
+PATTERNS = {
+    "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+    "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+    "card": re.compile(r"[0-9]([\x20-]?[0-9])+"),
+    "phone": re.compile(r"\+[0-9][\x20().0-9-]+[0-9]"),
+}
+
+
+def luhn(digits):
+    total = 0
+    for k, c in enumerate(reversed(digits)):
+        d = int(c) * (2 if k % 2 else 1)
+        total += d // 10 + d % 10
+    return total % 10 == 0
+
+
+def base_spans(text):
+    out = []
+    for order, (kind, pattern) in enumerate(PATTERNS.items()):
+        for m in pattern.finditer(text or ""):
+            digits = re.sub("[^0-9]", "", m[0])
+            good = {
+                "email": lambda: True,
+                "ip": lambda m=m: all(int(p) <= 255 for p in m[0].split(".")),
+                "card": lambda d=digits: 14 <= len(d) <= 19 and luhn(d),
+                "phone": lambda d=digits: 10 <= len(d) <= 15,
+            }[kind]()
+            if good:
+                out.append((m.start(), order, m.end(), kind))
+    return [(a, b, kind) for a, _, b, kind in sorted(out)]
+
+
+def edited(docs):
+    """doc_id, length, edited text, next text; ascending ids, nulls last, ties by text."""
+    order = sorted(docs, key=lambda x: (x[0] is None, x[0] or 0, x[1] is not None, x[1] or ""))
+    out = []
+    for k, (doc_id, text) in enumerate(order):
+        text, after = text or "", order[(k + 1) % len(order)][1] or ""
+        half = len(text) // 2
+        out.append((doc_id, len(text), text[: len(text) - half] + after[:half], text, after))
+    return out
+
+
+def lpt_loads(groups, shards):
+    """Largest group first, always to the least-loaded shard."""
+    loads = [0] * shards
+    for size in sorted(groups, reverse=True):
+        loads[loads.index(min(loads))] += size
+    return sorted(loads)
