@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from hailgrid.catalog.inputs import PARAMS, SCARCE_FLEET, SCENARIOS, one_fleet, slot_predictions, week_tables
+from hailgrid.catalog.inputs import FINE, PARAMS, SCARCE_FLEET, SCENARIOS, one_fleet, slot_predictions, week_tables
 from hailgrid.catalog.registry import query
-from hailgrid.catalog.sql import ALLOCATION, CELL, day_number, greedy, moved_km, with_tables
+from hailgrid.catalog.sql import ALLOCATION, CELL, day_number, greedy, moved_km, tables, with_tables
 from hailgrid.operators import balance, moves
 from hailgrid.operators.filters import slot_rows
 from hailgrid.operators.ranking import busier_than, top_n
@@ -40,6 +40,11 @@ def _allocated(week, fleet=PARAMS.fleet):
     return balance.allocate_zones(one_fleet(_slots(week), fleet))
 
 
+def _stored(week, fleet=PARAMS.fleet):
+    """The allocation as a table: moves and key figures read it instead of planning it again."""
+    return week.store.write(_allocated(week, fleet), "allocation")
+
+
 def _floored(week):
     slots = balance.slot_frame_same_hour(week.pred_grid, week.zones, week.supply, PARAMS.max_zones)
     return with_cells(balance.allocate_zones_by_floor(one_fleet(slots, PARAMS.fleet)))
@@ -82,16 +87,16 @@ def busier_than_pct(spark, sf):
 @query(
     "apportion_current",
     with_tables(
-        """SELECT dow, hour, zone_id, avg_dropoffs,
-  CASE WHEN sum(avg_dropoffs) OVER (PARTITION BY dow, hour) > 0 THEN current ELSE 0 END AS current
+        """SELECT dow, hour, zone_id, dropoffs,
+  CASE WHEN sum(dropoffs) OVER (PARTITION BY dow, hour) > 0 THEN current ELSE 0 END AS current
 FROM allocation JOIN slot_frame USING (dow, hour, zone_id)""",
         "allocation",
     ),
 )
 def apportion_current(spark, sf):
     slots = one_fleet(_slots(week_tables(spark, sf)), PARAMS.fleet)
-    split = apportion(slots, "avg_dropoffs", "fleet", balance.SLOT_KEYS, "current")
-    return split.select("dow", "hour", "zone_id", "avg_dropoffs", "current")
+    split = apportion(slots, "dropoffs", "fleet", balance.SLOT_KEYS, "current")
+    return split.select("dow", "hour", "zone_id", "dropoffs", "current")
 
 
 @query("alloc_zone", with_tables(f"SELECT {ALLOCATION} FROM allocation WHERE dow = 5 AND hour = 18", "allocation"))
@@ -130,7 +135,7 @@ MOVES_SQL = greedy(
 @query("allocation_moves", MOVES_SQL)
 def allocation_moves(spark, sf):
     week = week_tables(spark, sf)
-    return allocate(week.pred_grid, week.zones, week.supply, PARAMS)[1]
+    return allocate(week.pred_grid, week.zones, week.supply, PARAMS, store=week.store)[1]
 
 
 @query(
@@ -143,7 +148,7 @@ def allocation_moves(spark, sf):
     ),
 )
 def scarce_moves(spark, sf):
-    return moves.rebalancing_moves(_allocated(week_tables(spark, sf), SCARCE_FLEET), PARAMS.grid)
+    return moves.rebalancing_moves(_stored(week_tables(spark, sf), SCARCE_FLEET), PARAMS.grid)
 
 
 @query(
@@ -157,7 +162,7 @@ ORDER BY drivers DESC, dow, hour, from_zone, to_zone LIMIT 50""",
     ),
 )
 def top_moves(spark, sf):
-    moved = moves.rebalancing_moves(_allocated(week_tables(spark, sf)), PARAMS.grid)
+    moved = moves.rebalancing_moves(_stored(week_tables(spark, sf)), PARAMS.grid)
     return top_n(moved, "drivers", 50, "dow", "hour", "from_zone", "to_zone")
 
 
@@ -174,7 +179,7 @@ QUALIFY row_number() OVER (PARTITION BY t.dow, t.hour, t.zone_id ORDER BY
     ),
 )
 def move_candidates(spark, sf):
-    return moves.first_choice(_allocated(week_tables(spark, sf)))
+    return moves.first_choice(_stored(week_tables(spark, sf)))
 
 
 @query(
@@ -223,7 +228,7 @@ LEFT JOIN (SELECT dow, hour, from_zone, sum(drivers) AS n FROM moves GROUP BY AL
 )
 def apply_moves(spark, sf):
     week = week_tables(spark, sf)
-    allocated, _ = allocate(week.pred_grid, week.zones, week.supply, PARAMS, variant="b")
+    allocated, _ = allocate(week.pred_grid, week.zones, week.supply, PARAMS, variant="b", store=week.store)
     return allocated.select("dow", "hour", "zone_id", "needed", "current", "assigned", "short_after")
 
 
@@ -242,7 +247,7 @@ GROUP BY dow, hour""",
     ),
 )
 def all_slot_kpis(spark, sf):
-    allocated = _allocated(week_tables(spark, sf))
+    allocated = _stored(week_tables(spark, sf))
     moved = moves.rebalancing_moves(allocated, PARAMS.grid)
     kpis = slot_kpis(allocated, moved, PARAMS.fleet, balance.SLOT_KEYS)
     return kpis.withColumn("trips", F.round("trips", 6))
@@ -263,3 +268,13 @@ def slot_shortage_b(spark, sf):
     slots = balance.slot_frame_same_hour(week.pred_grid, week.zones, week.supply, PARAMS.max_zones)
     shortage = estimated_shortage(one_fleet(slots, SCARCE_FLEET), balance.SLOT_KEYS)
     return shortage.withColumn("trips", F.round("trips", 6))
+
+
+FINE_TABLES = tables(FINE, [(FINE.fleet, FINE.trips_per_driver)])
+
+
+@query("allocation_fine", with_tables(f"SELECT {ALLOCATION} FROM allocation", "allocation", ctes=FINE_TABLES))
+def allocation_fine(spark, sf):
+    """Cells of 0.01 degrees, 200 zones, 3000 drivers."""
+    week = week_tables(spark, sf, FINE)
+    return allocate(week.pred_grid, week.zones, week.supply, FINE)[0]

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.ml import PipelineModel
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession, functions as F
 
 from hailgrid.catalog.inputs import PARAMS, dense, features, stored_features, totals, week_tables
 from hailgrid.catalog.registry import query
@@ -15,9 +17,6 @@ from hailgrid.plans import forecasting
 from hailgrid.plans.jobs import MODEL_PATH
 from hailgrid.sources.tables import ResultStore, shared_folder
 
-# Few and shallow trees: the queries show that fitting and scoring work, not how well.
-QUICK = forecasting.BoostParams(rounds=5, depth=3)
-
 METRICS_SQL = """SELECT 'baseline_zone_hour_dow_mean' AS model, {mean} AS mae, {mean_rmse} AS rmse FROM test
 UNION ALL SELECT 'baseline_same_slot_last_week', {lag}, {lag_rmse} FROM test""".format(
     mean="round(avg(abs(demand - hist_mean)), 6)",
@@ -28,10 +27,26 @@ UNION ALL SELECT 'baseline_same_slot_last_week', {lag}, {lag_rmse} FROM test""".
 TEST_SQL = f"test AS MATERIALIZED (SELECT * FROM features WHERE date >= {TRAIN_END})"
 
 
-def _held_out(spark, sf):
-    """The model fitted on the train dates of the stored features, the test dates scored."""
+@lru_cache(maxsize=4)
+def _fitted(application: str, sf: str) -> tuple[str, str]:
+    """Paths of the boosted trees and of the test dates they scored: one fit serves a session's model queries."""
+    spark = SparkSession.getActiveSession()
+    store = ResultStore(spark, shared_folder(spark, "model"))
     train, test = split_by_date(stored_features(spark, sf), PARAMS.train_end)
-    return forecasting.held_out_predictions(forecasting.train_boosted(train, QUICK), test)
+    model = forecasting.train_boosted(train)
+    model.write().overwrite().save(store.path(MODEL_PATH))
+    store.write(forecasting.held_out_predictions(model, test), "scored")
+    return store.path(MODEL_PATH), store.path("scored")
+
+
+def _held_out(spark, sf):
+    """The test dates, scored by the model fitted on the train dates of the stored features."""
+    return spark.read.parquet(_fitted(spark.sparkContext.applicationId, sf)[1])
+
+
+def _slot_forecast(spark, sf):
+    store = ResultStore(spark, shared_folder(spark, "slots"))
+    return forecasting.slot_forecast(store.write(slot_demand(totals(spark, sf, "date", "hour")), "slot_demand"))
 
 
 def _rounded(metrics):
@@ -55,8 +70,7 @@ def hash_split(spark, sf):
 
 @query("rf_slot_forecast")
 def rf_slot_forecast(spark, sf):
-    store = ResultStore(spark, shared_folder(spark, "slots"))
-    return forecasting.slot_forecast(store.write(slot_demand(totals(spark, sf, "date", "hour")), "slot_demand"), trees=10)
+    return _slot_forecast(spark, sf)
 
 
 @query("gbt_forecast")
@@ -108,13 +122,51 @@ def typical_grid(spark, sf):
     return forecasting.typical_week(zone_hours.hist_mean(dense(spark, sf), PARAMS.train_end))
 
 
+def _pred_grid(spark, sf):
+    """Load the stored model and score every zone and weekly slot."""
+    model = PipelineModel.load(_fitted(spark.sparkContext.applicationId, sf)[0])
+    return forecasting.predict_grid(model, week_tables(spark, sf).hist)
+
+
 @query("pred_grid")
 def pred_grid(spark, sf):
-    """Fit, save, load, and score every zone and weekly slot."""
-    week = week_tables(spark, sf)
-    data = zone_hours.with_hist_mean(zone_hours.with_weekly_lag(week.data), PARAMS.train_end)
-    features = week.store.write(zone_hours.feature_table(data), "features")
-    train, _ = split_by_date(features, PARAMS.train_end)
-    path = week.store.path(MODEL_PATH)
-    forecasting.train_boosted(train, QUICK).write().overwrite().save(path)
-    return forecasting.predict_grid(PipelineModel.load(path), week.hist)
+    return _pred_grid(spark, sf)
+
+
+# What SQL can say of the fitted results: keys, actuals, baselines, bounds.
+
+
+@query(
+    "test_preds_keys",
+    with_tables("SELECT zone_id, ts, demand, hist_mean, true AS not_negative FROM test", "features", extra=TEST_SQL),
+)
+def test_preds_keys(spark, sf):
+    return _held_out(spark, sf).select("zone_id", "ts", "demand", "hist_mean", (F.col("prediction") >= 0).alias("not_negative"))
+
+
+@query("pred_grid_keys", with_tables("SELECT zone_id, dow, hour, hist_mean, true AS not_negative FROM pred_grid", "pred_grid"))
+def pred_grid_keys(spark, sf):
+    return _pred_grid(spark, sf).select("zone_id", "dow", "hour", "hist_mean", (F.col("prediction") >= 0).alias("not_negative"))
+
+
+@query("model_metrics_baselines", with_tables(METRICS_SQL, "features", extra=TEST_SQL))
+def model_metrics_baselines(spark, sf):
+    metrics = forecasting.model_metrics(_held_out(spark, sf))
+    return _rounded(metrics.filter(F.col("model") != forecasting.MODEL))
+
+
+@query(
+    "rf_slot_keys",
+    with_tables(
+        f"""SELECT *, true AS in_range FROM (SELECT CAST(hour(pickup_ts) AS INTEGER) AS pickup_hour, {day_number('pickup_ts')} AS day_of_week,
+  count(*) AS total_trips FROM trips GROUP BY ALL)
+WHERE CAST('0x' || substr(md5('42:' || pickup_hour || ':' || day_of_week), 1, 8) AS BIGINT) % 10000 >= 8000""",
+        "trips",
+    ),
+)
+def rf_slot_keys(spark, sf):
+    """A forest averages totals it has seen, so no forecast leaves their range."""
+    forecast = _slot_forecast(spark, sf)
+    seen = slot_demand(totals(spark, sf, "date", "hour")).agg(F.struct(F.min("total_trips").alias("lo"), F.max("total_trips").alias("hi"))).scalar()
+    inside = F.col("prediction").between(seen["lo"], seen["hi"])
+    return forecast.select("pickup_hour", "day_of_week", "total_trips", inside.alias("in_range"))

@@ -8,9 +8,17 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from hailgrid.operators import zone_hours
 from hailgrid.operators.balance import with_scenarios
-from hailgrid.operators.demand import slot_demand, top_zones, trip_totals, zone_demand, zone_hour_totals
+from hailgrid.operators.demand import (
+    busiest_zones,
+    slot_demand,
+    top_zones,
+    trip_totals,
+    zone_demand,
+    zone_hour_totals,
+    zone_totals,
+)
 from hailgrid.operators.filters import pickup_in_box
-from hailgrid.params import COARSE_GRID, RideParams
+from hailgrid.params import COARSE_GRID, FINE_GRID, RideParams
 from hailgrid.plans.cleaning import clean_trips
 from hailgrid.plans.dashboards import with_missing_centres
 from hailgrid.plans.features import zone_hour_data
@@ -20,6 +28,8 @@ from hailgrid.sources.trips import trips_from_events
 PARAMS = RideParams(
     grid=COARSE_GRID, top_zones=20, train_end="2024-01-22", fleet=100, trips_per_driver=2.0
 )
+# The settings of the published jobs: cells of 0.01 degrees, 200 zones, 3000 drivers.
+FINE = RideParams(grid=FINE_GRID, train_end="2024-01-22")
 SCARCE_FLEET = 5
 SCENARIOS = [(100, 2.0), (5, 2.0), (40, 1.0), (10, 3.0)]
 SHIFT = (7, 18)
@@ -40,37 +50,52 @@ def points(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def clean(spark: SparkSession, sf: str) -> DataFrame:
-    return clean_trips(trips(spark, sf), PARAMS)
+def clean(spark: SparkSession, sf: str, params: RideParams = PARAMS) -> DataFrame:
+    return clean_trips(trips(spark, sf), params)
 
 
 def zones(spark: SparkSession, sf: str) -> DataFrame:
-    return top_zones(zone_hour_totals(clean(spark, sf), dropoffs=False), PARAMS)
+    """The modelled zones with their span, from stored totals."""
+    return top_zones(stored_totals(spark, sf), PARAMS)
+
+
+def zone_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The modelled zones alone: one grouping by zone."""
+    return busiest_zones(zone_totals(clean(spark, sf)), PARAMS)
+
 
+def stored_zones(spark: SparkSession, sf: str) -> DataFrame:
+    return ResultStore(spark, shared_folder(spark, "zones")).write(zone_table(spark, sf), "zones")
 
-def stored_totals(spark: SparkSession, sf: str) -> DataFrame:
+
+def stored_totals(spark: SparkSession, sf: str, params: RideParams = PARAMS) -> DataFrame:
     """Totals per cell and hour, written to the shared folder.
 
     Zones and series both start from them, so without the copy the trips would
     be scanned once for each.
     """
     store = ResultStore(spark, shared_folder(spark, "totals"))
-    return store.write(zone_hour_totals(clean(spark, sf)), "zone_hour_totals")
+    return store.write(zone_hour_totals(clean(spark, sf, params)), "zone_hour_totals")
 
 
 def all_zones(spark: SparkSession, sf: str) -> DataFrame:
     return zone_demand(totals(spark, sf, "zone_id"))
 
 
-def dense(spark: SparkSession, sf: str) -> DataFrame:
-    counted = stored_totals(spark, sf)
-    filled = zone_hours.dense_demand(counted, top_zones(counted, PARAMS), PARAMS)
-    return zone_hours.with_zone_calendar(filled)
+def stored_all_zones(spark: SparkSession, sf: str) -> DataFrame:
+    """Every zone's demand as a table, for queries that read it for a bound and for the rows."""
+    return ResultStore(spark, shared_folder(spark, "zone-demand")).write(all_zones(spark, sf), "zone_demand")
+
+
+def dense(spark: SparkSession, sf: str, params: RideParams = PARAMS) -> DataFrame:
+    counted = stored_totals(spark, sf, params)
+    filled = zone_hours.dense_demand(counted, top_zones(counted, params), params)
+    return zone_hours.with_zone_calendar(filled, params.grid.stride)
 
 
-def features(spark: SparkSession, sf: str) -> DataFrame:
-    counted = stored_totals(spark, sf)
-    return zone_hours.feature_table(zone_hour_data(counted, top_zones(counted, PARAMS), PARAMS))
+def features(spark: SparkSession, sf: str, params: RideParams = PARAMS) -> DataFrame:
+    counted = stored_totals(spark, sf, params)
+    return zone_hours.feature_table(zone_hour_data(counted, top_zones(counted, params), params))
 
 
 def stored_features(spark: SparkSession, sf: str) -> DataFrame:
@@ -96,22 +121,24 @@ class WeekTables:
     pred_grid: DataFrame
 
 
-def week_tables(spark: SparkSession, sf: str) -> WeekTables:
+def week_tables(spark: SparkSession, sf: str, params: RideParams = PARAMS) -> WeekTables:
     """The tables of the allocation queries, which read each of them several times.
 
-    The series is written to the shared folder first, and the zones follow from
-    it. So the trips are scanned once, however many branches the query has, and
-    a lost executor costs a reread of a small table.
+    The series is written to the shared folder first, then its summary by
+    weekly slot, from which zones, history and supply follow. So the trips are
+    scanned once, the series is grouped once, and a lost executor costs a reread
+    of a small table.
     """
     store = ResultStore(spark, shared_folder(spark, "week"))
-    data = store.write(dense(spark, sf), "zone_hours")
+    data = store.write(dense(spark, sf, params), "zone_hours")
+    summary = store.write(zone_hours.slot_summary(data, params.train_end), "slot_summary")
     totals_by_zone = data.groupBy("zone_id").agg(F.sum("demand").alias("total_trips"))
-    top = with_missing_centres(totals_by_zone, PARAMS.grid)
-    hist = zone_hours.hist_mean(data, PARAMS.train_end)
+    top = with_missing_centres(totals_by_zone, params.grid)
+    hist = zone_hours.hist_of(summary)
     # The historical mean stands in for the model, so that SQL can follow.
     typical = F.round("hist_mean", 2)
     pred_grid = hist.select("zone_id", "dow", "hour", typical.alias("hist_mean"), typical.alias("prediction"))
-    return WeekTables(store, top, data, hist, zone_hours.supply_proxy(data), pred_grid)
+    return WeekTables(store, top, data, hist, zone_hours.supply_of(summary), pred_grid)
 
 
 def one_fleet(slots: DataFrame, fleet: int) -> DataFrame:

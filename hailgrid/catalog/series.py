@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from hailgrid.catalog.inputs import PARAMS, clean, dense, features, stored_features, stored_totals
+from hailgrid.catalog.inputs import FINE, PARAMS, clean, dense, features, stored_features, stored_totals
 from hailgrid.catalog.registry import query
-from hailgrid.catalog.sql import TRAIN_END, with_tables
+from hailgrid.catalog.sql import TRAIN_END, tables, with_tables
 from hailgrid.operators import demand, zone_hours
 from hailgrid.operators.demand import zone_hour_totals
 from hailgrid.operators.filters import split_by_date
@@ -105,3 +105,12 @@ QUALIFY row_number() OVER (PARTITION BY zone_id ORDER BY ts DESC) <= 168""",
 )
 def last_week_series(spark, sf):
     return last_rows(features(spark, sf), "zone_id", "ts", 168).select("zone_id", "ts", "demand", "hist_mean")
+
+
+@query(
+    "zone_hour_features_fine",
+    with_tables(f"SELECT {DENSE}, hist_mean, lag_168 FROM features", "features", ctes=tables(FINE, [(FINE.fleet, FINE.trips_per_driver)])),
+)
+def zone_hour_features_fine(spark, sf):
+    """Cells of 0.01 degrees and 200 zones."""
+    return features(spark, sf, FINE)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from hailgrid.catalog.inputs import PARAMS, all_zones, clean, points, totals, trips, zones
+from hailgrid.catalog.inputs import PARAMS, all_zones, clean, points, stored_zones, totals, trips, zone_table
 from hailgrid.catalog.registry import query
 from hailgrid.catalog.sql import LAT_MIN, LON_MIN, CELL, day_number, in_box, with_tables, zone
 from hailgrid.functions import clock, geo
@@ -26,6 +26,15 @@ def csv_roundtrip(spark, sf):
     return read_trips_csv(spark, path).withColumn("id", F.col("id").cast("long"))
 
 
+@query("csv_decimal_roundtrip", with_tables("SELECT * FROM trips", "trips"))
+def csv_decimal_roundtrip(spark, sf):
+    """Whole numbers written as decimals are read back as whole numbers."""
+    path = shared_folder(spark, "csv-decimal")
+    decimals = {name: F.format_string("%d.0", name) for name in ("passenger_count", "trip_duration")}
+    write_trips_csv(trips(spark, sf).withColumns(decimals), path)
+    return read_trips_csv(spark, path).withColumn("id", F.col("id").cast("long"))
+
+
 @query(
     "report_csv_roundtrip",
     with_tables(
@@ -164,7 +173,7 @@ def slot_demand(spark, sf):
 
 @query("top_zones", with_tables("SELECT * FROM top_zones", "top_zones"))
 def top_zones(spark, sf):
-    return zones(spark, sf).drop("first_hour", "last_hour")
+    return zone_table(spark, sf)
 
 
 @query(
@@ -176,7 +185,7 @@ def top_zones(spark, sf):
     ),
 )
 def top_n_zones(spark, sf):
-    top = top_n(zones(spark, sf), "total_trips", 15, "zone_id")
+    top = top_n(zone_table(spark, sf), "total_trips", 15, "zone_id")
     return top.select("zone_id", "total_trips", zone_label(F.col("zone_id")).alias("zone"))
 
 
@@ -311,7 +320,7 @@ SELECT id, pickup_longitude AS lon, pickup_latitude AS lat, {PICKUP_ZONE} AS own
     ),
 )
 def unmodelled_points(spark, sf):
-    return nearest.unmodelled_points(points(spark, sf), zones(spark, sf), PARAMS)
+    return nearest.unmodelled_points(points(spark, sf), stored_zones(spark, sf), PARAMS)
 
 
 @query(
@@ -326,4 +335,23 @@ FROM points p CROSS JOIN top_zones z GROUP BY id, p.lon, p.lat""",
     ),
 )
 def nearest_zone(spark, sf):
-    return nearest.nearest_zone(points(spark, sf), zones(spark, sf), PARAMS)
+    return nearest.nearest_zone(points(spark, sf), stored_zones(spark, sf), PARAMS)
+
+
+@query(
+    "nearest_zone_all",
+    with_tables(
+        f"""SELECT id, any_value(p.lon) AS lon, any_value(p.lat) AS lat, coalesce(bool_or(z.zone_id = own), false) AS modelled,
+  CASE WHEN any_value(p.lon) IS NULL THEN -1 WHEN coalesce(bool_or(z.zone_id = own), false) THEN any_value(own) ELSE
+    arg_min(z.zone_id, ((z.lon - p.lon) * (z.lon - p.lon) + (z.lat - p.lat) * (z.lat - p.lat), z.zone_id)) END AS zone_id
+FROM (SELECT id, lon, pickup_latitude AS lat, CASE WHEN lon IS NOT NULL AND {in_box('pickup')} THEN {PICKUP_ZONE} END AS own
+  FROM (SELECT *, CASE WHEN id % 11 <> 0 THEN pickup_longitude END AS lon FROM trips)) p CROSS JOIN top_zones z GROUP BY id""",
+        "top_zones",
+    ),
+)
+def nearest_zone_all(spark, sf):
+    """All pickups, also those outside the box, and every eleventh without a longitude (zone -1 here)."""
+    lon = F.when(F.col("id") % 11 != 0, F.col("pickup_longitude"))
+    everywhere = trips(spark, sf).select("id", lon.alias("lon"), F.col("pickup_latitude").alias("lat"))
+    found = nearest.nearest_zone(everywhere, stored_zones(spark, sf), PARAMS)
+    return found.withColumn("zone_id", F.coalesce("zone_id", F.lit(-1)))

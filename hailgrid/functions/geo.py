@@ -21,46 +21,46 @@ def in_box(lon: str, lat: str, grid: GridSpec) -> Column:
 
 def zone_id(lon: str, lat: str, grid: GridSpec) -> Column:
     return F.expr(
-        f"floor(({lon} - {grid.lon_min}D) / {grid.cell}D) * {ZONE_STRIDE}L"
+        f"floor(({lon} - {grid.lon_min}D) / {grid.cell}D) * {grid.stride}L"
         f" + floor(({lat} - {grid.lat_min}D) / {grid.cell}D)"
     )
 
 
-def zone_x(zone: Column) -> Column:
-    return F.floor(zone / ZONE_STRIDE).cast("int")
+def zone_x(zone: Column, stride: int = ZONE_STRIDE) -> Column:
+    return F.floor(zone / stride).cast("int")
 
 
-def zone_y(zone: Column) -> Column:
-    return (zone % ZONE_STRIDE).cast("int")
+def zone_y(zone: Column, stride: int = ZONE_STRIDE) -> Column:
+    return (zone % stride).cast("int")
 
 
 def zone_lon(zone: Column, grid: GridSpec) -> Column:
     """Longitude of the cell centre."""
-    return F.lit(grid.lon_min) + (zone_x(zone) + F.lit(0.5)) * F.lit(grid.cell)
+    return F.lit(grid.lon_min) + (zone_x(zone, grid.stride) + F.lit(0.5)) * F.lit(grid.cell)
 
 
 def zone_lat(zone: Column, grid: GridSpec) -> Column:
     """Latitude of the cell centre."""
-    return F.lit(grid.lat_min) + (zone_y(zone) + F.lit(0.5)) * F.lit(grid.cell)
+    return F.lit(grid.lat_min) + (zone_y(zone, grid.stride) + F.lit(0.5)) * F.lit(grid.cell)
 
 
 def squared(value: Column) -> Column:
     return value * value
 
 
-def cell_distance_squared(a: Column, b: Column) -> Column:
+def cell_distance_squared(a: Column, b: Column, stride: int = ZONE_STRIDE) -> Column:
     """Squared distance of two zones in cells: an exact integer, so ties are real ties."""
-    return squared(zone_x(a) - zone_x(b)) + squared(zone_y(a) - zone_y(b))
+    return squared(zone_x(a, stride) - zone_x(b, stride)) + squared(zone_y(a, stride) - zone_y(b, stride))
 
 
 def km_between(a: Column, b: Column, grid: GridSpec) -> Column:
     """Planar distance of two cell centres with separate scales for longitude and latitude."""
     return F.hypot(
-        (zone_x(a) - zone_x(b)) * F.lit(grid.cell) * F.lit(KM_PER_DEG_LON),
-        (zone_y(a) - zone_y(b)) * F.lit(grid.cell) * F.lit(KM_PER_DEG_LAT),
+        (zone_x(a, grid.stride) - zone_x(b, grid.stride)) * F.lit(grid.cell) * F.lit(KM_PER_DEG_LON),
+        (zone_y(a, grid.stride) - zone_y(b, grid.stride)) * F.lit(grid.cell) * F.lit(KM_PER_DEG_LAT),
     )
 
 
 def degree_km_between(a: Column, b: Column, grid: GridSpec) -> Column:
     """Distance in degrees times one flat scale, as the second allocation variant reports it."""
-    return F.sqrt(cell_distance_squared(a, b).cast("double")) * F.lit(grid.cell) * F.lit(KM_PER_DEG)
+    return F.sqrt(cell_distance_squared(a, b, grid.stride).cast("double")) * F.lit(grid.cell) * F.lit(KM_PER_DEG)

@@ -70,8 +70,8 @@ def value_range(df: DataFrame, actual: str = "total_trips") -> DataFrame:
 
 def error_histogram(df: DataFrame, bins: int = 30) -> DataFrame:
     """Rows per equal-width bin of ``error``; the largest value belongs to the last bin."""
-    span = df.agg(F.min("error").alias("lo"), F.max("error").alias("hi"))
-    lo, hi = span.select("lo").scalar(), span.select("hi").scalar()
+    span = df.agg(F.struct(F.min("error").alias("lo"), F.max("error").alias("hi"))).scalar()
+    lo, hi = span["lo"], span["hi"]
     position = F.floor(ratio(F.col("error") - lo, hi - lo) * bins)
     bin_no = F.least(F.coalesce(position, F.lit(0)), F.lit(bins - 1)).cast("int")
     return df.filter(F.col("error").isNotNull()).groupBy(bin_no.alias("bin")).agg(F.count("*").alias("rows"))

@@ -3,7 +3,7 @@ hour, weekday or zone costs each task one row."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from hailgrid.functions.clock import day_name, hour_start
 from hailgrid.functions.geo import zone_id, zone_lat, zone_lon
@@ -24,7 +24,8 @@ def trip_totals(trips: DataFrame, by: list[str], grid: GridSpec = COARSE_GRID) -
     all three keys, serves all of them: at most one row per calendar hour and
     cell. A single report groups by its own key only, and adding up again then
     needs no second shuffle. Pickups outside the box have a null zone, pickups
-    whose time did not parse a null date and hour.
+    whose time did not parse a null date and hour; the reports by time leave the
+    latter out, and ``unparsed_pickups`` counts them.
     """
     inside = F.when(pickup_in_box(grid), zone_id("pickup_longitude", "pickup_latitude", grid))
     keys = {"date": F.to_date("pickup_ts"), "hour": F.hour("pickup_ts"), "zone_id": inside}
@@ -48,7 +49,8 @@ def _mean_passengers() -> Column:
 def hourly_demand(totals: DataFrame) -> DataFrame:
     """Trips by hour of day."""
     return (
-        totals.groupBy(F.col("hour").alias("pickup_hour"))
+        totals.filter("hour IS NOT NULL")
+        .groupBy(F.col("hour").alias("pickup_hour"))
         .agg(F.sum("trips").alias("total_trips"))
         .orderBy("pickup_hour")
     )
@@ -57,7 +59,8 @@ def hourly_demand(totals: DataFrame) -> DataFrame:
 def daily_demand(totals: DataFrame) -> DataFrame:
     """Trips by weekday. The name follows from the number, so it is added after grouping."""
     return (
-        totals.groupBy(F.dayofweek("date").alias("day_number"))
+        totals.filter("date IS NOT NULL")
+        .groupBy(F.dayofweek("date").alias("day_number"))
         .agg(F.sum("trips").alias("total_trips"))
         .select("day_number", day_name(F.col("day_number")).alias("day_name"), "total_trips")
         .orderBy("day_number")
@@ -75,7 +78,14 @@ def average_passengers(totals: DataFrame) -> DataFrame:
 def slot_demand(totals: DataFrame) -> DataFrame:
     """Trips over the whole period per hour of day and weekday."""
     slot = [F.col("hour").alias("pickup_hour"), F.dayofweek("date").alias("day_of_week")]
-    return totals.groupBy(*slot).agg(F.sum("trips").alias("total_trips"))
+    timed = totals.filter("date IS NOT NULL AND hour IS NOT NULL")
+    return timed.groupBy(*slot).agg(F.sum("trips").alias("total_trips"))
+
+
+def unparsed_pickups(totals: DataFrame) -> DataFrame:
+    """Trips without a readable pickup time, which no report by hour, weekday or slot contains."""
+    lost = F.sum(F.when(F.col("date").isNull() | F.col("hour").isNull(), F.col("trips")))
+    return totals.agg(F.coalesce(lost, F.lit(0)).alias("unparsed_pickups"), F.sum("trips").alias("total_trips"))
 
 
 def zone_demand(totals: DataFrame) -> DataFrame:
@@ -120,24 +130,19 @@ def zone_hour_totals(clean: DataFrame, dropoffs: bool = True) -> DataFrame:
     )
 
 
-def top_zones(totals: DataFrame, params: RideParams) -> DataFrame:
-    """The busiest pickup zones with their centre, and the first and last hour with a pickup anywhere.
+def zone_totals(clean: DataFrame) -> DataFrame:
+    """Pickups and their seconds per cell, for the zone table alone: no grouping by hour."""
+    return clean.groupBy("zone_id").agg(F.count("*").alias("demand"), F.sum("trip_duration").alias("seconds"))
 
-    One row per grid cell remains after the grouping, and only those meet in
-    the window that finds the span. Ties in volume go to the smaller zone id.
-    """
-    everywhere = Window.partitionBy(F.lit(0))
-    busy_hour = F.when(F.col("demand") > 0, F.col("ts"))
+
+def busiest_zones(totals: DataFrame, params: RideParams) -> DataFrame:
+    """The busiest pickup zones with their centre. Ties in volume go to the smaller zone id."""
     per_zone = totals.groupBy("zone_id").agg(
         F.sum("demand").alias("total_trips"),
         F.round(ratio(F.sum("seconds"), F.sum("demand")) / 60, 2).alias("avg_trip_min"),
-        F.min(busy_hour).alias("first_busy"),
-        F.max(busy_hour).alias("last_busy"),
     )
     return (
         per_zone.filter("total_trips > 0")
-        .withColumn("first_hour", F.min("first_busy").over(everywhere))
-        .withColumn("last_hour", F.max("last_busy").over(everywhere))
         .orderBy(F.desc("total_trips"), "zone_id")
         .limit(params.top_zones)
         .select(
@@ -146,12 +151,25 @@ def top_zones(totals: DataFrame, params: RideParams) -> DataFrame:
             "avg_trip_min",
             zone_lon(F.col("zone_id"), params.grid).alias("lon"),
             zone_lat(F.col("zone_id"), params.grid).alias("lat"),
-            "first_hour",
-            "last_hour",
         )
     )
 
 
+def pickup_span(totals: DataFrame) -> Column:
+    """First and last hour with a pickup anywhere, as one scalar struct of two partial aggregates."""
+    busy_hour = F.when(F.col("demand") > 0, F.col("ts"))
+    return totals.agg(F.struct(F.min(busy_hour).alias("first_hour"), F.max(busy_hour).alias("last_hour"))).scalar()
+
+
+def top_zones(totals: DataFrame, params: RideParams) -> DataFrame:
+    """The busiest zones, and beside each the first and last hour with a pickup anywhere.
+
+    ``totals`` is read for the zones and for the span: hand in a stored table.
+    """
+    span = pickup_span(totals)
+    return busiest_zones(totals, params).withColumns({name: span[name] for name in ("first_hour", "last_hour")})
+
+
 def _modelled(totals: DataFrame, zones: DataFrame, params: RideParams) -> DataFrame:
     return totals.join(broadcast_within(zones.select("zone_id"), params.max_zones), "zone_id", "left_semi")
 

@@ -12,7 +12,7 @@ from hailgrid.functions.geo import cell_distance_squared, degree_km_between, km_
 from hailgrid.functions.number import non_negative
 from hailgrid.operators.balance import SLOT_KEYS
 from hailgrid.operators.sizes import shuffle_partitions
-from hailgrid.params import GridSpec
+from hailgrid.params import ZONE_STRIDE, GridSpec
 
 
 def _fill_wants(largest_first: bool) -> Callable[[pd.DataFrame], pd.DataFrame]:
@@ -97,7 +97,7 @@ def apply_moves(allocated: DataFrame, moves: DataFrame, keys: list[str] | None =
     )
 
 
-def first_choice(allocated: DataFrame, keys: list[str] | None = None) -> DataFrame:
+def first_choice(allocated: DataFrame, keys: list[str] | None = None, stride: int = ZONE_STRIDE) -> DataFrame:
     """The nearest giving zone of every wanting zone, ties to the smaller id.
 
     The givers of a slot, at most one a zone, travel as one array; each wanting
@@ -112,7 +112,7 @@ def first_choice(allocated: DataFrame, keys: list[str] | None = None) -> DataFra
     nearest = F.array_min(
         F.transform(
             "givers",
-            lambda giver: F.struct(cell_distance_squared(giver, F.col("zone_id")).alias("d2"), giver.alias("id")),
+            lambda giver: F.struct(cell_distance_squared(giver, F.col("zone_id"), stride).alias("d2"), giver.alias("id")),
         )
     )
     return (

@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from hailgrid.functions.geo import in_box, squared, zone_id, zone_x, zone_y
-from hailgrid.operators.sizes import broadcast_within, fits_broadcast
-from hailgrid.params import ZONE_STRIDE, RideParams
+from hailgrid.operators.sizes import broadcast_within
+from hailgrid.params import RideParams
+
+# A centre is three numbers in a struct with its offsets; all lists together may take this much.
+CENTRE_BYTES = 48
+MAX_LIST_BYTES = 64 << 20
 
 
 def unmodelled_points(points: DataFrame, zones: DataFrame, params: RideParams) -> DataFrame:
@@ -15,8 +19,8 @@ def unmodelled_points(points: DataFrame, zones: DataFrame, params: RideParams) -
     return own.join(broadcast_within(zones.select("zone_id"), params.max_zones), "zone_id", "left_anti")
 
 
-def cell_candidates(zones: DataFrame, params: RideParams) -> DataFrame:
-    """For every grid cell, the zones that can be nearest to some point of the cell.
+def cell_candidates(zones: DataFrame, params: RideParams, cells: DataFrame | None = None) -> DataFrame:
+    """For every grid cell, or every one of ``cells``, the zones that can be nearest to some point of it.
 
     A zone drops out if even its smallest distance to the cell exceeds another
     zone's largest one. Distances are in half cells, hence exact integers. Where
@@ -24,13 +28,13 @@ def cell_candidates(zones: DataFrame, params: RideParams) -> DataFrame:
     is null, so that most points carry no list at all.
     """
     grid = params.grid
-    cells = zones.sparkSession.range(grid.n_cells).select(
-        (F.floor(F.col("id") / grid.n_y) * ZONE_STRIDE + F.col("id") % grid.n_y).alias("cell"),
-        _centres(zones).alias("centres"),
-    )
+    if cells is None:
+        number = F.floor(F.col("id") / grid.n_y) * grid.stride + F.col("id") % grid.n_y
+        cells = zones.sparkSession.range(grid.n_cells).select(number.alias("cell"))
+    cells = cells.withColumn("centres", _centres(zones))
 
     def apart(axis, centre) -> Column:
-        return F.abs(axis(centre.zone_id) - axis(F.col("cell"))) * 2
+        return F.abs(axis(centre.zone_id, grid.stride) - axis(F.col("cell"), grid.stride)) * 2
 
     def farthest(centre) -> Column:
         return squared(apart(zone_x, centre) + 1) + squared(apart(zone_y, centre) + 1)
@@ -62,18 +66,25 @@ def _centres(zones: DataFrame) -> Column:
 def nearest_zone(points: DataFrame, zones: DataFrame, params: RideParams) -> DataFrame:
     """The modelled zone of every point: its own cell, else the zone with the nearest centre.
 
-    Each point looks its cell up in a broadcast table with one row per grid
-    cell and compares the few zones listed there, so no point is ever paired
-    with all zones. Only a point outside the box goes through all of them.
-    Equal distances go to the smaller zone id.
+    Each point looks its cell up in a table with one row per grid cell and
+    compares the few zones listed there, so no point is ever paired with all
+    zones. Only a point outside the box goes through all of them. Equal
+    distances go to the smaller zone id. A point without both coordinates (null
+    or NaN) has no zone.
+
+    The table is broadcast if even a list of all zones in every cell would stay
+    small. Otherwise it holds the cells that points fall in and is joined like
+    any other table, whatever the size of the grid.
     """
     grid = params.grid
-    if not fits_broadcast(grid.n_cells):
-        raise ValueError(f"a grid of {grid.n_cells} cells is too fine for a broadcast cell table")
     lon, lat = F.col("lon"), F.col("lat")
-    listed = F.broadcast(cell_candidates(zones, params))
-    own = points.withColumn("cell", F.when(in_box("lon", "lat", grid), zone_id("lon", "lat", grid)))
-    choices = F.when(F.col("only").isNull(), F.coalesce("candidates", _centres(zones)))
+    known = ~(F.isnan(F.coalesce(lon, F.lit(float("nan")))) | F.isnan(F.coalesce(lat, F.lit(float("nan")))))
+    own = points.withColumn("cell", F.when(known & in_box("lon", "lat", grid), zone_id("lon", "lat", grid)))
+    if grid.n_cells * params.max_zones * CENTRE_BYTES <= MAX_LIST_BYTES:
+        listed = F.broadcast(cell_candidates(zones, params))
+    else:
+        listed = cell_candidates(zones, params, own.select("cell").filter("cell IS NOT NULL").distinct())
+    choices = F.when(known & F.col("only").isNull(), F.coalesce("candidates", _centres(zones)))
 
     def offer(centre) -> Column:
         distance = squared(centre.lon - lon) + squared(centre.lat - lat)

@@ -20,6 +20,16 @@ def largest_row(df: DataFrame, value: str, *ties: str) -> DataFrame:
     return top_n(df, value, 1, *ties)
 
 
+def largest_per(df: DataFrame, keys: list[str], value: str, tie: str, *keep: str) -> DataFrame:
+    """The row with the largest value of every group, ties to the smaller ``tie``.
+
+    One grouping of partial maxima: a group of any size costs each task one row.
+    """
+    best = F.struct(F.col(value).alias("value"), (-F.col(tie)).alias("order"), *keep)
+    top = df.groupBy(*keys).agg(F.max(best).alias("best"))
+    return top.select(*keys, (-F.col("best.order")).alias(tie), F.col("best.value").alias(value), *[F.col(f"best.{c}") for c in keep])
+
+
 def busier_than(slots: DataFrame, value: str = "prediction") -> DataFrame:
     """Percentage of a slot's zones with a strictly smaller value."""
     group = Window.partitionBy(*SLOT_KEYS)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from hailgrid.functions.clock import day_name
 from hailgrid.functions.geo import zone_lat, zone_lon
@@ -34,9 +34,11 @@ def drivers_long(allocation: DataFrame) -> DataFrame:
 
 
 def zone_map(zones: DataFrame, grid: GridSpec) -> DataFrame:
-    """Zones with centre and a marker size that grows with their share of the largest zone."""
-    everywhere = Window.partitionBy(F.lit(0))
-    size = F.col("total_trips") / F.max("total_trips").over(everywhere) * 35 + 8
+    """Zones with centre and a marker size that grows with their share of the largest zone.
+
+    ``zones`` is read twice, for the maximum and for the rows: hand in a stored table.
+    """
+    size = F.col("total_trips") / zones.agg(F.max("total_trips")).scalar() * 35 + 8
     return zones.select(
         "zone_id",
         "total_trips",
@@ -49,11 +51,10 @@ def zone_map(zones: DataFrame, grid: GridSpec) -> DataFrame:
 def with_demand_level(zones: DataFrame, lower: float = 0.33, upper: float = 0.66) -> DataFrame:
     """Low up to the lower quantile of trips, Medium up to the upper one, High above.
 
-    The exact quantiles are taken in a window over the zone table, at most one
-    row per grid cell, so the trips behind it are not read again.
+    The exact quantiles are one aggregate, combined from counts per value.
+    ``zones`` is read twice: hand in a stored table.
     """
-    everywhere = Window.partitionBy(F.lit(0))
-    cuts = F.percentile("total_trips", F.array(F.lit(lower), F.lit(upper))).over(everywhere)
+    cuts = zones.agg(F.percentile("total_trips", F.array(F.lit(lower), F.lit(upper)))).scalar()
     trips, cut = F.col("total_trips"), F.col("_cuts")
     level = F.when(trips <= cut[0], "Low").when(trips <= cut[1], "Medium").otherwise("High")
     return zones.withColumn("_cuts", cuts).withColumn("demand_level", level).drop("_cuts")

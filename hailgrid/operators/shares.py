@@ -14,7 +14,9 @@ WIDE = "CAST({} AS DECIMAL(19, 0))"
 def weight_units(df: DataFrame, weight: str) -> Column:
     """Weights as whole numbers, so that sums do not depend on the order of rows.
 
-    Fractional weights count in millionths.
+    Whole weights are taken as they are; fractional ones count in millionths,
+    which is exact for the two digits of a prediction and not for a mean: share
+    by the sum behind it.
     """
     if isinstance(df.schema[weight].dataType, IntegralType):
         return F.col(weight).cast("long")

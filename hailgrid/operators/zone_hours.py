@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from hailgrid.functions.clock import HOURS_PER_WEEK, with_calendar
 from hailgrid.functions.geo import zone_x, zone_y
 from hailgrid.operators.filters import before_date
-from hailgrid.operators.sizes import shuffle_partitions
-from hailgrid.params import RideParams
+from hailgrid.operators.sizes import broadcast_within, shuffle_partitions
+from hailgrid.params import ZONE_STRIDE, RideParams
 
 SLOT = ["zone_id", "dow", "hour"]
 EVERY_HOUR = "explode(sequence(first_hour, last_hour, INTERVAL 1 HOUR)) AS ts"
@@ -29,30 +29,24 @@ def dense_demand(totals: DataFrame, zones: DataFrame, params: RideParams) -> Dat
     """Pickups and drop-offs for every zone and every hour, zeros included.
 
     ``zones`` carries ``first_hour`` and ``last_hour``, so each zone unfolds its
-    own timeline and no zones-by-hours join is needed. The empty grid is put
-    under the totals and one grouping fills it. Totals of other zones, or of
-    hours after the last pickup, meet no grid row and are dropped.
+    own timeline and no zones-by-hours join is needed. Totals of other zones and
+    of hours outside the span are dropped before anything moves; the empty grid
+    is put under the rest and one grouping fills it.
     """
+    spans = broadcast_within(zones.select("zone_id", "first_hour", "last_hour"), params.max_zones)
     spread = zones.repartition(min(shuffle_partitions(zones), params.max_zones), "zone_id")
-    grid = spread.selectExpr("zone_id", EVERY_HOUR, "0L AS demand", "0L AS dropoffs", "true AS on_grid")
-    counted = totals.selectExpr("zone_id", "ts", "demand", "dropoffs", "false AS on_grid")
+    grid = spread.selectExpr("zone_id", EVERY_HOUR, "0L AS demand", "0L AS dropoffs")
+    counted = totals.join(spans, "zone_id").filter("ts BETWEEN first_hour AND last_hour")
     return (
-        grid.unionByName(counted)
+        grid.unionByName(counted.select("zone_id", "ts", "demand", "dropoffs"))
         .groupBy("zone_id", "ts")
-        .agg(
-            F.sum("demand").alias("demand"),
-            F.sum("dropoffs").alias("dropoffs"),
-            F.bool_or("on_grid").alias("on_grid"),
-        )
-        .filter("on_grid")
-        .drop("on_grid")
+        .agg(F.sum("demand").alias("demand"), F.sum("dropoffs").alias("dropoffs"))
     )
 
 
-def with_zone_calendar(dense: DataFrame) -> DataFrame:
-    return with_calendar(dense).withColumns(
-        {"zone_x": zone_x(F.col("zone_id")), "zone_y": zone_y(F.col("zone_id"))}
-    )
+def with_zone_calendar(dense: DataFrame, stride: int = ZONE_STRIDE) -> DataFrame:
+    zone = F.col("zone_id")
+    return with_calendar(dense).withColumns({"zone_x": zone_x(zone, stride), "zone_y": zone_y(zone, stride)})
 
 
 def with_weekly_lag(dense: DataFrame) -> DataFrame:
@@ -82,6 +76,28 @@ def with_hist_mean(data: DataFrame, train_end: str, min_rows: int = 1) -> DataFr
     return data.withColumn("hist_mean", mean.otherwise(plain)).drop("slot_total", "slot_rows")
 
 
+def slot_summary(data: DataFrame, train_end: str) -> DataFrame:
+    """Mean train demand, mean drop-offs and their sum per zone, weekday and hour, from one grouping.
+
+    The sum is what shares are taken by: every zone has the same dates in a
+    slot, so sums share like means, and whole numbers share exactly.
+    """
+    train = F.when(before_date(train_end), F.col("demand"))
+    return data.groupBy(*SLOT).agg(
+        (F.sum(train) / F.nullif(F.count(train), F.lit(0))).alias("hist_mean"),
+        F.avg("dropoffs").alias("avg_dropoffs"),
+        F.sum("dropoffs").alias("dropoffs"),
+    )
+
+
+def hist_of(summary: DataFrame) -> DataFrame:
+    return summary.filter(F.col("hist_mean").isNotNull()).select(*SLOT, "hist_mean")
+
+
+def supply_of(summary: DataFrame) -> DataFrame:
+    return summary.select(*SLOT, "avg_dropoffs", "dropoffs")
+
+
 def hist_mean(data: DataFrame, train_end: str) -> DataFrame:
     """Mean train demand per zone, weekday and hour."""
     return (
@@ -92,8 +108,8 @@ def hist_mean(data: DataFrame, train_end: str) -> DataFrame:
 
 
 def supply_proxy(data: DataFrame) -> DataFrame:
-    """Mean drop-offs per zone, weekday and hour over all dates, zeros included."""
-    return data.groupBy(*SLOT).agg(F.avg("dropoffs").alias("avg_dropoffs"))
+    """Mean and sum of drop-offs per zone, weekday and hour over all dates, zeros included."""
+    return data.groupBy(*SLOT).agg(F.avg("dropoffs").alias("avg_dropoffs"), F.sum("dropoffs").alias("dropoffs"))
 
 
 def demand_profile(data: DataFrame) -> DataFrame:

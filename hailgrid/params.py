@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from math import floor
 
-# A zone id is x * ZONE_STRIDE + y, so a grid may be at most this many rows high.
+# A zone id is x * stride + y, so a grid may be at most this many rows high.
 ZONE_STRIDE = 100
 
 
@@ -22,10 +22,11 @@ class GridSpec:
     lat_min: float = 40.55
     lat_max: float = 40.95
     cell: float = 0.05
+    stride: int = ZONE_STRIDE
 
     def __post_init__(self) -> None:
-        if self.n_y > ZONE_STRIDE:
-            raise ValueError(f"{self.n_y} grid rows do not fit into zone ids of stride {ZONE_STRIDE}")
+        if self.n_y > self.stride:
+            raise ValueError(f"{self.n_y} grid rows do not fit into zone ids of stride {self.stride}")
 
     @property
     def n_x(self) -> int:

@@ -7,12 +7,13 @@ from pyspark.sql import DataFrame, functions as F
 from hailgrid.functions.geo import zone_lat, zone_lon
 from hailgrid.functions.number import non_negative, percent
 from hailgrid.functions.text import hour_label, zone_label
+from hailgrid.operators.balance import STATUS
 from hailgrid.operators.filters import hours_between, with_levels
 from hailgrid.operators.ranking import largest_row, top_n
 from hailgrid.operators.reshape import with_demand_level
 from hailgrid.params import GridSpec
 
-SHORTAGE = "Driver Shortage"
+SHORTAGE = STATUS[True]
 
 
 def selection_kpis(hourly: DataFrame, first: int, last: int) -> DataFrame:

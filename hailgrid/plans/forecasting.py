@@ -15,6 +15,7 @@ from hailgrid.functions.number import non_negative
 from hailgrid.operators.accuracy import compare_models
 from hailgrid.operators.filters import hash_split
 from hailgrid.operators.zone_hours import FEATURES
+from hailgrid.params import ZONE_STRIDE
 
 # Names of the rows of the metrics table.
 MODEL = "gbt_model"
@@ -76,20 +77,20 @@ def baseline_metrics(test: DataFrame) -> DataFrame:
     return compare_models(test, "demand", BASELINES)
 
 
-def typical_week(hist: DataFrame) -> DataFrame:
+def typical_week(hist: DataFrame, stride: int = ZONE_STRIDE) -> DataFrame:
     """Model input for every zone and weekly slot, with last week taken as typical."""
     return hist.withColumns(
         {
             "is_weekend": is_weekend(F.col("dow")),
-            "zone_x": zone_x(F.col("zone_id")),
-            "zone_y": zone_y(F.col("zone_id")),
+            "zone_x": zone_x(F.col("zone_id"), stride),
+            "zone_y": zone_y(F.col("zone_id"), stride),
             "lag_168": F.col("hist_mean"),
         }
     )
 
 
-def predict_grid(model: PipelineModel, hist: DataFrame) -> DataFrame:
-    return predict(model, typical_week(hist)).select(
+def predict_grid(model: PipelineModel, hist: DataFrame, stride: int = ZONE_STRIDE) -> DataFrame:
+    return predict(model, typical_week(hist, stride)).select(
         "zone_id",
         "dow",
         "hour",

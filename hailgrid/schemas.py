@@ -28,14 +28,14 @@ RESULT_SCHEMAS = {
     "zones": "zone_id long, total_trips long, avg_trip_min double, lon double, lat double",
     "timeline": "first_hour timestamp_ntz, last_hour timestamp_ntz",
     "hist": "zone_id long, dow int, hour int, hist_mean double",
-    "supply_proxy": "zone_id long, dow int, hour int, avg_dropoffs double",
+    "supply_proxy": "zone_id long, dow int, hour int, avg_dropoffs double, dropoffs long",
     "demand_profile": "dow int, hour int, avg_city_trips double",
     "metrics": "model string, mae double, rmse double",
     "test_preds": "zone_id long, ts timestamp_ntz, demand long, prediction double, hist_mean double",
     "pred_grid": "zone_id long, dow int, hour int, hist_mean double, prediction double",
     "allocation": (
         "dow int, hour int, zone_id long, prediction double, needed long, current long, "
-        "assigned long, gap long, short_now long, short_after long"
+        "assigned long, gap long, short_now long, short_after long, variant string"
     ),
-    "allocation_moves": "from_zone long, to_zone long, drivers long, km double, dow int, hour int",
+    "allocation_moves": "from_zone long, to_zone long, drivers long, km double, dow int, hour int, variant string",
 }

@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from hailgrid.schemas import RESULT_SCHEMAS
 
@@ -64,13 +65,14 @@ class ResultStore:
         return reader.parquet(self.path(name))
 
     def write_csv(self, df: DataFrame, name: str) -> DataFrame:
+        """Write any table with a header line; a name without a declared schema reads back with its own."""
         df.write.mode("overwrite").option("header", True).csv(self.path(name))
-        return self.read_csv(name)
+        return self.read_csv(name, RESULT_SCHEMAS.get(name, df.schema))
 
-    def read_csv(self, name: str) -> DataFrame:
+    def read_csv(self, name: str, schema: str | StructType | None = None) -> DataFrame:
         """Read a report directory: Spark skips the header of every part file and checks its names."""
         return (
-            self.spark.read.schema(RESULT_SCHEMAS[name])
+            self.spark.read.schema(schema or RESULT_SCHEMAS[name])
             .option("header", True)
             .option("enforceSchema", False)
             .csv(self.path(name))
@@ -87,6 +89,17 @@ class ResultStore:
         return tables
 
 
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete all folders that ``shared_folder`` handed out in this process."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    while _HANDED_OUT:
+        path = hadoop.Path(_HANDED_OUT.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+_HANDED_OUT: list[str] = []
+
+
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder below the shared folder the session names in ``spark.checkpoint.dir``.
 
@@ -97,4 +110,5 @@ def shared_folder(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise MissingInput("set spark.checkpoint.dir to a folder all executors can reach")
         root = tempfile.mkdtemp(prefix="hailgrid-")
-    return f"{root.rstrip('/')}/hailgrid/{label}-{uuid.uuid4().hex}"
+    _HANDED_OUT.append(f"{root.rstrip('/')}/hailgrid/{label}-{uuid.uuid4().hex}")
+    return _HANDED_OUT[-1]

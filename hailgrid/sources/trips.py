@@ -2,36 +2,53 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from hailgrid.functions.clock import parse_ts
 from hailgrid.schemas import RAW_TRIP_TYPES
 from hailgrid.sources.tables import require_columns
 
 
+def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
+    """The raw columns as text."""
+    return require_columns(spark.read.option("header", True).csv(path), list(RAW_TRIP_TYPES))
+
+
 def read_trips_csv(spark: SparkSession, path: str) -> DataFrame:
     """Raw trips from CSV files with a header line.
 
     Columns are found by header name, so extra columns and any column order
     are fine. All text is cast here: no inference pass over the data, and a
-    malformed value becomes null in its own row only.
+    malformed value becomes null in its own row only. Whole numbers may be
+    written as decimals. ``unparsed_values`` counts what was lost.
     """
-    raw = spark.read.option("header", True).csv(path)
-    require_columns(raw, list(RAW_TRIP_TYPES))
-    return typed_trips(raw)
+    return typed_trips(read_raw_csv(spark, path))
 
 
 def typed_trips(raw: DataFrame) -> DataFrame:
-    return raw.select(
-        "id",
-        parse_ts(F.col("pickup_datetime")).alias("pickup_ts"),
-        parse_ts(F.col("dropoff_datetime")).alias("dropoff_ts"),
-        *[
-            F.col(name).try_cast(kind).alias(name)
-            for name, kind in RAW_TRIP_TYPES.items()
-            if kind in ("double", "int")
-        ],
-    )
+    return raw.select("id", *[value.alias(name) for name, value in _typed().items()])
+
+
+def _typed() -> dict[str, Column]:
+    """Every column but the id, read from its text."""
+    times = {"pickup_ts": "pickup_datetime", "dropoff_ts": "dropoff_datetime"}
+    numbers = {name: kind for name, kind in RAW_TRIP_TYPES.items() if kind in ("double", "int")}
+    return {name: parse_ts(F.col(text)) for name, text in times.items()} | {name: _number(name, kind) for name, kind in numbers.items()}
+
+
+def _number(name: str, kind: str) -> Column:
+    """A whole number may be written as a decimal; one with a fraction is malformed."""
+    value = F.col(name).try_cast("double")
+    return value if kind == "double" else F.when(value == F.floor(value), value.try_cast(kind))
+
+
+def unparsed_values(raw: DataFrame) -> DataFrame:
+    """For each column, how many rows have text that could not be read, and the number of rows."""
+    source = {"pickup_ts": "pickup_datetime", "dropoff_ts": "dropoff_datetime"}
+    lost = [
+        F.count_if((F.length(F.trim(source.get(name, name))) > 0) & value.isNull()).alias(name) for name, value in _typed().items()
+    ]
+    return raw.agg(*lost, F.count("*").alias("total_rows"))
 
 
 def write_trips_csv(trips: DataFrame, path: str) -> None:

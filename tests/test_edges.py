@@ -11,6 +11,7 @@ from hailgrid.functions.text import code_label
 from hailgrid.operators import accuracy, balance, moves, nearest, reshape, zone_hours
 from hailgrid.operators.demand import top_zones, zone_hour_totals
 from hailgrid.operators.filters import hash_split, is_valid_trip, quality_counts, with_levels
+from hailgrid.operators.ranking import largest_per
 from hailgrid.operators.shares import apportion
 from hailgrid.params import COARSE_GRID, FINE_GRID, GridSpec, RideParams
 from hailgrid.plans import dashboards
@@ -360,3 +361,61 @@ def test_hash_split_ignores_layout_and_keeps_every_row(spark):
     assert sorted(one.collect()) == sorted(again.collect())
     other, _ = hash_split(frame, ["id", "b"], seed=7)
     assert sorted(one.collect()) != sorted(other.collect())
+
+
+# ---- exact shares -----------------------------------------------------------
+
+
+def test_shares_of_26_week_means_are_exact(spark):
+    """A slot of 26 dates: sums of drop-offs share exactly where rounded means lose drivers."""
+    data = spark.createDataFrame(
+        [(zone, 1, 0, 1, 1 if day < total else 0) for zone, total in enumerate((1, 5, 7, 13)) for day in range(26)],
+        "zone_id long, dow int, hour int, demand int, dropoffs long",
+    )
+    supply = zone_hours.supply_proxy(data)
+    zones = spark.createDataFrame([(z, 0.0, 0.0, 1) for z in range(4)], "zone_id long, lon double, lat double, total_trips long")
+    grid = spark.createDataFrame([(z, 1, 0, 1.0) for z in range(4)], "zone_id long, dow int, hour int, prediction double")
+    slots = balance.with_scenarios(balance.slot_frame_same_hour(grid, zones, supply, 10), [(26, 1.0)])
+    floored = balance.allocate_zones_by_floor(slots).select("zone_id", "current")
+    assert rows(floored) == [(0, 1), (1, 5), (2, 7), (3, 13)]
+    assert rows(apportion(slots, "dropoffs", "fleet", ["dow", "hour"], "n").select("zone_id", "n")) == rows(floored)
+
+
+# ---- points, numbers, groups -------------------------------------------------
+
+
+def test_points_without_both_coordinates_have_no_zone(spark):
+    params = RideParams(grid=COARSE_GRID, top_zones=2)
+    zones = dashboards.with_missing_centres(spark.createDataFrame([(0,), (202,)], "zone_id long"), COARSE_GRID)
+    nan = float("nan")
+    points = spark.createDataFrame(
+        [(1, None, None), (2, nan, 40.6), (3, -73.93, None), (4, -73.93, nan), (5, -73.93, 40.66), (6, -80.0, 30.0)],
+        "id int, lon double, lat double",
+    )
+    found = rows(nearest.nearest_zone(points, zones, params).select("id", "zone_id", "modelled"))
+    assert found == [(1, None, False), (2, None, False), (3, None, False), (4, None, False), (5, 202, True), (6, 0, False)]
+
+
+def test_a_grid_of_millions_of_cells_is_joined_not_broadcast(spark):
+    grid = GridSpec(cell=0.0002, stride=10_000)
+    assert grid.n_cells > 3_000_000
+    params = RideParams(grid=grid, top_zones=50)
+    zones = spark.createDataFrame([(x * 35 * 10_000 + y * 40,) for x in range(7) for y in range(7)], "zone_id long")
+    zones = dashboards.with_missing_centres(zones, grid)
+    points = spark.range(500).selectExpr("id", "-74.05D + (id * 37 % 500) * 0.0007D AS lon", "40.55D + (id * 91 % 500) * 0.0008D AS lat")
+    found = nearest.nearest_zone(points, zones, params)
+    centres = [(r.zone_id, r.lon, r.lat) for r in zones.collect()]
+    for row in found.collect():
+        if not row.modelled:
+            best = min(((x - row.lon) * (x - row.lon) + (y - row.lat) * (y - row.lat), zone) for zone, x, y in centres)
+            assert row.zone_id == best[1]
+
+
+def test_whole_numbers_may_be_written_as_decimals(spark, tmp_path):
+    raw = read_trips_csv(spark, write_csv(tmp_path, [trip("455.0", "2.0"), trip("1e3"), trip("10.5"), trip("99999999999")]))
+    assert rows(raw.select("trip_duration", "passenger_count").fillna(-1)) == [(-1, 1), (-1, 1), (455, 2), (1000, 1)]
+
+
+def test_largest_per_group_prefers_the_smaller_id(spark):
+    table = spark.createDataFrame([(1, 5, 2.0), (1, 3, 2.0), (1, 4, 1.0), (2, 9, 0.0)], "dow int, zone_id long, prediction double")
+    assert rows(largest_per(table, ["dow"], "prediction", "zone_id")) == [(1, 3, 2.0), (2, 9, 0.0)]

@@ -1,16 +1,19 @@
 """Stages end to end on a result store, and the plans behind them."""
 
+import os
 from dataclasses import replace
 
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from hailgrid.catalog.inputs import PARAMS, clean, features, trips
 from hailgrid.operators import demand
 from hailgrid.plans import forecasting, jobs
+from hailgrid.plans.allocation import allocate
 from hailgrid.schemas import RESULT_SCHEMAS
-from hailgrid.sources.tables import MissingInput, ResultStore
-from hailgrid.sources.trips import read_trips_csv, write_trips_csv
+from hailgrid.sources.tables import MissingInput, ResultStore, remove_scratch, shared_folder
+from hailgrid.sources.trips import read_raw_csv, read_trips_csv, unparsed_values, write_trips_csv
 
 SF = "/root/testdata/sf0.001"
 QUICK = forecasting.BoostParams(rounds=2, depth=2)
@@ -96,6 +99,59 @@ def test_stages_give_the_same_features_as_one_plan(spark, store):
     assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, features(spark, SF).select(*names).collect()))
 
 
+def test_moves_start_from_the_written_allocation(store, tmp_path):
+    other = ResultStore(store.spark, str(tmp_path))
+    tables = [store.read(name) for name in ("pred_grid", "zones", "supply_proxy")]
+    for variant in ("a", "b"):
+        _, moved = allocate(*tables, PARAMS, variant, other)
+        plan = plan_of(moved)
+        assert "supply_proxy" not in plan and "Window" not in plan
+
+
+def test_a_stored_model_predicts_the_same(spark, store):
+    features_ = store.read("features")
+    model = forecasting.train_boosted(features_.filter("date < '2024-01-22'"), QUICK)
+    path = store.path("models/again")
+    model.write().overwrite().save(path)
+    hist = store.read("hist")
+    again = forecasting.predict_grid(PipelineModel.load(path), hist)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, forecasting.predict_grid(model, hist).collect()))
+
+
+def test_a_malformed_pickup_time_costs_its_own_trip_only(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    write_trips_csv(trips(spark, SF), raw)
+    lines = spark.read.option("header", True).csv(raw)
+    broken = F.when(F.col("id") == "7", "yesterday").otherwise(F.col("pickup_datetime"))
+    lines.withColumn("pickup_datetime", broken).write.option("header", True).csv(f"{raw}-broken")
+    store = ResultStore(spark, str(tmp_path))
+    jobs.report_stage(store, read_trips_csv(spark, f"{raw}-broken"))
+    jobs.slot_forecast_stage(store, trees=2)
+    assert store.read_csv("hourly_demand").agg(F.sum("total_trips")).first()[0] == trips(spark, SF).count() - 1
+    assert tuple(demand.unparsed_pickups(store.read(jobs.TOTALS)).first()) == (1, trips(spark, SF).count())
+    lost = unparsed_values(read_raw_csv(spark, f"{raw}-broken")).first().asDict()
+    assert lost["pickup_ts"] == 1 and sum(lost.values()) == 1 + lost["total_rows"]
+
+
+def test_inspection_shows_schema_rows_and_losses(store, capsys):
+    jobs.inspect_stage(store, store.path("raw"))
+    shown = capsys.readouterr().out
+    assert "pickup_datetime: string" in shown and "total_trips" in shown and "total_rows" in shown
+
+
+def test_any_table_can_be_exported(spark, tmp_path):
+    store = ResultStore(spark, str(tmp_path))
+    table = spark.createDataFrame([(1, "High"), (2, None)], "zone_id long, demand_level string")
+    assert sorted(map(tuple, store.write_csv(table, "levels").collect())) == [(1, "High"), (2, None)]
+
+
+def test_scratch_is_removed(spark):
+    path = shared_folder(spark, "gone")
+    spark.range(3).write.parquet(path)
+    remove_scratch(spark)
+    assert not os.path.exists(path)
+
+
 def test_second_variant_runs_from_the_store(store, tmp_path):
     other = ResultStore(store.spark, str(tmp_path))
     for name in ("pred_grid", "zones", "supply_proxy"):
@@ -133,12 +189,14 @@ def test_trips_are_scanned_once_and_shuffled_as_partial_sums(spark):
     assert plan.index("Exchange ") < plan.index("partial_sum")
 
 
-def test_features_read_only_stored_totals_and_join_nothing(spark):
+def test_features_read_only_stored_totals_and_shuffle_only_modelled_ones(spark):
     plan = plan_of(features(spark, SF))
     assert "events.parquet" not in plan
-    # zones: by zone and to one row set; grid: by zone; series: by zone and hour, then by zone.
-    assert plan.count("Exchange ") == 5
-    assert "Join" not in plan
+    # Totals outside the modelled zones and hours go before they are shuffled: a bounded
+    # broadcast of the zones meets them in the scan, below the union with the empty grid.
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+    assert plan.index("Union") < plan.index("BroadcastHashJoin")
+    assert "Window [min" not in plan and "Exchange SinglePartition, ENSURE_REQUIREMENTS" not in plan.split("Subquery")[0]
 
 
 def test_zone_table_is_broadcast_only_within_its_bound(spark, store):
