@@ -33,8 +33,8 @@ from hailgrid.llm.ranking import numbered
 from hailgrid.llm.scratch import partitions, stored
 
 CAPACITY = 1024
-GROUPS = 256
-SMALL = 8  # a length is small up to capacity / SMALL
+GROUPS = 512
+SMALL = 4  # a length is small up to capacity / SMALL
 END = 2
 END_OF_TEXT = ("<|endoftext|>", 50256)
 

@@ -17,7 +17,8 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith(("local[", "local")) or "cluster" in spark.sparkContext.master:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         root = LOCAL_DEFAULT
     return f"{root.rstrip('/')}/corpus/{label}-{uuid.uuid4().hex}"
