@@ -148,9 +148,11 @@ def fingerprint_groups(hashed: DataFrame, radius: int) -> DataFrame:
         .agg(F.min("component_id").alias("group_id"), F.min("first").alias("group_first"))
     )
     grouped = members.join(best, "root").select(F.col("node").alias("fp"), "group_id", "group_first")
-    return nodes.join(grouped, "fp", "left").select(
+    named = nodes.join(grouped, "fp", "left").select(
         "fp", F.coalesce("group_id", "component_id").alias("component_id"), F.coalesce("group_first", "first").alias("first")
     )
+    # as a table, it meets the rows in a join of two shuffles, which Spark can split where a fingerprint is hot
+    return stored(named, "simhash-groups")
 
 
 def simhash_groups(docs: DataFrame, shingle: int = 3, radius: int = 2) -> DataFrame:
