@@ -142,12 +142,12 @@ def held_out(doc_id: Column) -> Column:
 
 def fitted_model(docs: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     """The classifier, from about ``fit_rows`` labelled, not held-out documents of each language, drawn by hash."""
-    known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
+    known = docs.filter(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
     counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
     if not counts:
         return train(np.zeros((0, FEATURES), np.int64), [])
     bound = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, int((1 << 30) * min(1.0, fit_rows / n)))])
-    drawn = known.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < bound[F.col("lang")])
+    drawn = known.filter(F.col("text").isNotNull()).filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < bound[F.col("lang")])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
