@@ -24,8 +24,8 @@ WIDTHS = (256, 2048, 4096)
 FEATURES = sum(WIDTHS)
 CENTROIDS = 3
 ROUNDS = 15
-#: Labelled documents of each language the classifier is fitted on, in expectation.
-FIT_ROWS = 1024
+#: Labelled documents the classifier is fitted on, in expectation; every language has an equal share.
+FIT_ROWS = 3072
 #: Share of the least cosine of known texts that a text must reach.
 MARGIN = 0.5
 #: Known texts that the least cosine of a size is taken over, at least.
@@ -88,9 +88,12 @@ class Model:
     least: np.ndarray  # cosine that is asked for, by size class
 
     def vectors(self, counts: np.ndarray) -> np.ndarray:
-        x = np.sqrt(counts, dtype=np.float32) * self.idf
-        norm = np.linalg.norm(x, axis=1, keepdims=True)
-        return x / np.where(norm > 0, norm, 1)
+        """Counts as vectors; 32-bit floats are changed in place."""
+        x = np.sqrt(counts, out=counts) if counts.dtype == np.float32 else np.sqrt(counts, dtype=np.float32)
+        x *= self.idf
+        norm = np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
+        x /= np.where(norm > 0, norm, 1)
+        return x
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Language, cosine to the nearest centroid, and whether the text is rejected."""
@@ -117,18 +120,18 @@ def k_means(x: np.ndarray, k: int, seed: int = 4) -> np.ndarray:
 
 
 def train(counts: np.ndarray, langs: list[str]) -> Model:
-    seen = counts.sum(axis=1) > 0
-    counts, langs = counts[seen], [lang for lang, s in zip(langs, seen, strict=True) if s]
-    idf = (np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))) + 1).astype(np.float32)
+    """The classifier for rows of counts (32-bit floats, used up) of texts with a letter."""
+    idf = (np.log((1 + len(counts)) / (1 + np.count_nonzero(counts, axis=0))) + 1).astype(np.float32)
     model = Model([], np.zeros((0, FEATURES), np.float32), idf, np.zeros(1))
     if not langs:
         return model
+    size = size_class(counts)
     x, names = model.vectors(counts), np.array(langs)
     for lang in sorted(set(langs)):
         centres = k_means(x[names == lang], CENTROIDS)
         model.labels += [lang] * len(centres)
         model.centroids = np.vstack([model.centroids, centres])
-    cosine, size = (x @ model.centroids.T).max(axis=1), size_class(counts)
+    cosine = (x @ model.centroids.T).max(axis=1)
     # What is asked of a size is a share of the least cosine of known texts up to that size, as short
     # texts vary most; where these are too few, larger ones count as well.
     reach = [max(n, int(np.sort(size)[min(ENOUGH, len(size)) - 1])) for n in range(int(size.max()) + 1)]
@@ -141,12 +144,16 @@ def held_out(doc_id: Column) -> Column:
 
 
 def fitted_model(docs: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
-    """The classifier, from about ``fit_rows`` labelled, not held-out documents of each language, drawn by hash."""
+    """The classifier, from about ``fit_rows`` labelled, not held-out documents, drawn by hash.
+
+    The driver holds one vector for each of them, whatever the corpus.
+    """
     known = docs.filter(F.col("lang").isNotNull() & ~held_out(F.col("doc_id")))
     counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
     if not counts:
-        return train(np.zeros((0, FEATURES), np.int64), [])
-    bound = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, int((1 << 30) * min(1.0, fit_rows / n)))])
+        return train(np.zeros((0, FEATURES), np.float32), [])
+    each = fit_rows / len(counts)
+    bound = F.create_map(*[F.lit(x) for lang, n in counts.items() for x in (lang, int((1 << 30) * min(1.0, each / n)))])
     drawn = known.filter(F.col("text").isNotNull()).filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) < bound[F.col("lang")])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,8 +172,9 @@ def fitted_model(docs: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
                 )
 
     found = drawn.select(F.col("lang").cast("string").alias("lang"), "text").mapInArrow(count, "lang string, features binary, counts binary")
-    rows = sorted(found.collect(), key=lambda r: (r["lang"], bytes(r["features"]), bytes(r["counts"])))
-    dense = np.zeros((len(rows), FEATURES), np.uint32)
+    lettered = found.filter(F.length("features") > 0)
+    rows = sorted(lettered.collect(), key=lambda r: (r["lang"], bytes(r["features"]), bytes(r["counts"])))
+    dense = np.zeros((len(rows), FEATURES), np.float32)
     for k, r in enumerate(rows):
         dense[k, np.frombuffer(r["features"], np.uint16)] = np.frombuffer(r["counts"], np.uint32)
     return train(dense, [r["lang"] for r in rows])
