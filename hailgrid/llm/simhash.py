@@ -16,6 +16,7 @@ is ever made.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations, repeat
 
 import numpy as np
@@ -92,14 +93,18 @@ def references(seed: int, count: int) -> list[int]:
     return [int(x) for x in np.random.default_rng(seed).integers(-(2**63), 2**63 - 1, count, dtype=np.int64)]
 
 
-def family_profile(fp: Column, base: int, mask: int) -> Column:
-    """The distances to a family, relative to its base, one bit each.
+def pivot_table(fps: DataFrame, base: int, others: list[int]) -> DataFrame:
+    """fp, the distances to the families relative to their base, and the distances to all other references.
 
-    Flipping bit b of the base moves the distance by +1 where the fingerprint
-    agrees with the base and by -1 where it does not. Hence all differences
-    of the family together are the bits of (fp xor base) in the block.
+    Flipping bit b of the base changes a distance by exactly one, up or down, so
+    the relative distances to the 64 flipped fingerprints are kept as the bits of
+    one number: set where the flip comes nearer.
     """
-    return fp.bitwiseXOR(F.lit(base)).bitwiseAND(F.lit(signed(mask)))
+    to_base = distance(F.col("fp"), F.lit(base))
+    nearer = [distance(F.col("fp"), F.lit(signed((base ^ 1 << b) & (1 << BITS) - 1))) < to_base for b in range(BITS)]
+    bits = [F.when(x, F.lit(signed(1 << b))).otherwise(F.lit(0)) for b, x in enumerate(nearer)]
+    table = F.array(*[distance(F.col("fp"), F.lit(r)).cast("byte") for r in others])
+    return fps.select("fp", reduce(Column.bitwiseOR, bits).alias("families"), table.alias("pivots"))
 
 
 def pivot_links(fps: DataFrame, radius: int, n_references: int = REFERENCES, seed: int = 9) -> DataFrame:
@@ -110,13 +115,11 @@ def pivot_links(fps: DataFrame, radius: int, n_references: int = REFERENCES, see
     base, *refs = references(seed, n_references + 1)
     masks = block_masks(radius)
     kept = list(combinations(range(len(masks)), KEPT_BLOCKS))
-    profile = lambda blocks: family_profile(F.col("fp"), base, sum(masks[b] for b in blocks))
-    table = fps.select("fp", F.array(*[distance(F.col("fp"), F.lit(r)).cast("byte") for r in refs]).alias("pivots"))
-    keyed = table.select(
-        "fp",
-        "pivots",
-        F.explode(F.array(*[F.struct(F.lit(k).cast("short").alias("k"), profile(blocks).alias("key")) for k, blocks in enumerate(kept)])).alias("at"),
-    ).select("fp", "pivots", "at.k", "at.key")
+    # written down once: ten keys are made from each row, and both sides of the join read it
+    table = stored(pivot_table(fps, base, refs), "pivots")
+    key = lambda blocks: F.col("families").bitwiseAND(F.lit(signed(sum(masks[b] for b in blocks))))
+    keys = [F.struct(F.lit(k).cast("short").alias("k"), key(blocks).alias("key")) for k, blocks in enumerate(kept)]
+    keyed = table.select("fp", "pivots", F.inline(F.array(*keys)))
     left = keyed.select(F.col("fp").alias("a"), F.col("pivots").alias("pa"), "k", "key")
     right = keyed.select(F.col("fp").alias("b"), F.col("pivots").alias("pb"), "k", "key")
     pairs = left.join(right, ["k", "key"]).filter("a < b")
