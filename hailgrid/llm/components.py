@@ -3,7 +3,9 @@
 Each round every node hands its larger neighbours to its smallest neighbour
 (large star), then its smaller ones (small star). The number of rounds grows
 with the logarithm of the longest chain, and each round is written to the
-shared folder, so a lost executor costs one round.
+shared folder, so a lost executor costs one round. Smallest neighbours are
+written too: a hub then meets them in a plain join of two tables, which Spark
+can broadcast or split, and not behind a grouping that has gathered the hub.
 """
 
 from __future__ import annotations
@@ -15,13 +17,13 @@ from hailgrid.llm.scratch import stored
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select("v", "u")).toDF("node", "near")
-    least = both.groupBy("node").agg(F.least(F.min("near"), F.col("node")).alias("least"))
+    least = stored(both.groupBy("node").agg(F.least(F.min("near"), F.col("node")).alias("least")), "least")
     return both.filter("near > node").join(least, "node").select(F.col("near").alias("u"), F.col("least").alias("v")).filter("u <> v")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    down = edges.select(F.greatest("u", "v").alias("node"), F.least("u", "v").alias("near"))
-    least = down.groupBy("node").agg(F.min("near").alias("least"))
+    down = stored(edges.select(F.greatest("u", "v").alias("node"), F.least("u", "v").alias("near")), "down")
+    least = stored(down.groupBy("node").agg(F.min("near").alias("least")), "least")
     moved = down.join(least, "node")
     return (
         moved.select(F.col("near").alias("u"), F.col("least").alias("v"))
