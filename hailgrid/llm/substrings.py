@@ -15,7 +15,6 @@ counted first, in the same way; there are some 10 to 14 times fewer.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np

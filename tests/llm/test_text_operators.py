@@ -1,6 +1,5 @@
 """Personal data, chat, fingerprints, language, shards, packing and pages on the smallest tables and odd ones."""
 
-import hashlib
 import os
 import random
 import re
@@ -10,7 +9,6 @@ from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
-import pyarrow as pa
 import pytest
 
 sys.path.insert(0, os.path.dirname(__file__))
