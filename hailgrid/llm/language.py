@@ -4,8 +4,8 @@ A text is the vector of its character n-grams (one to three UTF-8 bytes of the
 lower-cased text, everything but letters read as blank), hashed into a fixed
 number of features, square roots of counts times inverse document frequency,
 scaled to length one. Each language has a few centroids from spherical k-means.
-The nearest centroid by cosine names the language. A text farther from all
-centroids than known texts of its size are is rejected.
+The nearest centroid by cosine names the language. A text much farther from all
+centroids than nearly all known texts of its size are is rejected.
 """
 
 from __future__ import annotations
@@ -26,10 +26,12 @@ CENTROIDS = 3
 ROUNDS = 15
 #: Labelled documents the classifier is fitted on, in expectation; every language has an equal share.
 FIT_ROWS = 3072
-#: Share of the least cosine of known texts that a text must reach.
+#: Share of the low cosine of known texts of its size that a text must reach.
 MARGIN = 0.5
-#: Known texts that the least cosine of a size is taken over, at least.
-ENOUGH = 30
+#: The low cosine of a size is this quantile, over this many known texts at least (a quarter of all, if there are
+#: few): of so many, one odd text is left out.
+LOW = 0.01
+ENOUGH = 100
 UNKNOWN = "und"
 CHUNK = 256
 CHUNK_BYTES = 2 << 20
@@ -131,11 +133,14 @@ def train(counts: np.ndarray, langs: list[str]) -> Model:
         centres = k_means(x[names == lang], CENTROIDS)
         model.labels += [lang] * len(centres)
         model.centroids = np.vstack([model.centroids, centres])
-    cosine = (x @ model.centroids.T).max(axis=1)
-    # What is asked of a size is a share of the least cosine of known texts up to that size, as short
-    # texts vary most; where these are too few, larger ones count as well.
-    reach = [max(n, int(np.sort(size)[min(ENOUGH, len(size)) - 1])) for n in range(int(size.max()) + 1)]
-    model.least = np.array([MARGIN * cosine[size <= n].min() for n in reach])
+    cosine, least = (x @ model.centroids.T).max(axis=1), []
+    # A size with too few known texts is taken together with the sizes next to it, as few as will do.
+    enough = max(1, min(ENOUGH, len(size) // 4))
+    for n in range(int(size.max()) + 1):
+        away = np.abs(size - n)
+        near = away <= np.sort(away)[enough - 1]
+        least.append(MARGIN * float(np.quantile(cosine[near], LOW)))
+    model.least = np.array(least)
     return model
 
 

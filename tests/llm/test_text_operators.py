@@ -200,6 +200,43 @@ def test_language_odd(spark):
     assert [r["rejected"] for r in language.languages(strange, known).orderBy("doc_id").collect()] == [True, False]
 
 
+FOREIGN = {
+    "it": "Tutti gli esseri umani nascono liberi ed eguali in dignità e diritti. Essi sono dotati di ragione e di coscienza e devono agire gli uni verso gli altri in spirito di fratellanza. Ad ogni individuo spettano tutti i diritti e tutte le libertà enunciate nella presente Dichiarazione, senza distinzione alcuna, per ragioni di razza, di colore, di sesso, di lingua, di religione, di opinione politica o di altro genere, di origine nazionale o sociale, di ricchezza, di nascita o di altra condizione. Nessun individuo potrà essere tenuto in stato di schiavitù o di servitù.",
+    "fi": "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä. Jokainen on oikeutettu kaikkiin tässä julistuksessa esitettyihin oikeuksiin ja vapauksiin ilman minkäänlaista rotuun, väriin, sukupuoleen, kieleen, uskontoon, poliittiseen tai muuhun mielipiteeseen, kansalliseen tai yhteiskunnalliseen alkuperään, omaisuuteen, syntyperään tai muuhun tekijään perustuvaa erotusta. Ketään ei saa pitää orjana tai orjuutettuna.",
+    "tr": "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler ve birbirlerine karşı kardeşlik zihniyeti ile hareket etmelidirler. Herkes, ırk, renk, cinsiyet, dil, din, siyasi veya diğer herhangi bir akide, milli veya içtimai menşe, servet, doğuş veya herhangi diğer bir fark gözetilmeksizin işbu Beyannamede ilan olunan bütün haklardan ve bütün hürriyetlerden istifade edebilir. Hiç kimse kölelik veya kulluk altında bulundurulamaz.",
+    "pl": "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa. Każdy człowiek posiada wszystkie prawa i wolności zawarte w niniejszej Deklaracji bez względu na różnice rasy, koloru, płci, języka, wyznania, poglądów politycznych i innych, narodowości, pochodzenia społecznego, majątku, urodzenia lub jakiegokolwiek innego stanu.",
+    "nl": "Alle mensen worden vrij en gelijk in waardigheid en rechten geboren. Zij zijn begiftigd met verstand en geweten, en behoren zich jegens elkander in een geest van broederschap te gedragen. Een ieder heeft aanspraak op alle rechten en vrijheden, in deze Verklaring opgesomd, zonder enig onderscheid van welke aard ook, zoals ras, kleur, geslacht, taal, godsdienst, politieke of andere overtuiging, nationale of maatschappelijke afkomst, eigendom, geboorte of andere status.",
+}
+LEARNT = {
+    "en": "All human beings are born free and equal in dignity and rights. They are endowed with reason and conscience and should act towards one another in a spirit of brotherhood. Everyone is entitled to all the rights and freedoms set forth in this Declaration, without distinction of any kind.",
+    "fr": "Tous les êtres humains naissent libres et égaux en dignité et en droits. Ils sont doués de raison et de conscience et doivent agir les uns envers les autres dans un esprit de fraternité. Chacun peut se prévaloir de tous les droits et de toutes les libertés proclamés dans la présente Déclaration.",
+    "de": "Alle Menschen sind frei und gleich an Würde und Rechten geboren. Sie sind mit Vernunft und Gewissen begabt und sollen einander im Geist der Brüderlichkeit begegnen. Jeder hat Anspruch auf die in dieser Erklärung verkündeten Rechte und Freiheiten ohne irgendeinen Unterschied.",
+    "es": "Todos los seres humanos nacen libres e iguales en dignidad y derechos y, dotados como están de razón y conciencia, deben comportarse fraternalmente los unos con los otros. Toda persona tiene todos los derechos y libertades proclamados en esta Declaración, sin distinción alguna de raza, color.",
+}
+
+
+def test_long_texts_of_other_languages_are_rejected(spark):
+    known = spark.read.parquet(f"{os.path.dirname(SF_DIR)}/sf0.1/documents.parquet")
+    model = language.fitted_model(known)
+    for text in FOREIGN.values():
+        assert model.predict([text, text + " " + text, " ".join([text] * 8)])[2].all()
+    for lang, text in LEARNT.items():
+        labels, _, rejected = model.predict([text, " ".join([text] * 5)])
+        assert labels == [lang, lang] and not rejected.any()
+    short = [r["text"] for r in known.filter("length(text) < 200").collect() if language.has_letter(r["text"])]
+    gone = np.concatenate([model.predict(short[a:b])[2] for a, b in language.chunks(short)])
+    assert len(short) > 100 and gone.sum() <= 0.005 * len(short) + 1
+
+
+def test_one_odd_short_text_does_not_set_the_bar_for_long_ones():
+    rng = random.Random(2)
+    words = ["".join(rng.choice("aeioulmnrst") for _ in range(rng.randrange(2, 8))) for _ in range(200)]
+    texts = [" ".join(rng.choice(words) for _ in range(n)) for n in [6] * 100 + [300] * 400]
+    bar = [language.train(language.ngram_counts(t).astype(np.float32), ["en"] * len(t)).least for t in (texts, [*texts, "zqxj wvkq"])]
+    long = language.size_class(language.ngram_counts([texts[-1]]))[0]
+    assert bar[1][long] > 0.95 * bar[0][long] and bar[1][long] > 1.2 * bar[0][0]
+
+
 # ---- shards
 
 def check_shards(got, data, n):
