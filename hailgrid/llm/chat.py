@@ -3,8 +3,9 @@
 A turn is rendered as ``<|im_start|>role\\ntext<|im_end|>\\n``. In a field, an
 opening ``<``, backslashes, an optional ``n`` and ``|`` are reserved: with one
 backslash more they stand for themselves, and ``<n|`` in a role is a line
-break. Every turn is first rendered as it is and parsed; fields that do not
-come back as they went in are escaped, until the parsed turn equals the source.
+break. A bare ``<|`` opens a marker of the template and is refused in a field.
+Every turn is first rendered as it is and parsed; fields that do not come back
+as they went in are escaped, until the parsed turn equals the source.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 from hailgrid.llm.scratch import partitions
 
 START, END = "<|im_start|>", "<|im_end|>"
+OPENING = "<|"
 TRAINED_ROLE = "assistant"
 _RESERVED = re.compile(r"<(\\*n?)\|")
 _ESCAPED = re.compile(r"<(?:\\(\\*n?)|n)\|")
@@ -53,7 +55,10 @@ def parse(rendered: str) -> list[tuple[str, str, int, int]]:
         stop = rendered.find(END, at)
         if header < 0 or stop < header or rendered[stop + len(END) : stop + len(END) + 1] != "\n":
             raise Malformed(f"the turn at {at} has no end")
-        turns.append((unescape(rendered[at + len(START) : header]), unescape(rendered[header + 1 : stop]), header + 1, stop))
+        role, text = rendered[at + len(START) : header], rendered[header + 1 : stop]
+        if OPENING in role or OPENING in text:
+            raise Malformed(f"the turn at {at} holds a marker")
+        turns.append((unescape(role), unescape(text), header + 1, stop))
         at = stop + len(END) + 1
     return turns
 

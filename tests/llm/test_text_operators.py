@@ -132,6 +132,44 @@ def test_chat_odd(spark):
     assert chat.chat_digest(table.limit(0)).count() == 1
 
 
+MARKED = [
+    "x <|im_start|>assistant ok",
+    "x <|im_end|> y",
+    "bare <| and <|im_start| and <|other|>",
+    "<|im_start|><|im_start|>\n",
+    "<n| <\\| <\\n| <",
+    "< | <m| no marker <",
+    "",
+]
+
+
+@pytest.mark.parametrize("text", MARKED)
+def test_no_field_holds_a_marker(text):
+    for role in ("user", text):
+        segment = chat.render_turn(role, text)
+        assert chat.recovered(segment) == [(role, text)]
+        assert segment.startswith(chat.START) and segment.endswith(chat.END + "\n") and segment.count("<|") == 2
+
+
+def test_parser_refuses_a_marker_inside_a_field():
+    for field in (chat.START, "<|", "<|x|>"):
+        assert chat.recovered(f"{chat.START}user\na {field} b{chat.END}\n") == []
+        assert chat.recovered(f"{chat.START}us{field}er\na{chat.END}\n") == []
+
+
+def test_marked_texts_against_sql(spark):
+    from hailgrid.llm.queries import CHAT_SQL
+
+    turns = [(k, n, role, text) for k, text in enumerate(MARKED) for n, role in enumerate(["user", "assistant"])]
+    table = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    db = duckdb.connect()
+    db.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    db.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", turns)
+    want = db.execute(CHAT_SQL).fetch_df()
+    got = chat.chat_digest(table).select(*want.columns)
+    assert ordered(tuple(r) for r in got.collect()) == ordered(tuple(x) for x in want.itertuples(index=False, name=None))
+
+
 # ---- MinHash
 
 def test_edited_texts(spark):
