@@ -93,6 +93,28 @@ def test_posteriors_are_exact_on_a_chain():
     assert np.allclose(pii.posteriors([g], f), exact, atol=1e-2)
 
 
+def test_one_certain_occurrence_reaches_hundreds():
+    lone = "no. 12 4111111111111111 and "
+    sure = ["card 4111111111111111 end"] * 200 + ["just 12 words and 34 more"] * 200 + [lone] * 800
+    f = pii.factors([(*k, n) for k, n in pii.fit_counts(sure).items()])
+    for before, after in ((300, 0), (0, 300), (150, 150)):
+        text = lone * before + "card 4111111111111111 end " + lone * after
+        [(base, spans)] = pii.find_spans([text], f)
+        assert len(base) == 1 and len(spans) == 301 and {text[a:b] for a, b, _ in spans} == {"4111111111111111"}
+
+
+def test_messages_cross_a_long_chain():
+    n = len(pii.LABELS)
+    f = pii.Factors({"91:": np.zeros(n)}, np.zeros(n), np.where(np.eye(n, dtype=bool), 6.0, 0.0), np.zeros((n, n)))
+    g = pii.graph(" ".join("1" * 100), [])
+    g.labels[0], g.alone[:] = 2, 0
+    exact = [np.eye(n)[2]]
+    step = np.exp(f.chain) / np.exp(f.chain).sum(axis=1, keepdims=True)
+    for _ in range(99):
+        exact.append(exact[-1] @ step)
+    assert np.allclose(pii.posteriors([g], f), exact, atol=1e-2)
+
+
 # ---- chat
 
 TURNS = [
