@@ -4,7 +4,10 @@ The patterns give the base spans, which always stay. The field runs over the
 tokens that hold a digit or an ``@``. Neighbouring tokens form a chain; skip
 edges tie every token to the next one in the document with the same content,
 and to the nearest ones before and after it that a pattern is certain of,
-however far, so that one certain occurrence speaks for the others. Loopy
+however far, so that one certain occurrence speaks for the others. A number
+that a pattern found over several tokens is one token of the field, and so is
+every other run of digits with blanks and signs between that holds the digits
+of a number found; what makes them alike are their joined digits. Loopy
 belief propagation, run until no message changes, gives each token's label
 probabilities.
 
@@ -16,9 +19,10 @@ bounded sample of documents whose tokens the patterns label.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +51,9 @@ _LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ01234567
 _SOME = re.compile(r"[0-9@]")
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]*[0-9@][^\x20\x09-\x0D]*")
 _NOT_DIGIT = re.compile(r"[^0-9]")
+_RUN = re.compile(r"[0-9][0-9 ().-]*[0-9]")
+#: Kinds whose value is its digits, whatever stands between them.
+NUMBERS = frozenset(["card", "phone"])
 
 Span = tuple[int, int, str]
 
@@ -124,10 +131,78 @@ class Graph:
     alone: np.ndarray  # how many neighbours are plain words
     ties: list[tuple[int, int]]  # from tokens to certain ones alike that are not next to them among those alike
     longest: int  # tokens of the longest chain, of neighbours or of tokens alike
+    numbers: list[bool]  # whether a token is a whole number, made of one or more tokens of the text
 
 
-def graph(text: str, base: list[Span]) -> Graph:
+def whole_numbers(text: str, found: list[tuple[int, int]], base: list[Span]) -> tuple[list[tuple[int, int]], list[set[str]], list[bool]]:
+    """Tokens with those of one number made one, the keys that make each alike to others, and which are whole numbers.
+
+    A number is a span of a pattern, or a part of a run of digits that holds the
+    same digits as one and overlaps no span. The longest go first, then the leftmost.
+    """
+    sure = {_NOT_DIGIT.sub("", text[a:b]) for a, b, kind in base if kind in NUMBERS}
+    starts, stops = [a for a, _ in found], [b for _, b in found]
+    taken: list[tuple[int, int, int, int, str]] = []  # first and last token, start, stop, digits
+    free = np.ones(len(found), bool)
+    own: dict[int, str] = {}
+    for a, b, kind in base:
+        first, last = bisect_right(stops, a), bisect_left(starts, b) - 1
+        if kind in NUMBERS and free[first : last + 1].all():
+            digits = _NOT_DIGIT.sub("", text[a:b])
+            if first < last:
+                taken.append((first, last, starts[first], stops[last], digits))
+            else:
+                own[first] = digits
+        free[first : last + 1] = False
+    if sure:
+        most = max(map(len, sure))
+        parts = [x for m in _RUN.finditer(text) for x in parts_of_run(text, m.start(), m.end(), starts, stops, most) if x[4] in sure]
+        for first, last, a, b, digits in sorted(parts, key=lambda x: (-len(x[4]), x[0])):
+            if free[first : last + 1].all():
+                free[first : last + 1] = False
+                taken.append((first, last, a, b, digits))
+    out: list[tuple[int, int]] = []
+    keys: list[set[str]] = []
+    whole: list[bool] = []
+    at = 0
+    for first, last, a, b, digits in [*sorted(taken), (len(found), len(found), 0, 0, "")]:
+        for n in range(at, first):
+            keys.append({content(text[starts[n] : stops[n]]), own.get(n, "")} - {""})
+            out.append(found[n])
+            whole.append(False)
+        if first < len(found):
+            keys.append({digits, *(content(text[starts[n] : stops[n]]) for n in range(first, last + 1))} - {""})
+            out.append((a, b))
+            whole.append(True)
+        at = last + 1
+    return out, keys, whole
+
+
+def parts_of_run(text: str, start: int, stop: int, starts: list[int], stops: list[int], most: int) -> Iterator[tuple[int, int, int, int, str]]:
+    """Parts of a run from token to token that hold at most so many digits, with no letter or ``@`` on either side."""
+    first, last = bisect_right(stops, start), bisect_left(starts, stop) - 1
+    pieces = [(max(start, starts[n]), min(stop, stops[n])) for n in range(first, last + 1)]
+    joined = [_NOT_DIGIT.sub("", text[a:b]) for a, b in pieces]
+    for i, (a, _) in enumerate(pieces):
+        if a and (text[a - 1].isalnum() or text[a - 1] in "@_"):
+            continue
+        digits = ""
+        for j in range(i, len(pieces)):
+            digits += joined[j]
+            if len(digits) > most:
+                break
+            b = pieces[j][1]
+            if not (text[b : b + 1].isalnum() or text[b : b + 1] in ("@", "_")):
+                yield first + i, first + j, a, b, digits
+
+
+def graph(text: str, base: list[Span], whole: bool = True) -> Graph:
+    """The field of a text; unless ``whole``, with every token on its own."""
     found = [(m.start(), m.end()) for m in _TOKEN.finditer(text)]
+    if whole:
+        found, keys, numbers = whole_numbers(text, found, base)
+    else:
+        keys, numbers = [{content(text[a:b])} - {""} for a, b in found], [False] * len(found)
     labels = np.zeros(len(found), np.int64)
     k = 0
     for start, stop, kind in sorted(base):
@@ -140,17 +215,18 @@ def graph(text: str, base: list[Span]) -> Graph:
     chain = [n for n in range(len(found) - 1) if text[found[n][1] : found[n + 1][0]].isspace()]
     alike: dict[str, list[int]] = {}
     words = [text[a:b] for a, b in found]
-    for n, word in enumerate(words):
-        if key := content(word):
+    for n, own in enumerate(keys):
+        for key in own:
             alike.setdefault(key, []).append(n)
-    skips = sorted(pair for own in alike.values() for pair in zip(own, own[1:], strict=False))
-    ties = [pair for own in alike.values() for way in (own, own[::-1]) for pair in certain_ties(way, labels)]
+    # tokens alike by more than one key have one edge all the same
+    skips = sorted({pair for own in alike.values() for pair in zip(own, own[1:], strict=False)})
+    ties = sorted({pair for own in alike.values() for way in (own, own[::-1]) for pair in certain_ties(way, labels)} - set(skips) - {(b, a) for a, b in skips})
     longest = max([run_length(chain), *map(len, alike.values())])
     alone = np.full(len(found), 2)
     for n in chain:
         alone[n] -= 1
         alone[n + 1] -= 1
-    return Graph(found, [shape(w) for w in words], labels, chain, skips, alone, ties, longest)
+    return Graph(found, [shape(w) for w in words], labels, chain, skips, alone, ties, longest, numbers)
 
 
 def certain_ties(alike: list[int], labels: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -174,12 +250,18 @@ def run_length(chain: list[int]) -> int:
 
 @dataclass
 class Factors:
-    """Log factors: by shape, for neighbours (label by label), for tokens alike."""
+    """Log factors: by shape, for neighbours (label by label), for tokens alike, for whole numbers by shape ("": any)."""
 
     node: dict[str, np.ndarray]
     unseen: np.ndarray
     chain: np.ndarray
     skip: np.ndarray
+    number: dict[str, np.ndarray] = field(default_factory=dict)
+
+    def own(self, shape: str, number: bool) -> np.ndarray:
+        if number and shape not in self.node:
+            return self.number.get(shape, self.number.get("", self.unseen))
+        return self.node.get(shape, self.unseen)
 
 
 def fit_counts(texts: Iterable[str | None]) -> Counter:
@@ -188,8 +270,15 @@ def fit_counts(texts: Iterable[str | None]) -> Counter:
     for text in texts:
         if not text or not _SOME.search(text):
             continue
-        g = graph(text, base_spans(text))
+        base = base_spans(text)
+        g = graph(text, base, whole=False)
         counts.update(("node", s, int(y)) for s, y in zip(g.shapes, g.labels, strict=True))
+        # numbers over several tokens count as tokens do, and besides them as the one token they are in the field
+        if any(kind in NUMBERS for *_, kind in base):
+            parts, w = set(g.spans), graph(text, base)
+            for x, s, y, number in zip(w.spans, w.shapes, w.labels, w.numbers, strict=True):
+                if number and x not in parts:
+                    counts.update([("number", s, int(y)), ("number", "", int(y))])
         counts.update(("chain", str(int(g.labels[n])), int(g.labels[n + 1])) for n in g.chain)
         counts.update(("skip", str(int(g.labels[a])), int(g.labels[b])) for a, b in g.skips)
         for y, n in zip(g.labels, g.alone, strict=True):
@@ -200,13 +289,18 @@ def fit_counts(texts: Iterable[str | None]) -> Counter:
 def factors(rows: Iterable[tuple[str, str, int, int]]) -> Factors:
     n = len(LABELS)
     node: dict[str, np.ndarray] = {}
+    number: dict[str, np.ndarray] = {}
     edges = {"chain": np.zeros((n, n)), "skip": np.zeros((n, n))}
     for piece, key, label, count in rows:
-        if piece == "node":
-            node.setdefault(key, np.zeros(n))[label] += count
+        if piece in ("node", "number"):
+            (node if piece == "node" else number).setdefault(key, np.zeros(n))[label] += count
         else:
             edges[piece][int(key), label] += count
             edges[piece][label, int(key)] += count
+    if "" in number:
+        # which kind a whole number of any shape is, is told by those with the same digits
+        kinds = [LABELS.index(kind) for kind in sorted(NUMBERS)]
+        number[""][kinds] = number[""][kinds].mean()
     total = sum(node.values(), np.zeros(n)) + 1.0
     prior = total / total.sum()
 
@@ -218,7 +312,7 @@ def factors(rows: Iterable[tuple[str, str, int, int]]) -> Factors:
     # Neighbours of different kinds are rare but possible: a tenth of the weight goes to chance.
     chain = log(edges["chain"], 1.0 + 0.1 * edges["chain"].sum(axis=1, keepdims=True)) - np.log(prior)
     skip = log(edges["skip"] + 5.0 * np.eye(n), 1.0) - np.log(prior)
-    return Factors({s: log(c, 1.0) for s, c in node.items()}, np.log(prior), (chain + chain.T) / 2, (skip + skip.T) / 2)
+    return Factors({s: log(c, 1.0) for s, c in node.items()}, np.log(prior), (chain + chain.T) / 2, (skip + skip.T) / 2, {s: log(c, 1.0) for s, c in number.items()})
 
 
 def posteriors(graphs: list[Graph], f: Factors) -> np.ndarray:
@@ -227,7 +321,7 @@ def posteriors(graphs: list[Graph], f: Factors) -> np.ndarray:
     Tokens inside base spans are held to their label.
     """
     first = np.cumsum([0, *(len(g.spans) for g in graphs)])
-    own = np.array([f.node.get(s, f.unseen) for g in graphs for s in g.shapes]).reshape(-1, len(LABELS))
+    own = np.array([f.own(s, w) for g in graphs for s, w in zip(g.shapes, g.numbers, strict=True)]).reshape(-1, len(LABELS))
     labels, alone = np.concatenate([g.labels for g in graphs]), np.concatenate([g.alone for g in graphs])
     own = own + alone[:, None] * f.chain[0]  # plain words beside a token are surely "other"
     held = labels > 0
@@ -318,7 +412,7 @@ def fitted_factors(docs: DataFrame, fit_rows: int = FIT_ROWS) -> Factors:
 
     counted = sample.select("text").mapInArrow(count, "piece string, key string, label int, n long")
     # shapes that were seen once say nothing that the prior does not
-    rows = counted.groupBy("piece", "key", "label").agg(F.sum("n").alias("n")).filter("n > 1 or piece <> 'node'").collect()
+    rows = counted.groupBy("piece", "key", "label").agg(F.sum("n").alias("n")).filter("n > 1 or piece NOT IN ('node', 'number')").collect()
     return factors((r["piece"], r["key"], r["label"], r["n"]) for r in rows)
 
 

@@ -103,6 +103,40 @@ def test_one_certain_occurrence_reaches_hundreds():
         assert len(base) == 1 and len(spans) == 301 and {text[a:b] for a, b, _ in spans} == {"4111111111111111"}
 
 
+CARD_FORMS = ["4111 1111 1111 1111", "4111111111111111", "4111-1111-1111-1111", "41111111 11111111", "4111-1111 1111 1111"]
+PHONE_FORMS = ["1 (555) 123-4567", "15551234567", "1 555 123 4567", "1.555.123.4567"]
+
+
+def form_factors():
+    sure = [f"card {x} end and +1 (555) 123-45{n:02} end" for x in CARD_FORMS for n in range(60)] + ["just 12 words and 34 more (5) or 1 and 4567 of 1111"] * 600
+    return pii.factors([(*k, n) for k, n in pii.fit_counts(sure).items()])
+
+
+def test_forms_of_one_number_are_tied_and_added_whole():
+    f = form_factors()
+    for kind, sure, forms in (("card", "4111 1111 1111 1111", CARD_FORMS), ("card", "4111111111111111", CARD_FORMS), ("phone", "+1 (555) 123-4567", PHONE_FORMS)):
+        for form in forms:
+            text = f"no. 123 {form} 77 and more words, once {sure} end, then 812 {form} 99"
+            [(base, spans)] = pii.find_spans([text], f)
+            assert [text[a:b] for a, b, _ in base] == [sure]
+            added = [(text[a:b], k) for a, b, k in spans if (a, b, k) not in base]
+            assert added == [(form, kind)] * 2, (text, added)
+
+
+def test_a_phone_that_an_address_follows_is_still_found():
+    f = form_factors()
+    [(base, spans)] = pii.find_spans(["un. +1 (826) 555-4081 190.137.2.11 x"], f)
+    assert [s[2] for s in base] == ["ip"] and (4, 21, "phone") in spans
+
+
+def test_numbers_with_other_digits_stay_apart():
+    text = "card 4111 1111 1111 1111 end, 4111 1111 1111 1112 and x4111 1111 1111 1111 or 4111 1111 1111 11119"
+    [(base, spans)] = pii.find_spans([text], form_factors())
+    g = pii.graph(text, base)
+    assert len(base) == 2 and (5, 24) in g.spans
+    assert all({text[a:b].replace(" ", "") for a, b in (g.spans[x], g.spans[y])} <= {"4111111111111111", "x4111111111111111"} or len(text[slice(*g.spans[x])]) < 16 for x, y in g.skips)
+
+
 def test_messages_cross_a_long_chain():
     n = len(pii.LABELS)
     f = pii.Factors({"91:": np.zeros(n)}, np.zeros(n), np.where(np.eye(n, dtype=bool), 6.0, 0.0), np.zeros((n, n)))
