@@ -5,12 +5,19 @@ characters over its tags; ratios are smoothed along the page, and lines above
 the threshold (one standard deviation) mark the regions that hold content. A
 marked region keeps all its lines, so a short paragraph stays, while lines
 inside menus, notices, adverts and the like count as nothing.
+
+A name (a whole word of class, id or role) takes an element out only if it is
+not and does not hold an article, main or h1 or most of the text of the page.
+An element with such a word as a part of a name is a region of its own, that
+its own ratios decide on. In a block, named inline elements stay, unless they
+are all of it.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Set
+from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import numpy as np
@@ -43,58 +50,92 @@ HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _NAMES = re.compile(r"[A-Za-z0-9]+")
 
 
-def boilerplate(tag: str, attrs: list[tuple[str, str | None]], inside_main: bool) -> bool:
+#: Share of the text of a page from which an element is the page, whatever it is named: by a whole word, by a part of one.
+MOST = {True: 0.75, False: 0.5}
+
+
+def hidden(tag: str, attrs: list[tuple[str, str | None]], inside_main: bool) -> bool:
+    """Whether an element is never part of an article, by its tag or because it is not shown."""
     if tag in NEVER or tag == "header" and not inside_main:
         return True
     if tag in ("html", "body", "main"):
         return False
-    for name, value in attrs:
-        if name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
-        if name in ("class", "id", "role") and value and any(w.lower() in BOILERPLATE for w in _NAMES.findall(value)):
-            return True
-        if name == "style" and value and HIDDEN.search(value):
-            return True
-    return False
+    return any(name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and value and HIDDEN.search(value) for name, value in attrs)
+
+
+def boilerplate(tag: str, attrs: list[tuple[str, str | None]]) -> bool | None:
+    """Whether a whole class, id or role is in the vocabulary; False: a part of one is; None: not even that."""
+    if tag in ("html", "body", "h1") or tag in MAIN:
+        return None
+    names = [w.lower() for name, value in attrs if name in ("class", "id", "role") and value for w in value.split()]
+    if any(w in BOILERPLATE for w in names):
+        return True
+    return False if any(part in BOILERPLATE for w in names for part in _NAMES.findall(w)) else None
+
+
+@dataclass
+class Named:
+    """An element with a name that speaks against it."""
+
+    parent: int  # the named element it lies in, or -1
+    whole: bool
+    inline: bool
+    holds_main: bool = False  # article, main or h1
+    size: int = 0
+
+
+@dataclass
+class Line:
+    text: list[tuple[str, int]]  # with the innermost named element
+    tags: int
+    region: int
+    inside: bool  # of an article
+    named: int  # innermost named block
+
+    def joined(self, out: Set[int] = frozenset()) -> str:
+        return " ".join("".join(t for t, named in self.text if named not in out).split())
 
 
 class Lines(HTMLParser):
-    """Collects (text, tags, region, whether it lies in an article) for every line that is not boilerplate."""
+    """Collects the lines of a page, and the named elements they lie in."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, int, bool]] = [("", False, 0, False)]  # tag, boilerplate, region, inside article
+        # tag, never part of an article, region, inside article, innermost named element, innermost named block
+        self.open: list[tuple[str, bool, int, bool, int, int]] = [("", False, 0, False, -1, -1)]
         self.regions = 0
-        self.text: list[str] = []
+        self.text: list[tuple[str, int]] = []
         self.tags = 0
-        self.lines: list[tuple[str, int, int, bool]] = []
+        self.lines: list[Line] = []
+        self.named: list[Named] = []
 
     def end_line(self) -> None:
-        text = " ".join("".join(self.text).split())
-        if text or self.tags:
-            _, out, region, inside = self.open[-1]
-            self.lines.append(("" if out else text, max(self.tags, 1), region, inside))
+        if self.tags or any(t.strip() for t, _ in self.text):
+            _, _, region, inside, _, named = self.open[-1]
+            self.lines.append(Line(self.text, max(self.tags, 1), region, inside, named))
         self.text, self.tags = [], 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.tags += 1
         if tag in ("br", "hr"):
-            self.text.append(" ")
+            self.text.append((" ", -1))
         if tag in INLINE or tag in VOID:
-            if tag not in VOID and attrs and not self.open[-1][1] and boilerplate(tag, attrs, self.open[-1][3]):
-                self.push(tag, True)
+            if tag not in VOID and attrs and not self.open[-1][1]:
+                out, name = hidden(tag, attrs, self.open[-1][3]), boilerplate(tag, attrs)
+                if out or name:
+                    self.push(tag, out, name or None)
             return
         if tag in CELLS:
-            self.text.append(" ")
+            self.text.append((" ", -1))
             self.close_siblings(tag)
-            self.push(tag, boilerplate(tag, attrs, self.open[-1][3]), keep_line=True)
-            return
-        self.end_line()
-        if any(x[0] == "p" for x in self.open[-8:]):
-            self.close("p")
-        self.close_siblings(tag)
-        self.push(tag, boilerplate(tag, attrs, self.open[-1][3]))
-        self.tags = 1
+        else:
+            self.end_line()
+            if any(x[0] == "p" for x in self.open[-8:]):
+                self.close("p")
+            self.close_siblings(tag)
+        self.push(tag, hidden(tag, attrs, self.open[-1][3]), boilerplate(tag, attrs))
+        if tag not in CELLS:
+            self.tags = 1
 
     def close_siblings(self, tag: str) -> None:
         for k in range(len(self.open) - 1, 0, -1):
@@ -103,17 +144,22 @@ class Lines(HTMLParser):
             if self.open[k][0] in SIBLINGS.get(tag, ()):
                 del self.open[k:]
 
-    def push(self, tag: str, out: bool, keep_line: bool = False) -> None:
-        _, was_out, region, inside = self.open[-1]
+    def push(self, tag: str, out: bool, whole: bool | None) -> None:
+        _, was_out, region, inside, named, block = self.open[-1]
+        out = was_out or out
+        if (tag in MAIN or tag == "h1") and not out and named >= 0:
+            self.named[named].holds_main = True
         if tag in MAIN and not inside:
             self.regions += 1
             region, inside = self.regions, True
         elif not inside and tag in ("div", "section", "body", "td", "center"):
             self.regions += 1
             region = self.regions
-        if out and not was_out and not keep_line and tag in INLINE:
-            self.end_line()
-        self.open.append((tag, was_out or out, region, inside))
+        if whole is not None and not out:
+            self.named.append(Named(named, whole, tag in INLINE))
+            named = len(self.named) - 1
+            block = block if tag in INLINE or tag in CELLS else named
+        self.open.append((tag, out, region, inside, named, block))
 
     def close(self, tag: str | None = None) -> None:  # type: ignore[override]
         if tag is None:
@@ -131,13 +177,12 @@ class Lines(HTMLParser):
         self.tags += 1
         if tag in INLINE:
             if self.open[-1][0] == tag:
-                self.end_line()
                 self.open.pop()
             return
         if tag in VOID:
             return
         if tag in CELLS:
-            self.text.append(" ")
+            self.text.append((" ", -1))
         else:
             self.end_line()
         if any(x[0] == tag for x in self.open):
@@ -145,7 +190,34 @@ class Lines(HTMLParser):
 
     def handle_data(self, data: str) -> None:
         if not self.open[-1][1]:
-            self.text.append(data)
+            self.text.append((data, self.open[-1][4]))
+
+    def judged(self) -> tuple[list[str], list[int | tuple[int]]]:
+        """Texts of all lines without the elements their names take out, and the region of each."""
+        for line in self.lines:
+            for text, named in line.text:
+                if named >= 0:
+                    self.named[named].size += len(" ".join(text.split()))
+        for x in reversed(self.named):  # an element comes after the one it lies in
+            if x.parent >= 0:
+                self.named[x.parent].size += x.size
+                self.named[x.parent].holds_main |= x.holds_main
+        total = sum(len(line.joined()) for line in self.lines)
+        out, inline, apart = set(), set(), {}
+        for k, x in enumerate(self.named):
+            believed = not x.holds_main and x.size < MOST[x.whole] * total
+            if x.parent in out or believed and x.whole and not x.inline:
+                out.add(k)
+            if x.parent in inline or believed and x.inline:
+                inline.add(k)
+            if x.parent in apart or believed and not x.whole:
+                apart[k] = apart.get(x.parent, k)
+        texts, regions = [], []
+        for line in self.lines:
+            # a named inline element goes with a line that it is all of
+            texts.append(line.joined(out) if not inline or line.joined(out | inline) else "")
+            regions.append((apart[line.named],) if line.named in apart else line.region)
+        return texts, regions
 
 
 def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -161,16 +233,22 @@ def main_text(html: str) -> str:
     parser = Lines()
     parser.feed(html)
     parser.close()
-    lines = parser.lines
-    some = np.array([bool(text) for text, *_ in lines], bool)
+    texts, regions = parser.judged()
+    some = np.array([bool(text) for text in texts], bool)
     if not some.any():
         return ""
-    ratios = smoothed(np.array([len(text) / tags for text, tags, *_ in lines]))
-    inside = np.array([x[3] for x in lines], bool)
+    own = np.array([len(text) / line.tags for text, line in zip(texts, parser.lines, strict=True)])
+    ratios = smoothed(own)
+    inside = np.array([line.inside for line in parser.lines], bool)
     eligible = some & inside if (some & inside).any() else some
     threshold = min(float(ratios.std()), float(ratios[eligible].max()))
-    marked = {lines[k][2] for k in np.flatnonzero(eligible & (ratios >= threshold))}
-    return "\n\n".join(lines[k][0] for k in np.flatnonzero(eligible) if lines[k][2] in marked)
+    # a region apart does not gain from the lines around it
+    apart = np.array([isinstance(r, tuple) for r in regions], bool)
+    high = eligible & (np.where(apart, own, ratios) >= threshold)
+    if not high.any():
+        high = eligible & (ratios >= threshold)
+    marked = {regions[k] for k in np.flatnonzero(high)}
+    return "\n\n".join(texts[k] for k in np.flatnonzero(eligible) if regions[k] in marked)
 
 
 def page_texts(pages: DataFrame) -> DataFrame:

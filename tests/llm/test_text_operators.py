@@ -467,6 +467,34 @@ def test_page(html, want):
     assert pages.main_text(html or "") == want
 
 
+LONG = " ".join(f"Sentence {k} of a text that goes on for a while." for k in range(12))
+NAMED = [
+    (f"<body><div id='page' class='site right-sidebar'><p>{LONG}</p><p>End.</p></div></body>", f"{LONG}\n\nEnd."),
+    (f"<div class='content has-sidebar'><h1>Title</h1><p>{LONG}</p><p>End.</p></div>", f"Title\n\n{LONG}\n\nEnd."),
+    (f"<article class='post comments-open'><h1>Title</h1><p>{LONG}</p></article>", f"Title\n\n{LONG}"),
+    (f"<article class=sidebar id=comments><p>{LONG}</p></article>", LONG),
+    (f"<div class='search-result article'><p>{LONG}</p></div><div class=sidebar><p>s s</p></div>", LONG),
+    (f"<div class=widget><article><p>{LONG}</p></article></div>", LONG),
+    (f"<div class=notice><p>{LONG}</p></div>", LONG),
+    (f"<article><div class=notice><p>{LONG}</p></div><div class=notice><p>Sale!</p></div></article>", LONG),
+    (f"<article><p>See <a class='related' href=x>the other one</a> and <span class='notice'>this</span>. {LONG}</p></article>", f"See the other one and this. {LONG}"),
+    (f"<article><p>{LONG}</p><p><a class=share href=x>Share</a></p><div class=share-buttons><a href=a>A</a><a href=b>B</a><a href=c>C</a></div></article>", LONG),
+    (f"<article><p>a <span hidden>gone</span> b. {LONG}</p></article>", f"a b. {LONG}"),
+    (f"<div><p>{LONG}</p></div><div class=comments><p>{LONG[:200]}</p></div>", LONG),
+    (f"<article><table><tr><td>1</td><td class=ad>buy</td><td>2</td></tr></table><p>{LONG}</p></article>", f"1 2\n\n{LONG}"),
+]
+
+
+@pytest.mark.parametrize("html, want", NAMED)
+def test_a_name_alone_takes_no_article_out(html, want):
+    assert pages.main_text(html) == want
+
+
+def test_many_nested_names():
+    html = "<div class=sidebar>" * 3000 + f"<p>{LONG}</p>" + "</div>" * 3000
+    assert pages.main_text(html) == LONG
+
+
 def test_pages(spark):
     got = {r["page_id"]: r for r in QUERIES["op10_pages"](spark, SF_DIR).collect()}
     for r in spark.read.parquet(f"{SF_DIR}/pages.parquet").collect():
