@@ -18,6 +18,7 @@ bounded sample of documents whose tokens the patterns label.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from bisect import bisect_left, bisect_right
 from collections import Counter
@@ -39,6 +40,8 @@ FAR = 4
 DAMPING = 0.5
 #: Probability from which the field adds a span.
 CERTAIN = 0.9
+#: Signs of a shape that are kept as they are.
+SIGNS = 40
 
 # The four patterns. A match can only start where a run of its first class
 # starts, so the look-behinds change nothing but spare repeated scans.
@@ -103,14 +106,20 @@ def in_order(span: Span) -> tuple[int, int]:
 
 
 def shape(token: str) -> str:
-    """Letters, digits and other signs by runs, with the length of digit runs and what the digits would pass."""
+    """Letters, digits and other signs by runs, with the length of digit runs and what the digits would pass.
+
+    Of a long shape the first signs and a digest of the whole stand for it.
+    """
     runs = []
-    for m in re.finditer(r"([0-9]+)|([^\W\d_]+)|(.)", token[:200]):
+    for m in re.finditer(r"([0-9]+)|([^\W\d_]+)|(.)", token):
         runs.append(f"9{min(len(m[1]), 20)}" if m[1] else "a" if m[2] else m[3])
     digits = _NOT_DIGIT.sub("", token)
     marks = [kind for kind in ("card", "phone") if valid(kind, digits)]
     ip = _IP.search(token)
-    return "".join(runs)[:40] + ":" + ",".join([*marks, *(["ip"] if ip and valid("ip", ip[0]) else [])])
+    signs = "".join(runs)
+    if len(signs) > SIGNS:
+        signs = signs[: SIGNS // 2] + "~" + hashlib.blake2b(signs.encode(), digest_size=8).hexdigest()
+    return signs + ":" + ",".join([*marks, *(["ip"] if ip and valid("ip", ip[0]) else [])])
 
 
 def content(token: str) -> str:

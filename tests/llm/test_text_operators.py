@@ -149,6 +149,13 @@ def test_messages_cross_a_long_chain():
     assert np.allclose(pii.posteriors([g], f), exact, atol=1e-2)
 
 
+def test_shapes_tell_long_tokens_apart():
+    same = "http://a.b/?" + "&".join(f"k{n}=v" for n in range(60))
+    a, b = same + "&id=4111111111111111", same + "&id=x"
+    assert pii.shape(a) != pii.shape(b) and pii.shape(a) == pii.shape(a.replace("=v", "=w"))
+    assert all(len(pii.shape(x)) < 60 for x in (a, b, "1@" * 100_000)) and pii.shape("+1-234") == "+91-93:"
+
+
 # ---- chat
 
 TURNS = [
