@@ -18,12 +18,10 @@ Numbering the pieces of a length, and looking them up, is Spark's work.
 
 from __future__ import annotations
 
-import base64
 import zlib
 from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,43 +29,26 @@ from pyspark.sql import DataFrame, functions as F
 
 from hailgrid.llm.ranking import numbered
 from hailgrid.llm.scratch import partitions, stored
+from hailgrid.llm.tokens import Vocabulary, default_vocabulary, encoder
 
 CAPACITY = 1024
 GROUPS = 512
 SMALL = 4  # a length is small up to capacity / SMALL
 END = 2
-END_OF_TEXT = ("<|endoftext|>", 50256)
-
-
-@lru_cache(maxsize=2)
-def encoder(ranks_file: str, pattern: str):
-    """The byte-level BPE of a rank file; its end-of-text string in a text is that token."""
-    import tiktoken
-
-    with open(ranks_file, "rb") as lines:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    return tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks=ranks, special_tokens=dict([END_OF_TEXT]))
-
-
-def default_tokenizer() -> tuple[str, str]:
-    import public_tokenizers
-
-    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def token_pieces(docs: DataFrame, capacity: int = CAPACITY, tokenizer: tuple[str, str] | None = None) -> DataFrame:
+def token_pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: Vocabulary | None = None) -> DataFrame:
     """Pieces of at most ``capacity`` tokens; only longer documents are cut, and the first piece takes the rest."""
-    source = tokenizer or default_tokenizer()
+    source = vocabulary or default_vocabulary()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(*source).encode_to_numpy
+        encode = encoder(source)
         for batch in batches:
             out: list[tuple] = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                ids = np.append(encode(text or "", allowed_special="all").astype("<u4"), np.uint32(END))
+                ids = np.append(encode(text), np.uint32(END))
                 bounds = [0, *range(len(ids) % capacity or capacity, len(ids) + 1, capacity)]
                 out += [(doc_id, k, a, b - a, zlib.crc32(ids[a:b].tobytes())) for k, (a, b) in enumerate(zip(bounds, bounds[1:], strict=False))]
             if out:
@@ -234,17 +215,19 @@ def placement(plan: list[tuple[tuple[int, ...], int]]) -> dict[str, np.ndarray]:
 PACKED = f"{PIECES}, sequence_id long, offset long"
 
 
-def packed(docs: DataFrame, capacity: int = CAPACITY, groups: int = GROUPS, tokenizer: tuple[str, str] | None = None) -> DataFrame:
+def packed(docs: DataFrame, capacity: int = CAPACITY, groups: int = GROUPS, vocabulary: Vocabulary | None = None) -> DataFrame:
     """Pieces of all documents and where they go.
 
     docs: doc_id, text; other columns are ignored. Returns doc_id, piece (from
     0), start (tokens of its document before it), length, ids_crc32,
     sequence_id and offset, one row per piece. Null and empty texts are one
-    piece, the end token alone. Repeated rows are packed like any other. No
-    rows give no sequences.
+    piece, the end token alone. Very long texts are encoded whole, one at a
+    time, and a run of blanks, line breaks or one letter may have any length.
+    Pieces of one length are numbered by a hash of their row. Repeated rows are
+    packed like any other. No rows give no sequences.
     """
     spark = docs.sparkSession
-    pieces = stored(token_pieces(docs, capacity, tokenizer), "pieces")
+    pieces = stored(token_pieces(docs, capacity, vocabulary), "pieces")
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
     table = spark.sparkContext.broadcast(placement(packing_plan(counts, capacity, groups)))
 
