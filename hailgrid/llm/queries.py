@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from hailgrid.llm.binary_packing import binary_packed
 from hailgrid.llm.chat import PROBE_ID, PROBE_TEXT, chat_digest
+from hailgrid.llm.clusters import cluster_digest
 from hailgrid.llm.decontaminate import contamination
 from hailgrid.llm.language import languages
 from hailgrid.llm.minhash import edited_fingerprints
@@ -12,6 +14,7 @@ from hailgrid.llm.packing import packed
 from hailgrid.llm.pages import page_texts
 from hailgrid.llm.pii import pii_digest
 from hailgrid.llm.registry import query, table
+from hailgrid.llm.resample import resampled
 from hailgrid.llm.shards import shard_digest
 from hailgrid.llm.simhash import simhash_groups
 from hailgrid.llm.substrings import substring_digest
@@ -136,3 +139,98 @@ def op9(spark: SparkSession, sf: str) -> DataFrame:
 @query("op10_pages")
 def op10(spark: SparkSession, sf: str) -> DataFrame:
     return page_texts(table(spark, sf, "pages"))
+
+
+def clusters_sql(rounds: int = 3) -> str:
+    """Every round measures all distances; sums and means are whole numbers."""
+    steps = [
+        """kept AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: isfinite(x))) = 64
+), c0 AS (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || CAST(vec_id AS VARCHAR)), vec_id, v) - 1 AS cluster, v AS c
+  FROM kept QUALIFY cluster < 16
+)"""
+    ]
+    for k in range(rounds + 1):
+        steps.append(f"""d{k} AS (
+  SELECT r, cluster, list_sum(list_transform(list_zip(v, c), lambda p: CAST((p[1] - p[2]) * (p[1] - p[2]) AS BIGINT))) AS d FROM kept, c{k}
+), a{k} AS (
+  SELECT r, cluster, d FROM d{k} QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, cluster) = 1
+)""")
+        if k < rounds:
+            steps.append(f"""m{k} AS (
+  SELECT cluster, i, sum(x) AS s, count(*) AS n
+  FROM (SELECT cluster, unnest(v) AS x, unnest(range(1, 65)) AS i FROM a{k} JOIN kept USING (r)) GROUP BY cluster, i
+), c{k + 1} AS (
+  SELECT c{k}.cluster, coalesce(m.c, c{k}.c) AS c FROM c{k} LEFT JOIN (
+    SELECT cluster, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS c FROM m{k} GROUP BY cluster
+  ) m ON m.cluster = c{k}.cluster
+)""")
+    return (
+        f"WITH {', '.join(steps)}"
+        + f"""
+SELECT vec_id, CAST(a.cluster AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance,
+  CAST(sum(d) OVER (PARTITION BY a.cluster) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN kept USING (r) JOIN c{rounds} c ON c.cluster = a.cluster
+"""
+    )
+
+
+@query("op11_clusters", clusters_sql())
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    return cluster_digest(table(spark, sf, "embeddings"))
+
+
+@query("op12_binary_packing")
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    return binary_packed(table(spark, sf, "documents"))
+
+
+# The checksum bit by bit: every byte is joined in, and eight steps divide. Ranks are doubles: a frame of whole
+# numbers with gaps reads back as doubles on the other side too.
+RESAMPLE_SQL = r"""
+WITH texts AS (
+  SELECT TRUE AS own, doc_id, text, row_number() OVER () AS r FROM documents
+  UNION ALL SELECT FALSE, 0, text, row_number() OVER () FROM benchmark
+), split AS (
+  SELECT own, doc_id, r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM texts
+), features AS (
+  SELECT own, r, unnest(words) AS feature FROM split
+  UNION ALL SELECT own, r, unnest(list_transform(range(1, len(words)), lambda k: words[k] || ' ' || words[k + 1])) FROM split
+), named AS (
+  SELECT own, r, feature, count(*) AS n FROM features GROUP BY own, r, feature
+), hex AS (
+  SELECT feature, hex(encode(feature)) AS h FROM (SELECT DISTINCT feature FROM named)
+), hashed AS (
+  SELECT feature, xor(list_reduce(
+      list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(0, 4 * len(h)), lambda k: CASE WHEN k % 8 = 0
+        THEN CAST((instr('0123456789ABCDEF', h[k // 4 + 1]) - 1) * 16 + instr('0123456789ABCDEF', h[k // 4 + 2]) - 1 AS BIGINT) ELSE 0 END)),
+      lambda c, b: xor(xor(c, b) >> 1, 3988292384 * (xor(c, b) & 1))), 4294967295) % 10000 AS bucket FROM hex
+), found AS (
+  SELECT own, r, bucket, n FROM named JOIN hashed USING (feature)
+), counted AS (
+  SELECT b.bucket, coalesce(s, 0) AS s, coalesce(t, 0) AS t FROM (SELECT unnest(range(10000)) AS bucket) b
+  LEFT JOIN (SELECT bucket, sum(n) FILTER (WHERE own) AS s, sum(n) FILTER (WHERE NOT own) AS t FROM found GROUP BY bucket) f ON f.bucket = b.bucket
+), gains AS (
+  SELECT bucket, CAST(floor(1000 * ln(CAST(t + 1 AS DOUBLE) * CAST(sum(s) OVER () + 10000 AS DOUBLE) / (CAST(s + 1 AS DOUBLE) * CAST(sum(t) OVER () + 10000 AS DOUBLE)))) AS BIGINT) AS gain FROM counted
+), weighed AS (
+  SELECT r, sum(n) AS n, sum(n * gain) AS g FROM found JOIN gains USING (bucket) WHERE own GROUP BY r
+), noisy AS (
+  SELECT r, doc_id, len(words) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_features,
+    CAST(coalesce((g - ((g % n) + n) % n) // n, 0) AS BIGINT) AS weight,
+    CAST('0x' || substr(sha256('7:' || CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) AS h
+  FROM split LEFT JOIN weighed USING (r) WHERE own
+), scored AS (
+  SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM noisy
+), ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id, n_features) AS place, count(*) FILTER (WHERE n_words >= 20) OVER () AS able FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= 25 * able // 100 THEN CAST(place AS DOUBLE) END AS rank FROM ordered
+"""
+
+
+@query("op13_resample", RESAMPLE_SQL)
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    return resampled(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
