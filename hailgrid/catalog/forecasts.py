@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
+from functools import reduce
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import SparkSession, functions as F
+from pyspark.sql import Column, SparkSession, functions as F
 
 from hailgrid.catalog.inputs import PARAMS, dense, features, stored_features, totals, week_tables
 from hailgrid.catalog.registry import query
@@ -15,7 +15,7 @@ from hailgrid.operators.demand import slot_demand
 from hailgrid.operators.filters import in_hash_fraction, split_by_date
 from hailgrid.plans import forecasting
 from hailgrid.plans.jobs import MODEL_PATH
-from hailgrid.sources.tables import ResultStore, shared_folder
+from hailgrid.sources.tables import ResultStore, is_held, scratch_store, shared_folder
 
 METRICS_SQL = """SELECT 'baseline_zone_hour_dow_mean' AS model, {mean} AS mae, {mean_rmse} AS rmse FROM test
 UNION ALL SELECT 'baseline_same_slot_last_week', {lag}, {lag_rmse} FROM test""".format(
@@ -27,25 +27,30 @@ UNION ALL SELECT 'baseline_same_slot_last_week', {lag}, {lag_rmse} FROM test""".
 TEST_SQL = f"test AS MATERIALIZED (SELECT * FROM features WHERE date >= {TRAIN_END})"
 
 
-@lru_cache(maxsize=4)
-def _fitted(application: str, sf: str) -> tuple[str, str]:
-    """Paths of the boosted trees and of the test dates they scored: one fit serves a session's model queries."""
-    spark = SparkSession.getActiveSession()
-    store = ResultStore(spark, shared_folder(spark, "model"))
-    train, test = split_by_date(stored_features(spark, sf), PARAMS.train_end)
-    model = forecasting.train_boosted(train)
-    model.write().overwrite().save(store.path(MODEL_PATH))
-    store.write(forecasting.held_out_predictions(model, test), "scored")
-    return store.path(MODEL_PATH), store.path("scored")
+#: By application and input: the paths of the boosted trees and of the test dates they scored.
+_FITTED: dict[tuple[str, str], tuple[str, str]] = {}
+
+
+def _fitted(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """One fit serves a session's model queries, until its folder is removed."""
+    key = spark.sparkContext.applicationId, sf
+    if not (key in _FITTED and is_held(_FITTED[key][0])):
+        store = ResultStore(spark, shared_folder(spark, "model"))
+        train, test = split_by_date(stored_features(spark, sf), PARAMS.train_end)
+        model = forecasting.train_boosted(train)
+        model.write().overwrite().save(store.path(MODEL_PATH))
+        store.write(forecasting.held_out_predictions(model, test), "scored")
+        _FITTED[key] = store.path(MODEL_PATH), store.path("scored")
+    return _FITTED[key]
 
 
 def _held_out(spark, sf):
     """The test dates, scored by the model fitted on the train dates of the stored features."""
-    return spark.read.parquet(_fitted(spark.sparkContext.applicationId, sf)[1])
+    return spark.read.parquet(_fitted(spark, sf)[1])
 
 
 def _slot_forecast(spark, sf):
-    store = ResultStore(spark, shared_folder(spark, "slots"))
+    store = scratch_store(spark, "slots")
     return forecasting.slot_forecast(store.write(slot_demand(totals(spark, sf, "date", "hour")), "slot_demand"))
 
 
@@ -124,7 +129,7 @@ def typical_grid(spark, sf):
 
 def _pred_grid(spark, sf):
     """Load the stored model and score every zone and weekly slot."""
-    model = PipelineModel.load(_fitted(spark.sparkContext.applicationId, sf)[0])
+    model = PipelineModel.load(_fitted(spark, sf)[0])
     return forecasting.predict_grid(model, week_tables(spark, sf).hist)
 
 
@@ -170,3 +175,98 @@ def rf_slot_keys(spark, sf):
     seen = slot_demand(totals(spark, sf, "date", "hour")).agg(F.struct(F.min("total_trips").alias("lo"), F.max("total_trips").alias("hi"))).scalar()
     inside = F.col("prediction").between(seen["lo"], seen["hi"])
     return forecast.select("pickup_hour", "day_of_week", "total_trips", inside.alias("in_range"))
+
+
+# What must hold of fitted values, whatever they are.
+
+
+@query(
+    "model_checks",
+    with_tables(
+        """SELECT 'baseline_zone_hour_dow_mean' AS baseline, count(*) AS rows, CAST(0 AS BIGINT) AS other_when_reloaded,
+  CAST(0 AS BIGINT) AS out_of_reach, true AS same_mae, true AS same_rmse, true AS same_gain, true AS beats_last_week,
+  round(avg(abs(demand - hist_mean)), 6) AS baseline_mae FROM test
+UNION ALL SELECT 'baseline_same_slot_last_week', count(*), 0, 0, true, true, true, true, round(avg(abs(demand - lag_168)), 6) FROM test""",
+        "features",
+        extra=TEST_SQL,
+    ),
+)
+def model_checks(spark, sf):
+    """The stored model scores the test dates as it did; its errors are recomputed from single rows.
+
+    No prediction lies beyond the sums of the trees' extreme leaves, the gain
+    follows from both errors, and the model does better than last week's value.
+    """
+    model = PipelineModel.load(_fitted(spark, sf)[0])
+    lo, hi = (max(x, 0.0) for x in forecasting.leaf_bounds(model.stages[-1]))
+    scored = _held_out(spark, sf)
+    _, test = split_by_date(stored_features(spark, sf), PARAMS.train_end)
+    anew = forecasting.predict(model, test).select("zone_id", "ts", F.col("prediction").alias("anew"))
+    error = F.col("prediction") - F.col("demand")
+    found = (
+        scored.join(anew, ["zone_id", "ts"], "full")
+        .agg(
+            F.struct(
+                F.count("*").alias("rows"),
+                F.count_if(~F.col("anew").eqNullSafe(F.col("prediction"))).alias("other"),
+                F.count_if(~F.coalesce(F.col("prediction").between(lo - 1e-9, hi + 1e-9), F.lit(False))).alias("out"),
+                (F.sum(F.abs(error)) / F.count("*")).alias("mae"),
+                F.sqrt(F.sum(error * error) / F.count("*")).alias("rmse"),
+                (F.sum(F.abs(F.col("demand") - F.col("lag_168"))) / F.count("*")).alias("last_week"),
+            )
+        )
+        .scalar()
+    )
+    close = lambda a, b: F.abs(a - b) < 1e-9
+    metrics = scratch_store(spark, "metrics").write(forecasting.model_metrics(scored), "metrics")
+    rmse = metrics.filter(F.col("model") == forecasting.MODEL).select("rmse").scalar()
+    return forecasting.model_gains(metrics).select(
+        "baseline",
+        found["rows"].alias("rows"),
+        found["other"].alias("other_when_reloaded"),
+        found["out"].alias("out_of_reach"),
+        close(F.col("model_mae"), found["mae"]).alias("same_mae"),
+        close(rmse, found["rmse"]).alias("same_rmse"),
+        close(F.col("gain"), 1 - found["mae"] / F.col("baseline_mae")).alias("same_gain"),
+        (found["mae"] < found["last_week"]).alias("beats_last_week"),
+        F.round("baseline_mae", 6).alias("baseline_mae"),
+    )
+
+
+@query(
+    "grid_checks",
+    with_tables(
+        """SELECT zone_id, dow, hour, hist_mean, true AS in_reach, true AS same_alone FROM pred_grid""",
+        "pred_grid",
+    ),
+)
+def grid_checks(spark, sf):
+    """Every slot of the grid is within the leaves' reach, and predicted alike from a grid in another order."""
+    model = PipelineModel.load(_fitted(spark, sf)[0])
+    lo, hi = (max(x, 0.0) for x in forecasting.leaf_bounds(model.stages[-1]))
+    hist = week_tables(spark, sf).hist
+    turned = forecasting.predict_grid(model, hist.repartitionByRange(3, F.desc("hour"), "zone_id"))
+    other = turned.select("zone_id", "dow", "hour", F.col("prediction").alias("other"))
+    grid = forecasting.predict_grid(model, hist).join(other, ["zone_id", "dow", "hour"])
+    inside = F.col("prediction").between(lo - 0.005, hi + 0.005)
+    return grid.select("zone_id", "dow", "hour", "hist_mean", inside.alias("in_reach"), (F.col("prediction") == F.col("other")).alias("same_alone"))
+
+
+@query(
+    "rf_slot_checks",
+    with_tables(
+        f"""SELECT pickup_hour, day_of_week, true AS is_mean_of_trees FROM (SELECT CAST(hour(pickup_ts) AS INTEGER) AS pickup_hour,
+  {day_number('pickup_ts')} AS day_of_week FROM trips GROUP BY ALL)
+WHERE CAST('0x' || substr(md5('42:' || pickup_hour || ':' || day_of_week), 1, 8) AS BIGINT) % 10000 >= 8000""",
+        "trips",
+    ),
+)
+def rf_slot_checks(spark, sf):
+    """Every forecast of the forest is the mean of what its trees say one by one."""
+    slots = scratch_store(spark, "slots").write(slot_demand(totals(spark, sf, "date", "hour")), "slot_demand")
+    model, test = forecasting.fitted_forest(slots)
+    scored, forest = model.transform(test), model.stages[-1]
+    for k, tree in enumerate(forest.trees):
+        scored = tree.setPredictionCol(f"tree_{k}").transform(scored)
+    mean = reduce(Column.__add__, [F.col(f"tree_{k}") for k in range(len(forest.trees))]) / len(forest.trees)
+    return scored.select("pickup_hour", "day_of_week", (F.abs(F.col("prediction") - mean) < 1e-6).alias("is_mean_of_trees"))

@@ -22,7 +22,7 @@ from hailgrid.params import COARSE_GRID, FINE_GRID, RideParams
 from hailgrid.plans.cleaning import clean_trips
 from hailgrid.plans.dashboards import with_missing_centres
 from hailgrid.plans.features import zone_hour_data
-from hailgrid.sources.tables import ResultStore, shared_folder
+from hailgrid.sources.tables import ResultStore, scratch_store
 from hailgrid.sources.trips import trips_from_events
 
 PARAMS = RideParams(
@@ -65,7 +65,7 @@ def zone_table(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stored_zones(spark: SparkSession, sf: str) -> DataFrame:
-    return ResultStore(spark, shared_folder(spark, "zones")).write(zone_table(spark, sf), "zones")
+    return scratch_store(spark, "zones").write(zone_table(spark, sf), "zones")
 
 
 def stored_totals(spark: SparkSession, sf: str, params: RideParams = PARAMS) -> DataFrame:
@@ -74,7 +74,7 @@ def stored_totals(spark: SparkSession, sf: str, params: RideParams = PARAMS) ->
     Zones and series both start from them, so without the copy the trips would
     be scanned once for each.
     """
-    store = ResultStore(spark, shared_folder(spark, "totals"))
+    store = scratch_store(spark, "totals")
     return store.write(zone_hour_totals(clean(spark, sf, params)), "zone_hour_totals")
 
 
@@ -84,7 +84,7 @@ def all_zones(spark: SparkSession, sf: str) -> DataFrame:
 
 def stored_all_zones(spark: SparkSession, sf: str) -> DataFrame:
     """Every zone's demand as a table, for queries that read it for a bound and for the rows."""
-    return ResultStore(spark, shared_folder(spark, "zone-demand")).write(all_zones(spark, sf), "zone_demand")
+    return scratch_store(spark, "zone-demand").write(all_zones(spark, sf), "zone_demand")
 
 
 def dense(spark: SparkSession, sf: str, params: RideParams = PARAMS) -> DataFrame:
@@ -100,7 +100,7 @@ def features(spark: SparkSession, sf: str, params: RideParams = PARAMS) -> DataF
 
 def stored_features(spark: SparkSession, sf: str) -> DataFrame:
     """The features as a table, for queries that read them more than once."""
-    return ResultStore(spark, shared_folder(spark, "features")).write(features(spark, sf), "features")
+    return scratch_store(spark, "features").write(features(spark, sf), "features")
 
 
 def slot_predictions(spark: SparkSession, sf: str) -> DataFrame:
@@ -129,7 +129,7 @@ def week_tables(spark: SparkSession, sf: str, params: RideParams = PARAMS) -> We
     scanned once, the series is grouped once, and a lost executor costs a reread
     of a small table.
     """
-    store = ResultStore(spark, shared_folder(spark, "week"))
+    store = scratch_store(spark, "week")
     data = store.write(dense(spark, sf, params), "zone_hours")
     summary = store.write(zone_hours.slot_summary(data, params.train_end), "slot_summary")
     totals_by_zone = data.groupBy("zone_id").agg(F.sum("demand").alias("total_trips"))

@@ -25,6 +25,19 @@ def is_valid_trip(params: RideParams) -> Column:
     return pickup_in_box(params.grid) & dropoff_in_box(params.grid) & plausible
 
 
+def broken_rules(params: RideParams) -> dict[str, Column]:
+    """Each rule of ``is_valid_trip`` by name, and whether a trip breaks it; a missing or unreadable value does."""
+    rules = {
+        "pickup_time": F.col("pickup_ts").isNotNull(),
+        "dropoff_time": F.col("dropoff_ts").isNotNull(),
+        "pickup_place": pickup_in_box(params.grid),
+        "dropoff_place": dropoff_in_box(params.grid),
+        "duration": F.col("trip_duration").between(params.min_seconds, params.max_seconds),
+        "passengers": F.col("passenger_count") > 0,
+    }
+    return {name: ~F.coalesce(kept, F.lit(False)) for name, kept in rules.items()}
+
+
 def quality_counts(df: DataFrame, valid: Column) -> DataFrame:
     """Total, valid and removed rows in one pass. A null condition counts as removed."""
     return df.agg(

@@ -20,7 +20,7 @@ from hailgrid.operators.filters import split_by_date
 from hailgrid.params import COARSE_GRID, FINE_GRID, GridSpec, RideParams
 from hailgrid.plans import forecasting, reports
 from hailgrid.plans.allocation import allocate
-from hailgrid.plans.cleaning import clean_trips
+from hailgrid.plans.cleaning import split_trips
 from hailgrid.plans.features import slot_tables, zone_hour_data
 from hailgrid.sources.tables import ResultStore
 from hailgrid.sources.trips import read_raw_csv, read_trips_csv, typed_trips, unparsed_values
@@ -46,12 +46,13 @@ def slot_forecast_stage(store: ResultStore, trees: int = 50) -> None:
 
 
 def clean_stage(store: ResultStore, trips: DataFrame, params: RideParams, in_date_order: bool = False) -> None:
-    """Store clean trips, then read them once for the totals that zones and series follow from.
+    """Store clean and rejected trips in one scan, then read the clean ones once for the totals that zones and series follow from.
 
     Trips that come in date order are written as they are; others are shuffled by date.
     """
-    clean = store.write(clean_trips(trips, params), "clean", date_column="date", in_date_order=in_date_order)
-    totals = store.write(zone_hour_totals(clean), ZONE_TOTALS)
+    checked = split_trips(store, trips, params, in_date_order)
+    store.write(checked.count_table(), "clean_counts")
+    totals = store.write(zone_hour_totals(checked.clean), ZONE_TOTALS)
     zones = top_zones(totals, params)
     store.write(zones.select("zone_id", "total_trips", "avg_trip_min", "lon", "lat"), "zones")
     store.write(zones.select("first_hour", "last_hour").limit(1), "timeline")
@@ -78,7 +79,8 @@ def train_stage(
     model = forecasting.train_boosted(train, boost)
     model.write().overwrite().save(store.path(MODEL_PATH))
     scored = store.write(forecasting.held_out_predictions(model, test), "scored")
-    store.write(forecasting.model_metrics(scored), "metrics")
+    metrics = store.write(forecasting.model_metrics(scored), "metrics")
+    store.write(forecasting.model_gains(metrics), "metric_gain")
     store.write(scored.drop("lag_168"), "test_preds")
 
 
@@ -109,10 +111,9 @@ def run_all(
     in_date_order: bool = False,
 ) -> None:
     """Reports, slot forecast, and the five stages from clean trips to allocation."""
-    raw = read_trips_csv(store.spark, raw_path)
-    report_stage(store, raw)
+    report_stage(store, read_trips_csv(store.spark, raw_path))
     slot_forecast_stage(store, trees)
-    clean_stage(store, raw, params, in_date_order)
+    clean_stage(store, read_trips_csv(store.spark, raw_path, keep_text=True), params, in_date_order)
     feature_stage(store, params)
     train_stage(store, params, boost)
     grid_stage(store, params)
@@ -162,7 +163,7 @@ def main() -> None:
         "inspect": lambda: inspect_stage(store, args.raw),
         "reports": lambda: report_stage(store, read_trips_csv(spark, args.raw)),
         "slot-forecast": lambda: slot_forecast_stage(store),
-        "clean": lambda: clean_stage(store, read_trips_csv(spark, args.raw), params, args.in_date_order),
+        "clean": lambda: clean_stage(store, read_trips_csv(spark, args.raw, keep_text=True), params, args.in_date_order),
         "features": lambda: feature_stage(store, params),
         "train": lambda: train_stage(store, params),
         "grid": lambda: grid_stage(store, params),

@@ -13,6 +13,9 @@ RAW_TRIP_TYPES = {
     "trip_duration": "int",
 }
 
+#: Tables that are one side of another table.
+FOLDERS = {"clean": "checked_trips/kept=true", "rejected": "checked_trips/kept=false"}
+
 RESULT_SCHEMAS = {
     "hourly_demand": "pickup_hour int, total_trips long",
     "daily_demand": "day_number int, day_name string, total_trips long",
@@ -30,7 +33,12 @@ RESULT_SCHEMAS = {
     "hist": "zone_id long, dow int, hour int, hist_mean double",
     "supply_proxy": "zone_id long, dow int, hour int, avg_dropoffs double, dropoffs long",
     "demand_profile": "dow int, hour int, avg_city_trips double",
+    "zone_hour_batches": "zone_id long, ts timestamp_ntz, demand long, dropoffs long, seconds long, date date, batch string",
+    "zone_hour_merged": "zone_id long, ts timestamp_ntz, demand long, dropoffs long, seconds long, date date",
+    "slot_merged": "zone_id long, hour int, demand long, dropoffs long, seconds long, busy_hours long, dow int",
+    "clean_counts": "rule string, trips long",
     "metrics": "model string, mae double, rmse double",
+    "metric_gain": "baseline string, model_mae double, baseline_mae double, gain double",
     "test_preds": "zone_id long, ts timestamp_ntz, demand long, prediction double, hist_mean double",
     "pred_grid": "zone_id long, dow int, hour int, hist_mean double, prediction double",
     "allocation": (

@@ -14,19 +14,21 @@ def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     return require_columns(spark.read.option("header", True).csv(path), list(RAW_TRIP_TYPES))
 
 
-def read_trips_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_trips_csv(spark: SparkSession, path: str, keep_text: bool = False) -> DataFrame:
     """Raw trips from CSV files with a header line.
 
     Columns are found by header name, so extra columns and any column order
     are fine. All text is cast here: no inference pass over the data, and a
     malformed value becomes null in its own row only. Whole numbers may be
-    written as decimals. ``unparsed_values`` counts what was lost.
+    written as decimals. ``unparsed_values`` counts what was lost. With
+    ``keep_text``, ``raw_text`` is the whole row as it came, as JSON.
     """
-    return typed_trips(read_raw_csv(spark, path))
+    return typed_trips(read_raw_csv(spark, path), keep_text)
 
 
-def typed_trips(raw: DataFrame) -> DataFrame:
-    return raw.select("id", *[value.alias(name) for name, value in _typed().items()])
+def typed_trips(raw: DataFrame, keep_text: bool = False) -> DataFrame:
+    text = [F.to_json(F.struct("*")).alias("raw_text")] if keep_text else []
+    return raw.select("id", *[value.alias(name) for name, value in _typed().items()], *text)
 
 
 def _typed() -> dict[str, Column]:
