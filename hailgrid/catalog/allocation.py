@@ -182,6 +182,27 @@ def move_candidates(spark, sf):
     return moves.first_choice(_stored(week_tables(spark, sf)))
 
 
+CHOICES = 5
+
+
+@query(
+    "move_candidates_ranked",
+    with_tables(
+        f"""SELECT dow, hour, zone_id, gap, rank, from_zone, spare, {moved_km()} AS km FROM (
+  SELECT t.dow, t.hour, t.zone_id, t.gap, g.zone_id AS from_zone, t.zone_id AS to_zone, -g.gap AS spare,
+    CAST(row_number() OVER (PARTITION BY t.dow, t.hour, t.zone_id ORDER BY
+      (g.zone_x - t.zone_x) * (g.zone_x - t.zone_x) + (g.zone_y - t.zone_y) * (g.zone_y - t.zone_y), g.zone_id) AS INTEGER) AS rank
+  FROM allocation t JOIN allocation g ON g.dow = t.dow AND g.hour = t.hour AND g.gap < 0
+  WHERE t.gap > 0
+) WHERE rank <= {CHOICES}""",
+        "allocation",
+    ),
+)
+def move_candidates_ranked(spark, sf):
+    """The nearest giving zones of every wanting zone, in order."""
+    return moves.ranked_choices(_stored(week_tables(spark, sf)), PARAMS.grid, CHOICES)
+
+
 @query(
     "alloc_zone_b",
     with_tables(

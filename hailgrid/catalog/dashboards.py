@@ -197,6 +197,26 @@ def error_histogram(spark, sf):
     return accuracy.error_histogram(errors, 30)
 
 
+ROUND_STEPS = ", ".join(f"{m} * pow(CAST(10 AS DOUBLE), CAST(floor(log10((hi - lo) / 30)) AS DOUBLE) + {e})" for e in (0, 1) for m in (1, 2, 5))
+
+
+@query(
+    "error_histogram_rounded",
+    with_tables(
+        f"""SELECT CAST(floor(e / step) AS BIGINT) AS bin, step, floor(e / step) * step AS lo, count(*) AS rows
+FROM (SELECT e, list_filter([{ROUND_STEPS}], lambda s: floor(hi / s) - floor(lo / s) < 30)[1] AS step
+  FROM (SELECT e, min(e) OVER () AS lo, max(e) OVER () AS hi
+    FROM (SELECT hist_mean - demand AS e FROM features WHERE date >= {TRAIN_END}))) GROUP BY ALL""",
+        "features",
+    ),
+)
+def error_histogram_rounded(spark, sf):
+    """At most 30 bins whose edges are multiples of 1, 2 or 5 times a power of ten."""
+    _, test = split_by_date(stored_features(spark, sf), PARAMS.train_end)
+    errors = test.select((F.col("hist_mean") - F.col("demand")).alias("error"))
+    return accuracy.error_histogram_rounded(errors, 30)
+
+
 @query(
     "daily_actual_vs_pred",
     with_tables(

@@ -6,11 +6,20 @@ from pyspark.sql import functions as F
 
 from hailgrid.catalog.inputs import FINE, PARAMS, clean, dense, features, stored_features, stored_totals
 from hailgrid.catalog.registry import query
-from hailgrid.catalog.sql import TRAIN_END, tables, with_tables
+from hailgrid.catalog.sql import TRAIN_END, day_number, tables, with_tables
 from hailgrid.operators import demand, zone_hours
 from hailgrid.operators.demand import zone_hour_totals
 from hailgrid.operators.filters import split_by_date
 from hailgrid.operators.ranking import distinct_keys, last_rows
+from hailgrid.plans import increments
+from hailgrid.plans.increments import add_batch
+from hailgrid.sources.tables import scratch_store
+
+CELL_HOURS = """cell_hours AS MATERIALIZED (
+SELECT zone_id, ts, CAST(sum(p) AS BIGINT) AS demand, CAST(sum(d) AS BIGINT) AS dropoffs, CAST(sum(s) AS BIGINT) AS seconds FROM (
+  SELECT zone_id, date_trunc('hour', pickup_ts) AS ts, 1 AS p, 0 AS d, trip_duration AS s FROM clean
+  UNION ALL SELECT drop_zone_id, date_trunc('hour', dropoff_ts), 0, 1, 0 FROM clean) GROUP BY ALL
+)"""
 
 DENSE = "zone_id, ts, date, hour, dow, is_weekend, zone_x, zone_y, demand, dropoffs"
 
@@ -43,6 +52,55 @@ def lag_168(spark, sf):
     return lagged.select("zone_id", "ts", "demand", F.col("lag_168").cast("double").alias("lag_168"))
 
 
+@query(
+    "lag_168_sparse",
+    with_tables(
+        """SELECT zone_id, ts, demand, CAST(CASE WHEN ts - INTERVAL 168 HOUR >= (SELECT min(date_trunc('hour', pickup_ts)) FROM clean)
+  THEN coalesce(sum(demand) OVER (PARTITION BY zone_id ORDER BY ts RANGE BETWEEN INTERVAL 168 HOUR PRECEDING AND INTERVAL 168 HOUR PRECEDING), 0)
+  END AS DOUBLE) AS lag_168
+FROM cell_hours""",
+        "clean",
+        extra=CELL_HOURS,
+    ),
+)
+def lag_168_sparse(spark, sf):
+    """Last week's demand for every cell of the grid, modelled or not, at the hours in which anything happened."""
+    lagged = zone_hours.with_sparse_lag(stored_totals(spark, sf))
+    return lagged.select("zone_id", "ts", "demand", F.col("lag_168").cast("double").alias("lag_168"))
+
+
+def _in_batches(spark, sf):
+    """The clean trips added as three batches, the second of them twice and with other trips the first time."""
+    store, trips = scratch_store(spark, "batches"), clean(spark, sf)
+    part = lambda k: trips.filter(F.col("id") % 3 == k)
+    add_batch(store, part(0), "a")
+    add_batch(store, trips.filter("id % 5 = 0"), "b")
+    add_batch(store, part(2), "c")
+    add_batch(store, part(1), "b")
+    return store
+
+
+@query("merged_totals", with_tables("SELECT zone_id, ts, demand, dropoffs, seconds FROM cell_hours", "clean", extra=CELL_HOURS))
+def merged_totals(spark, sf):
+    """Totals by cell and hour, added up batch by batch."""
+    return increments.merged_totals(_in_batches(spark, sf))
+
+
+@query(
+    "merged_slots",
+    with_tables(
+        f"""SELECT zone_id, {day_number('ts')} AS dow, CAST(hour(ts) AS INTEGER) AS hour, CAST(sum(demand) AS BIGINT) AS demand,
+  CAST(sum(dropoffs) AS BIGINT) AS dropoffs, CAST(sum(seconds) AS BIGINT) AS seconds, count(*) AS busy_hours
+FROM cell_hours GROUP BY ALL""",
+        "clean",
+        extra=CELL_HOURS,
+    ),
+)
+def merged_slots(spark, sf):
+    """Sums by cell, weekday and hour, kept up to date batch by batch."""
+    return increments.merged_slots(_in_batches(spark, sf))
+
+
 @query("hist_mean_loo", with_tables("SELECT zone_id, ts, dow, hour, demand, hist_mean FROM data", "data"))
 def hist_mean_loo(spark, sf):
     return zone_hours.with_hist_mean(dense(spark, sf), PARAMS.train_end).select(

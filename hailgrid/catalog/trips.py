@@ -11,8 +11,10 @@ from hailgrid.functions import clock, geo
 from hailgrid.functions.text import hour_label, zone_label
 from hailgrid.operators import demand, nearest
 from hailgrid.operators.filters import is_valid_trip, pickup_in_box, quality_counts
+from hailgrid.operators.quantiles import quantile_table
 from hailgrid.operators.ranking import first_n, top_n
-from hailgrid.sources.tables import ResultStore, shared_folder
+from hailgrid.plans.cleaning import split_trips
+from hailgrid.sources.tables import leased, scratch_store, shared_folder
 from hailgrid.sources.trips import read_trips_csv, write_trips_csv
 
 GRID = PARAMS.grid
@@ -23,7 +25,7 @@ PICKUP_ZONE = zone("pickup_longitude", "pickup_latitude")
 def csv_roundtrip(spark, sf):
     path = shared_folder(spark, "csv")
     write_trips_csv(trips(spark, sf), path)
-    return read_trips_csv(spark, path).withColumn("id", F.col("id").cast("long"))
+    return leased(read_trips_csv(spark, path), path).withColumn("id", F.col("id").cast("long"))
 
 
 @query("csv_decimal_roundtrip", with_tables("SELECT * FROM trips", "trips"))
@@ -32,7 +34,7 @@ def csv_decimal_roundtrip(spark, sf):
     path = shared_folder(spark, "csv-decimal")
     decimals = {name: F.format_string("%d.0", name) for name in ("passenger_count", "trip_duration")}
     write_trips_csv(trips(spark, sf).withColumns(decimals), path)
-    return read_trips_csv(spark, path).withColumn("id", F.col("id").cast("long"))
+    return leased(read_trips_csv(spark, path), path).withColumn("id", F.col("id").cast("long"))
 
 
 @query(
@@ -44,13 +46,13 @@ def csv_decimal_roundtrip(spark, sf):
     ),
 )
 def report_csv_roundtrip(spark, sf):
-    store = ResultStore(spark, shared_folder(spark, "report"))
+    store = scratch_store(spark, "report")
     return store.write_csv(demand.daily_demand(totals(spark, sf, "date")), "daily_demand")
 
 
 @query("parquet_roundtrip", with_tables("SELECT * FROM clean", "clean"))
 def parquet_roundtrip(spark, sf):
-    store = ResultStore(spark, shared_folder(spark, "parquet"))
+    store = scratch_store(spark, "parquet")
     return store.write(clean(spark, sf), "clean")
 
 
@@ -59,12 +61,101 @@ def parquet_roundtrip(spark, sf):
     with_tables("SELECT * FROM clean WHERE date BETWEEN DATE '2024-01-10' AND DATE '2024-01-16'", "clean"),
 )
 def partition_scan(spark, sf):
-    store = ResultStore(spark, shared_folder(spark, "by-date"))
+    store = scratch_store(spark, "by-date")
     stored = store.write(clean(spark, sf), "clean", date_column="date")
     first, last = F.lit("2024-01-10").cast("date"), F.lit("2024-01-16").cast("date")
     return stored.filter(F.col("date").between(first, last))
 
 
+REWRITTEN = "2024-01-12"
+
+
+@query(
+    "replaced_date",
+    with_tables(
+        f"SELECT * FROM clean WHERE date <> DATE '{REWRITTEN}' OR passenger_count >= 3",
+        "clean",
+    ),
+)
+def replaced_date(spark, sf):
+    """One date is written again with fewer trips; all other dates stay as they were."""
+    store = scratch_store(spark, "replaced")
+    table = store.write(clean(spark, sf), "trips_by_date", date_column="date")
+    again = table.filter((F.col("date") == F.lit(REWRITTEN).cast("date")) & (F.col("passenger_count") >= 3))
+    return store.replace(again, "trips_by_date", ["date"], [(REWRITTEN,)])
+
+
+def _damaged(spark, sf):
+    """The trips as CSV in which some times and numbers cannot be read, read back with their text."""
+    path = shared_folder(spark, "damaged")
+    rows = trips(spark, sf).withColumns(
+        {
+            "pickup_ts": F.when(F.col("id") % 13 == 0, F.lit("no time")).otherwise(F.col("pickup_ts").cast("string")),
+            "trip_duration": F.when(F.col("id") % 17 == 0, F.lit("long")).otherwise(F.col("trip_duration").cast("string")),
+        }
+    )
+    write_trips_csv(rows, path)
+    return leased(read_trips_csv(spark, path, keep_text=True), path).withColumn("id", F.col("id").cast("long"))
+
+
+REASONS = f"""reasons AS MATERIALIZED (
+SELECT *, list_filter([CASE WHEN id % 13 = 0 THEN 'pickup_time' END,
+  CASE WHEN NOT ({in_box('pickup')}) THEN 'pickup_place' END, CASE WHEN NOT ({in_box('dropoff')}) THEN 'dropoff_place' END,
+  CASE WHEN id % 17 = 0 OR NOT trip_duration BETWEEN {PARAMS.min_seconds} AND {PARAMS.max_seconds} THEN 'duration' END,
+  CASE WHEN NOT passenger_count > 0 THEN 'passengers' END], lambda r: r IS NOT NULL) AS reasons FROM trips
+)"""
+
+
+@query(
+    "rejected_trips",
+    with_tables(
+        """SELECT id, array_to_string(reasons, ',') AS reasons, CASE WHEN id % 17 = 0 THEN 'long' ELSE CAST(trip_duration AS VARCHAR) END AS duration_text,
+  pickup_longitude, pickup_latitude FROM reasons WHERE len(reasons) > 0""",
+        "trips",
+        extra=REASONS,
+    ),
+)
+def rejected_trips(spark, sf):
+    """Trips that are not valid, why, and what was written where a number should be."""
+    rejected = split_trips(scratch_store(spark, "checked"), _damaged(spark, sf), PARAMS).rejected
+    return rejected.select(
+        "id",
+        F.concat_ws(",", "reasons").alias("reasons"),
+        F.get_json_object("raw_text", "$.trip_duration").alias("duration_text"),
+        "pickup_longitude",
+        "pickup_latitude",
+    )
+
+
+@query(
+    "checked_counts",
+    with_tables(
+        """SELECT 'total' AS rule, count(*) AS trips FROM reasons UNION ALL SELECT 'kept', count(*) FILTER (WHERE len(reasons) = 0) FROM reasons
+UNION ALL SELECT 'rejected', count(*) FILTER (WHERE len(reasons) > 0) FROM reasons
+UNION ALL SELECT r, count(id) FROM (SELECT unnest(['pickup_time', 'dropoff_time', 'pickup_place', 'dropoff_place', 'duration', 'passengers']) AS r)
+  LEFT JOIN reasons ON list_contains(reasons, r) GROUP BY r""",
+        "trips",
+        extra=REASONS,
+    ),
+)
+def checked_counts(spark, sf):
+    """How many trips the cleaning run saw, kept and rejected, and for which rules, counted while it wrote."""
+    return split_trips(scratch_store(spark, "checked"), _damaged(spark, sf), PARAMS).count_table()
+
+
+@query(
+    "duration_quantiles",
+    with_tables(
+        """SELECT p AS probability, CASE p WHEN 0 THEN q[1] WHEN 0.05 THEN q[2] WHEN 0.25 THEN q[3] WHEN 0.5 THEN q[4] WHEN 0.9 THEN q[5] WHEN 0.999 THEN q[6] ELSE q[7] END AS value
+FROM (SELECT quantile_cont(CAST(trip_duration AS DOUBLE), [0, 0.05, 0.25, 0.5, 0.9, 0.999, 1]) AS q FROM trips), (SELECT unnest([CAST(0 AS DOUBLE), 0.05, 0.25, 0.5, 0.9, 0.999, 1]) AS p)""",
+        "trips",
+    ),
+)
+def duration_quantiles(spark, sf):
+    """Exact quantiles over all trips, without a buffer that grows with their distinct values."""
+    return quantile_table(trips(spark, sf), "trip_duration", [0, 0.05, 0.25, 0.5, 0.9, 0.999, 1])
+
+
 @query("preview_head", with_tables("SELECT * FROM trips ORDER BY id LIMIT 10", "trips"))
 def preview_head(spark, sf):
     return first_n(trips(spark, sf), 10, "id")

@@ -77,6 +77,27 @@ def error_histogram(df: DataFrame, bins: int = 30) -> DataFrame:
     return df.filter(F.col("error").isNotNull()).groupBy(bin_no.alias("bin")).agg(F.count("*").alias("rows"))
 
 
+def round_step(lo: Column, hi: Column, bins: int) -> Column:
+    """The smallest of 1, 2 and 5 times a power of ten whose multiples part lo..hi into at most ``bins`` bins; 1 without spread."""
+    power = F.floor(F.log10((hi - lo) / bins)).cast("double")
+    steps = [F.lit(m) * F.pow(F.lit(10.0), power + e) for e in (0, 1) for m in (1.0, 2.0, 5.0)]
+    fits = [F.when(F.floor(hi / step) - F.floor(lo / step) < bins, step) for step in steps]
+    return F.when(hi > lo, F.coalesce(*fits)).otherwise(F.lit(1.0))
+
+
+def error_histogram_rounded(df: DataFrame, bins: int = 30) -> DataFrame:
+    """Rows per bin of ``error`` with round edges: bin k holds k * step <= error < (k + 1) * step.
+
+    At most ``bins`` bins; empty ones have no row. Returns bin, step, lo (the
+    lower edge) and rows. Rows without an error are left out.
+    """
+    span = df.agg(F.struct(F.min("error").alias("lo"), F.max("error").alias("hi"))).scalar()
+    step = round_step(span["lo"], span["hi"], bins)
+    cut = df.filter(F.col("error").isNotNull()).withColumn("step", step)
+    counted = cut.groupBy(F.floor(F.col("error") / F.col("step")).alias("bin"), "step").agg(F.count("*").alias("rows"))
+    return counted.select("bin", "step", (F.col("bin") * F.col("step")).alias("lo"), "rows")
+
+
 def daily_actual_and_predicted(df: DataFrame) -> DataFrame:
     return (
         df.groupBy(F.to_date("ts").alias("date"))

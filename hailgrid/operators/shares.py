@@ -33,19 +33,28 @@ def apportion(
     a group share one task: a group is one weekly slot, at most one row a zone.
     """
     group = f"PARTITION BY {', '.join(keys)}"
+    units, whole, product, base, rest, left, rank = unused(df, "units", "whole", "product", "base", "rest", "left", "rank")
     return (
-        df.withColumn("_units", weight_units(df, weight))
-        .selectExpr("*", f"sum(_units) OVER ({group}) AS _sum")
-        .selectExpr("*", f"IF({total} > 0 AND _sum > 0, {WIDE.format(total)} * {WIDE.format('_units')}, NULL) AS _product")
+        df.withColumn(units, weight_units(df, weight))
+        .selectExpr("*", f"sum({units}) OVER ({group}) AS {whole}")
+        .selectExpr("*", f"IF({total} > 0 AND {whole} > 0, {WIDE.format(total)} * {WIDE.format(units)}, NULL) AS {product}")
         .selectExpr(
             "*",
-            "coalesce(_product DIV _sum, 0L) AS _base",
-            "coalesce(CAST(_product % _sum AS BIGINT), 0L) AS _rest",
+            f"coalesce({product} DIV {whole}, 0L) AS {base}",
+            f"coalesce(CAST({product} % {whole} AS BIGINT), 0L) AS {rest}",
         )
         .selectExpr(
             "*",
-            f"IF({total} > 0 AND _sum > 0, {total} - sum(_base) OVER ({group}), 0) AS _left",
-            f"row_number() OVER ({group} ORDER BY _rest DESC, {tie}) AS _rank",
+            f"IF({total} > 0 AND {whole} > 0, {total} - sum({base}) OVER ({group}), 0) AS {left}",
+            f"row_number() OVER ({group} ORDER BY {rest} DESC, {tie}) AS {rank}",
         )
-        .selectExpr(*df.columns, f"_base + CAST(_rank <= _left AS BIGINT) AS {into}")
+        .selectExpr(*[f"`{name}`" for name in df.columns], f"{base} + CAST({rank} <= {left} AS BIGINT) AS {into}")
     )
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, behind as many underscores as it takes to clash with no column, in whatever case."""
+    taken, mark = {name.lower() for name in df.columns}, "_"
+    while any(mark + name in taken for name in names):
+        mark += "_"
+    return [mark + name for name in names]

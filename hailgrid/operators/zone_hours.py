@@ -55,6 +55,22 @@ def with_weekly_lag(dense: DataFrame) -> DataFrame:
     return dense.withColumn("lag_168", F.lag("demand", HOURS_PER_WEEK).over(series))
 
 
+def with_sparse_lag(totals: DataFrame, hours: int = HOURS_PER_WEEK) -> DataFrame:
+    """Demand some hours earlier, for totals that hold only hours in which something happened.
+
+    The frame goes by time and not by rows: it holds the one row of that
+    earlier hour, if there is one. An hour without a row had no demand; before
+    the first pickup anywhere nothing is known (null). So all cells of the grid
+    get a lag, and no empty hour is ever made. ``totals`` is read for the first
+    hour and for the rows: hand in a stored table.
+    """
+    hour = f"INTERVAL {hours} HOURS"
+    earlier = F.expr(f"sum(demand) OVER (PARTITION BY zone_id ORDER BY ts RANGE BETWEEN {hour} PRECEDING AND {hour} PRECEDING)")
+    first = totals.agg(F.min(F.when(F.col("demand") > 0, F.col("ts")))).scalar()
+    known = F.expr(f"ts - {hour}") >= first
+    return totals.withColumn(f"lag_{hours}", F.when(known, F.coalesce(earlier, F.lit(0))))
+
+
 def with_hist_mean(data: DataFrame, train_end: str, min_rows: int = 1) -> DataFrame:
     """Mean train demand of the row's zone, weekday and hour.
 
