@@ -230,6 +230,14 @@ def test_apportion_ties_zeros_and_totals(spark):
     assert rows(split) == [(1, 10, 1), (1, 11, 1), (1, 12, 0), (2, 10, 0), (2, 11, 0), (3, 9, 7), (4, 1, 0)]
 
 
+def test_shares_leave_columns_of_any_name_alone(spark):
+    data = [(1, 1, 3, 10, "mine", "too", 5, 2.5), (1, 2, 1, 10, "yours", None, 6, 3.5)]
+    frame = spark.createDataFrame(data, "g int, zone_id long, w long, total int, _units string, `__Units` string, _base int, _RANK double")
+    split = apportion(frame, "w", "total", ["g"], "n")
+    assert split.columns == [*frame.columns, "n"]
+    assert sorted(map(tuple, split.collect())) == [(*data[0], 8), (*data[1], 2)]
+
+
 def test_shares_of_very_large_fleets_do_not_overflow(spark):
     fleet = 3_000_000_000_000
     weights = spark.createDataFrame([(1, z, float(z) * 1e6, fleet) for z in (1, 2, 3)], "s int, zone_id long, w double, n long")

@@ -33,9 +33,10 @@ def store(spark, tmp_path_factory):
 
 PARQUET = [
     "zones", "timeline", "hist", "supply_proxy", "demand_profile", "metrics", "test_preds", "pred_grid",
-    "allocation", "allocation_moves",
+    "allocation", "allocation_moves", "clean_counts", "metric_gain",
 ]
-CSV = [name for name in RESULT_SCHEMAS if name not in PARQUET]
+BY_BATCH = ["zone_hour_batches", "zone_hour_merged", "slot_merged"]
+CSV = [name for name in RESULT_SCHEMAS if name not in PARQUET + BY_BATCH]
 
 
 @pytest.mark.parametrize("name", PARQUET)
@@ -118,6 +119,23 @@ def test_a_stored_model_predicts_the_same(spark, store):
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, forecasting.predict_grid(model, hist).collect()))
 
 
+def test_fit_is_checkpointed_and_measured(spark, store):
+    trees = PipelineModel.load(store.path(jobs.MODEL_PATH)).stages[-1]
+    assert trees.getCacheNodeIds() and trees.getCheckpointInterval() == QUICK.checkpoint_interval
+    assert spark.sparkContext.getCheckpointDir() is not None
+    mae = {r.model: r.mae for r in store.read("metrics").collect()}
+    gain = {r.baseline: (r.model_mae, r.baseline_mae, r.gain) for r in store.read("metric_gain").collect()}
+    model = mae.pop(forecasting.MODEL)
+    assert gain == {name: (model, own, pytest.approx(1 - model / own)) for name, own in mae.items()}
+
+
+def test_cleaning_counts_what_it_removes(spark, store):
+    counts = {r.rule: r.trips for r in store.read("clean_counts").collect()}
+    assert counts["total"] == counts["kept"] + counts["rejected"] == trips(spark, SF).count()
+    assert store.read("clean").count() == counts["kept"] and store.read("rejected").count() == counts["rejected"]
+    assert store.read("rejected").filter("raw_text IS NULL").count() == 0
+
+
 def test_a_malformed_pickup_time_costs_its_own_trip_only(spark, tmp_path):
     raw = str(tmp_path / "raw")
     write_trips_csv(trips(spark, SF), raw)
