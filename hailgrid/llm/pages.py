@@ -16,6 +16,7 @@ are all of it.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator, Set
 from dataclasses import dataclass
 from html.parser import HTMLParser
@@ -35,10 +36,11 @@ MAIN = frozenset(["article", "main"])
 NEVER = frozenset(
     "head script style noscript template nav footer aside form button select option textarea iframe object svg canvas dialog menu video audio map".split()
 )
-CLOSED_BY_BLOCKS = frozenset(["p"])
-#: An open element that a start tag of the same kind ends.
+#: An open element that a start tag of the same kind ends, unless one of SIBLING_SCOPE stands between.
 SIBLINGS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 SIBLING_SCOPE = frozenset(["ul", "ol", "dl", "table", "select"])
+#: A block ends an open paragraph, unless one of these stands between.
+PARAGRAPH_SCOPE = frozenset(["td", "th", "table", "button", "object"])
 #: Words of class, id or role that name what is not part of the article.
 BOILERPLATE = frozenset(
     """ad ads adbox adsense advert advertisement adverts alert banner breadcrumb breadcrumbs byline-share comment comments complementary consent
@@ -103,6 +105,10 @@ class Lines(HTMLParser):
         super().__init__(convert_charrefs=True)
         # tag, never part of an article, region, inside article, innermost named element, innermost named block
         self.open: list[tuple[str, bool, int, bool, int, int]] = [("", False, 0, False, -1, -1)]
+        # how many elements of a tag are open: in all, inside each open list or table, and paragraphs inside each cell
+        self.count: Counter[str] = Counter()
+        self.listed: list[Counter[str]] = [Counter()]
+        self.paragraphs = [0]
         self.regions = 0
         self.text: list[tuple[str, int]] = []
         self.tags = 0
@@ -130,19 +136,36 @@ class Lines(HTMLParser):
             self.close_siblings(tag)
         else:
             self.end_line()
-            if any(x[0] == "p" for x in self.open[-8:]):
-                self.close("p")
+            self.close_paragraph()
             self.close_siblings(tag)
         self.push(tag, hidden(tag, attrs, self.open[-1][3]), boilerplate(tag, attrs))
         if tag not in CELLS:
             self.tags = 1
 
+    def cut(self, k: int) -> None:
+        """End the element at place k and all inside it."""
+        while len(self.open) > k:
+            tag = self.open.pop()[0]
+            self.count[tag] -= 1
+            if tag in SIBLING_SCOPE:
+                self.listed.pop()
+            self.listed[-1][tag] -= 1
+            if tag in PARAGRAPH_SCOPE:
+                self.paragraphs.pop()
+            self.paragraphs[-1] -= tag == "p"
+
     def close_siblings(self, tag: str) -> None:
-        for k in range(len(self.open) - 1, 0, -1):
-            if self.open[k][0] in SIBLING_SCOPE:
-                return
-            if self.open[k][0] in SIBLINGS.get(tag, ()):
-                del self.open[k:]
+        # every walk ends at an element and takes out all it has passed, so all walks together are linear
+        own = SIBLINGS.get(tag, ())
+        while any(self.listed[-1][t] for t in own):
+            k = len(self.open) - 1
+            while self.open[k][0] not in own:
+                k -= 1
+            self.cut(k)
+
+    def close_paragraph(self) -> None:
+        if self.paragraphs[-1]:
+            self.close("p")
 
     def push(self, tag: str, out: bool, whole: bool | None) -> None:
         _, was_out, region, inside, named, block = self.open[-1]
@@ -160,24 +183,30 @@ class Lines(HTMLParser):
             named = len(self.named) - 1
             block = block if tag in INLINE or tag in CELLS else named
         self.open.append((tag, out, region, inside, named, block))
+        self.count[tag] += 1
+        self.listed[-1][tag] += 1
+        if tag in SIBLING_SCOPE:
+            self.listed.append(Counter())
+        self.paragraphs[-1] += tag == "p"
+        if tag in PARAGRAPH_SCOPE:
+            self.paragraphs.append(0)
 
     def close(self, tag: str | None = None) -> None:  # type: ignore[override]
+        """End the page, or the innermost open element of a tag (there is one)."""
         if tag is None:
             super().close()
             self.end_line()
             return
-        for k in range(len(self.open) - 1, 0, -1):
-            if self.open[k][0] == tag:
-                del self.open[k:]
-                return
-            if tag == "p" and self.open[k][0] in ("td", "th", "table", "button", "object"):
-                return
+        k = len(self.open) - 1
+        while self.open[k][0] != tag:
+            k -= 1
+        self.cut(k)
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
         if tag in INLINE:
             if self.open[-1][0] == tag:
-                self.open.pop()
+                self.cut(len(self.open) - 1)
             return
         if tag in VOID:
             return
@@ -185,7 +214,9 @@ class Lines(HTMLParser):
             self.text.append((" ", -1))
         else:
             self.end_line()
-        if any(x[0] == tag for x in self.open):
+        if tag == "p":
+            self.close_paragraph()
+        elif self.count[tag]:
             self.close(tag)
 
     def handle_data(self, data: str) -> None:
@@ -212,10 +243,10 @@ class Lines(HTMLParser):
                 inline.add(k)
             if x.parent in apart or believed and not x.whole:
                 apart[k] = apart.get(x.parent, k)
-        texts, regions = [], []
+        texts, regions, gone = [], [], out | inline
         for line in self.lines:
             # a named inline element goes with a line that it is all of
-            texts.append(line.joined(out) if not inline or line.joined(out | inline) else "")
+            texts.append(line.joined(out) if not inline or line.joined(gone) else "")
             regions.append((apart[line.named],) if line.named in apart else line.region)
         return texts, regions
 
@@ -256,7 +287,8 @@ def page_texts(pages: DataFrame) -> DataFrame:
 
     pages: page_id, url, html; other columns are ignored. Null, empty and
     text-free pages give an empty text. Repeated rows give repeated rows.
-    Unclosed elements end where HTML says so, or with the page.
+    Unclosed elements end where HTML says so, or with the page. A page is parsed
+    whole, in time linear in its length, however deep its elements lie.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
