@@ -1,10 +1,12 @@
 """Substring dedup: repeated word windows, found by Rabin-Karp hashes counted in Spark.
 
-Documents are dealt by hash into slices of about a thousand. A slice sends each
-distinct hash once, with a mark if it holds it several times, packed into one
-binary value per counting bucket. A bucket answers with one bit per hash:
+Documents are dealt by hash into slices of about 2 MB of text. A slice sends
+each distinct hash once, with a mark if it holds it several times, packed into
+one binary value per counting bucket. A bucket answers with one bit per hash:
 whether it occurs again anywhere. So a window that a third of all documents
 share costs one entry per slice, and a window costs little more than its hash.
+There are as many buckets as the bytes of text call for, one to a task, so a
+bucket does not grow with the corpus.
 
 Only windows that may repeat are sent. The words of a window choose an anchor,
 the short run of words with the smallest hash in it. Equal windows choose equal
@@ -21,15 +23,18 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from hailgrid.llm.scratch import partitions
 from hailgrid.llm.words import BLANKS, Words, mixed, rolling, slices, split_words, utf8, window_starts, word_hashes
 
 SEEDS = (101, 202)
 ANCHOR_SEED = 303
 #: Words of an anchor, at most; a small window has anchors of half its size.
 ANCHOR_WORDS = 8
-#: Documents of a slice, on average.
-SLICE_ROWS = 1024
+#: Text of a slice, on average, in bytes, and its documents.
+SLICE_BYTES = 2 << 20
+SLICE_ROWS = 4096
+#: Hashes that a bucket gets if every word starts a window to count, and a word and its blank take four bytes.
+BUCKET_BYTES = 32 << 20
+WORD_BYTES = 4
 
 SENT = "bucket long, slice long, hashes binary, several binary"
 ANSWER = "slice long, bucket long, again binary"
@@ -92,6 +97,12 @@ def parts(table: pa.Table, window: int) -> Iterator[tuple[pa.RecordBatch, Part]]
         yield batch, Part(batch.column("text"), window)
 
 
+def doubled(table: pa.Table) -> pa.Table:
+    """A row that stands for several twice, so that none of its windows is alone."""
+    copies = table.column("copies").to_numpy()
+    return table.take(np.repeat(np.arange(len(copies)), np.minimum(copies, 2))) if (copies > 1).any() else table
+
+
 def distinct(hashes: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct rows ordered by bucket, whether each occurs several times, and their buckets."""
     bucket = (hashes[:, 0] % np.uint64(buckets)).astype(np.int64)
@@ -117,10 +128,13 @@ def sent(slice_id: int, hashes: np.ndarray, buckets: int) -> pa.Table:
     )
 
 
-def answers(width: int):
-    """For a bucket: which of the hashes of each slice occur several times or in another slice."""
+def answered(sent_hashes: DataFrame, width: int, buckets: int) -> DataFrame:
+    """For every bucket, in a task of its own: which of the hashes of each slice occur several times or in another slice."""
 
-    def count(table: pa.Table) -> pa.Table:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not (held := list(batches)):
+            return
+        table = pa.Table.from_batches(held)
         blobs = [np.frombuffer(x, np.uint64).reshape(-1, width) for x in table.column("hashes").to_pylist()]
         sizes = np.array([len(x) for x in blobs])
         hashes = np.concatenate(blobs)
@@ -134,15 +148,10 @@ def answers(width: int):
         again = np.empty(len(ranked), bool)
         again[order] = np.repeat((size > 1) | (np.add.reduceat(several[order].astype(np.int64), at) > 0), size)
         ends = np.cumsum(sizes)
-        return pa.table(
-            {
-                "slice": table.column("slice"),
-                "bucket": table.column("bucket"),
-                "again": pa.array([np.packbits(again[b - n : b]).tobytes() for b, n in zip(ends, sizes, strict=True)], pa.binary()),
-            }
-        )
+        bits = pa.array([np.packbits(again[b - n : b]).tobytes() for b, n in zip(ends, sizes, strict=True)], pa.binary())
+        yield from pa.table({"slice": table.column("slice"), "bucket": table.column("bucket"), "again": bits}).to_batches()
 
-    return count
+    return sent_hashes.repartitionById(buckets, F.col("bucket").cast("int")).mapInArrow(count, ANSWER)
 
 
 def marked(hashes: np.ndarray, answer: list[dict], buckets: int) -> np.ndarray:
@@ -174,28 +183,34 @@ def among(hashes: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return out
 
 
-def repeated_windows(docs: DataFrame, window: int = 35, slice_rows: int = SLICE_ROWS, buckets: int | None = None) -> DataFrame:
+def repeated_windows(
+    docs: DataFrame, window: int = 35, slice_rows: int = SLICE_ROWS, slice_bytes: int = SLICE_BYTES, buckets: int | None = None
+) -> DataFrame:
     """The maximal runs of words that repeated windows cover, and the text without them.
 
-    docs: doc_id, text; other columns are ignored. A window is ``window`` words
-    (parted by ASCII blanks) of one row; it repeats if its words start anywhere
-    else, in the same row or another one. Returns doc_id, n_words, n_removed,
-    removed (array of start, stop: word numbers, stop exclusive, merged, so
-    maximal) and kept (the other words joined by one space), one row per row
-    of ``docs``. Null, empty and short texts lose nothing. Rows alike in id and
-    text are documents of their own, so each loses all windows (they share a
-    slice, which is the one group here that repeated rows can enlarge). Windows are
-    judged on the input. The texts are shuffled once; that exchange serves all
-    three steps.
+    docs: doc_id, text; other columns are ignored, whatever their names. A
+    window is ``window`` words (parted by ASCII blanks) of one row; it repeats if
+    its words start anywhere else, in the same row or another one. Returns
+    doc_id, n_words, n_removed, removed (array of start, stop: word numbers, stop
+    exclusive, merged, so maximal) and kept (the other words joined by one
+    space), one row per row of ``docs``. Null, empty and short texts lose
+    nothing; no rows give no rows. Rows alike in id and text are documents of
+    their own, so each loses all windows; they travel as one row with their
+    number. Windows are judged on the input. A slice holds ``slice_bytes`` of
+    text on average, and any one text is whole in it. The texts are shuffled
+    once (and once more before if there are rows alike); that exchange serves
+    all three steps.
     """
-    spark = docs.sparkSession
-    n_slices = -(-docs.count() // slice_rows) or 1
-    buckets = buckets or 2 * partitions(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    dealt = rows.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_slices)).alias("slice"), "doc_id", "text")
+    n_rows, size = rows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    n_slices = max(-(-n_rows // slice_rows), -(-size // slice_bytes), 1)
+    buckets = buckets or max(-(-size // WORD_BYTES * 16 // BUCKET_BYTES), 1)
+    folded = not rows.groupBy("doc_id", F.xxhash64("text")).count().filter("count > 1").isEmpty()
+    rows = rows.groupBy("doc_id", "text").agg(F.count("*").alias("copies")) if folded else rows.withColumn("copies", F.lit(1).cast("long"))
+    dealt = rows.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_slices)).alias("slice"), "doc_id", "text", "copies")
 
     def send_anchors(key: tuple, table: pa.Table) -> pa.Table:
-        found = [part.anchors() for _, part in parts(table, window)]
+        found = [part.anchors() for _, part in parts(doubled(table), window)]
         return sent(key[0].as_py(), np.concatenate(found), buckets)
 
     def candidates(table: pa.Table, answer: list[dict]) -> Iterator[tuple[pa.RecordBatch, Part, np.ndarray, np.ndarray]]:
@@ -205,7 +220,7 @@ def repeated_windows(docs: DataFrame, window: int = 35, slice_rows: int = SLICE_
             yield batch, part, starts, part.window_hashes(starts)
 
     def send_windows(key: tuple, table: pa.Table, answer: pa.Table) -> pa.Table:
-        found = [h for *_, h in candidates(table, answer.to_pylist())]
+        found = [h for *_, h in candidates(doubled(table), answer.to_pylist())]
         return sent(key[0].as_py(), np.concatenate(found) if found else np.zeros((0, 2), np.uint64), buckets)
 
     def cut(table: pa.Table, answer: pa.Table) -> pa.Table:
@@ -223,14 +238,13 @@ def repeated_windows(docs: DataFrame, window: int = 35, slice_rows: int = SLICE_
             out.append(without(batch, part.words, np.cumsum(edge)[:-1] > 0))
         return pa.Table.from_batches(out)
 
-    anchor_answers = dealt.groupBy("slice").applyInArrow(send_anchors, SENT).groupBy("bucket").applyInArrow(answers(1), ANSWER)
-    window_answers = (
-        dealt.groupBy("slice").cogroup(anchor_answers.groupBy("slice")).applyInArrow(send_windows, SENT).groupBy("bucket").applyInArrow(answers(2), ANSWER)
-    )
+    anchor_answers = answered(dealt.groupBy("slice").applyInArrow(send_anchors, SENT), 1, buckets)
+    window_answers = answered(dealt.groupBy("slice").cogroup(anchor_answers.groupBy("slice")).applyInArrow(send_windows, SENT), 2, buckets)
     told = anchor_answers.withColumn("windows", F.lit(False)).union(window_answers.withColumn("windows", F.lit(True)))
-    return dealt.groupBy("slice").cogroup(told.groupBy("slice")).applyInArrow(
-        cut, "doc_id long, n_words long, n_removed long, removed array<struct<start:int,stop:int>>, kept string"
-    )
+    columns = "doc_id long, n_words long, n_removed long, removed array<struct<start:int,stop:int>>, kept string"
+    out = dealt.groupBy("slice").cogroup(told.groupBy("slice")).applyInArrow(cut, f"{columns}, copies long")
+    each = out.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))) if folded else out
+    return each.drop("copies", "copy")
 
 
 def without(batch: pa.RecordBatch, words: Words, gone: np.ndarray) -> pa.RecordBatch:
@@ -249,8 +263,9 @@ def without(batch: pa.RecordBatch, words: Words, gone: np.ndarray) -> pa.RecordB
             pa.array(removed, pa.int64()),
             pa.array(runs, pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))),
             pa.array(kept, pa.binary()).cast(pa.string()),
+            batch.column("copies"),
         ],
-        names=["doc_id", "n_words", "n_removed", "removed", "kept"],
+        names=["doc_id", "n_words", "n_removed", "removed", "kept", "copies"],
     )
 
 
