@@ -1,16 +1,18 @@
 """SimHash fingerprints and near-duplicate groups found through pivot distance tables.
 
-A pivot table holds the Hamming distances of a fingerprint to fixed reference
+A pivot table holds the Hamming distances of a fingerprint to many reference
 fingerprints. Two fingerprints that differ in at most r bits differ by at most
 r in every coordinate, so a larger difference discards a pair unseen.
 
-The references come in families. A family holds one base fingerprint and, for
-each bit of one block of bits, the base with that bit flipped. A bit that
-changes outside the block moves all distances of the family alike, so their
-differences to the base's distance stay as they are. With r + 3 blocks, a pair
-within r bits keeps at least three families unchanged: joining on three
-families' differences finds every such pair, and no pair list of a whole group
-is ever made.
+References are fingerprints of the data. Around the first of them, the base,
+lie more: the base with one pair of neighbouring bits flipped, for every pair.
+What such a reference is farther or nearer than the base (2, 0 or -2) tells how
+many of the two bits agree with the base, and does not change with any other
+bit. These coordinates are parted into r + 3 families. A pair within r bits
+differs in the coordinates of at most r families and agrees in those of three
+at least: joining on the coordinates of three families finds every such pair.
+Those that meet are discarded by the maximum difference over all coordinates,
+and what survives is verified. No pair list of a whole group is ever made.
 """
 
 from __future__ import annotations
@@ -22,15 +24,16 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
-from xxhash import xxh64_intdigest
 
 from hailgrid.llm.components import connected
 from hailgrid.llm.scratch import stored
 
 BITS = 64
 HASH_SEED = 42
-KEPT_BLOCKS = 3
-#: Reference fingerprints whose distances discard pairs.
+KEPT = 3
+#: Bits that a reference near the base has flipped.
+FLIPPED = 2
+#: Reference fingerprints drawn from the data, besides the base.
 REFERENCES = 24
 _PARTS = bytes(range(0x09, 0x0E)) + b" "
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -39,6 +42,8 @@ _BLANK = bytes.maketrans(_PARTS, b" " * len(_PARTS))
 
 def simhash(text: str | None, shingle: int) -> int:
     """A bit is set if it is set in over half of the shingles' hashes; no word: zero."""
+    from xxhash import xxh64_intdigest
+
     data = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).translate(_BLANK)
     words = [w for w in data.split(b" ") if w]
     if not words:
@@ -79,32 +84,34 @@ def distance(a: Column, b: Column) -> Column:
     return F.bit_count(a.bitwiseXOR(b))
 
 
-def block_masks(radius: int) -> list[int]:
-    """The bits of each of radius + 3 blocks."""
-    bounds = [round(BITS * k / (radius + KEPT_BLOCKS)) for k in range(radius + KEPT_BLOCKS + 1)]
-    return [sum(1 << b for b in range(lo, hi)) for lo, hi in zip(bounds, bounds[1:], strict=False)]
-
-
 def signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def references(seed: int, count: int) -> list[int]:
-    return [int(x) for x in np.random.default_rng(seed).integers(-(2**63), 2**63 - 1, count, dtype=np.int64)]
+def references(fps: DataFrame, count: int, seed: int) -> list[int]:
+    """Fingerprints of the data with the least hash, as many as there are up to ``count``."""
+    return [r["fp"] for r in fps.select("fp").orderBy(F.xxhash64("fp", F.lit(seed)), "fp").limit(count).collect()]
 
 
 def pivot_table(fps: DataFrame, base: int, others: list[int]) -> DataFrame:
-    """fp, the distances to the families relative to their base, and the distances to all other references.
+    """fp; ``around``, the distances to the references around the base, less that to the base; ``pivots``, those to all others.
 
-    Flipping bit b of the base changes a distance by exactly one, up or down, so
-    the relative distances to the 64 flipped fingerprints are kept as the bits of
-    one number: set where the flip comes nearer.
+    A difference is -2, 0 or 2 and takes two bits of one number: 0, 1 or 2, the
+    first reference lowest.
     """
     to_base = distance(F.col("fp"), F.lit(base))
-    nearer = [distance(F.col("fp"), F.lit(signed((base ^ 1 << b) & (1 << BITS) - 1))) < to_base for b in range(BITS)]
-    bits = [F.when(x, F.lit(signed(1 << b))).otherwise(F.lit(0)) for b, x in enumerate(nearer)]
+    flips = [((1 << FLIPPED) - 1) << b for b in range(0, BITS, FLIPPED)]
+    farther = [distance(F.col("fp"), F.lit(signed((base ^ flip) & (1 << BITS) - 1))) - to_base for flip in flips]
+    codes = [F.shiftleft(F.shiftright(x + F.lit(FLIPPED), 1).cast("long"), FLIPPED * k) for k, x in enumerate(farther)]
     table = F.array(*[distance(F.col("fp"), F.lit(r)).cast("byte") for r in others])
-    return fps.select("fp", reduce(Column.bitwiseOR, bits).alias("families"), table.alias("pivots"))
+    return fps.select("fp", reduce(Column.bitwiseOR, codes).alias("around"), table.alias("pivots"))
+
+
+def family_masks(radius: int) -> list[int]:
+    """Which bits of ``around`` hold the coordinates of each of radius + 3 families."""
+    coordinates = BITS // FLIPPED
+    bounds = [FLIPPED * round(coordinates * k / (radius + KEPT)) for k in range(radius + KEPT + 1)]
+    return [sum(1 << b for b in range(lo, hi)) for lo, hi in zip(bounds, bounds[1:], strict=False)]
 
 
 def pivot_links(fps: DataFrame, radius: int, n_references: int = REFERENCES, seed: int = 9) -> DataFrame:
@@ -112,27 +119,33 @@ def pivot_links(fps: DataFrame, radius: int, n_references: int = REFERENCES, see
 
     fps: one row per distinct fingerprint, column fp.
     """
-    base, *refs = references(seed, n_references + 1)
-    masks = block_masks(radius)
-    kept = list(combinations(range(len(masks)), KEPT_BLOCKS))
+    return verified(surviving(fps, radius, n_references, seed), radius)
+
+
+def surviving(fps: DataFrame, radius: int, n_references: int = REFERENCES, seed: int = 9) -> DataFrame:
+    """Pairs (a < b) that agree on three families and differ by at most ``radius`` in the distance to every other reference; each once."""
+    base, *refs = [*references(fps, n_references + 1, seed), 0][: n_references + 1]
+    masks = family_masks(radius)
+    kept = list(combinations(range(len(masks)), KEPT))
     # written down once: ten keys are made from each row, and both sides of the join read it
     table = stored(pivot_table(fps, base, refs), "pivots")
-    key = lambda blocks: F.col("families").bitwiseAND(F.lit(signed(sum(masks[b] for b in blocks))))
-    keys = [F.struct(F.lit(k).cast("short").alias("k"), key(blocks).alias("key")) for k, blocks in enumerate(kept)]
-    keyed = table.select("fp", "pivots", F.inline(F.array(*keys)))
-    left = keyed.select(F.col("fp").alias("a"), F.col("pivots").alias("pa"), "k", "key")
-    right = keyed.select(F.col("fp").alias("b"), F.col("pivots").alias("pb"), "k", "key")
+    of = lambda families: F.lit(signed(sum(masks[b] for b in families)))
+    keys = [F.struct(F.lit(k).cast("short").alias("k"), F.col("around").bitwiseAND(of(families)).alias("key")) for k, families in enumerate(kept)]
+    keyed = table.select("fp", "around", "pivots", F.inline(F.array(*keys)))
+    left = keyed.select(F.col("fp").alias("a"), F.col("around").alias("ra"), F.col("pivots").alias("pa"), "k", "key")
+    right = keyed.select(F.col("fp").alias("b"), F.col("around").alias("rb"), F.col("pivots").alias("pb"), "k", "key")
     pairs = left.join(right, ["k", "key"]).filter("a < b")
     near = F.lit(True)
-    for n in range(n_references):
+    for n in range(len(refs)):
         near = near & (F.abs(F.col("pa")[n] - F.col("pb")[n]) <= radius)
-    verified = pairs.filter(near).filter(distance(F.col("a"), F.col("b")) <= radius)
     # a pair meets under every key it shares: only the first of them reports it
-    differ = F.col("a").bitwiseXOR(F.col("b"))
-    first = F.coalesce(
-        *[F.when(differ.bitwiseAND(F.lit(signed(sum(masks[b] for b in blocks)))) == 0, F.lit(k).cast("short")) for k, blocks in enumerate(kept)]
-    )
-    return verified.filter(F.col("k") == first).select("a", "b")
+    differ = F.col("ra").bitwiseXOR(F.col("rb"))
+    first = F.coalesce(*[F.when(differ.bitwiseAND(of(families)) == 0, F.lit(k).cast("short")) for k, families in enumerate(kept)])
+    return pairs.filter(near).filter(F.col("k") == first).select("a", "b")
+
+
+def verified(pairs: DataFrame, radius: int) -> DataFrame:
+    return pairs.filter(distance(F.col("a"), F.col("b")) <= radius)
 
 
 def fingerprint_groups(hashed: DataFrame, radius: int) -> DataFrame:
@@ -175,13 +188,15 @@ def one_of_each_group(docs: DataFrame, shingle: int = 3, radius: int = 2) -> Dat
     """The rows of ``docs``, with all columns, that stay if each near-duplicate group keeps one.
 
     The row with the smallest doc_id stays; null ids come last, ties go by a
-    hash of the text, and of rows alike in both one stays.
+    hash of the text, and of rows alike in both one stays. Null, empty and blank
+    texts are one group. Texts are read whole, one at a time. Columns may have
+    any names and come back as they were; an empty table stays empty.
     """
     hashed = stored(fingerprints(docs, shingle), "simhash")
     # every fingerprint of a group names the same row
     names = fingerprint_groups(hashed, radius).select("first.doc_id", "first.text_hash").distinct()
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))
-    keep = names.select(key.alias("_id"), F.col("text_hash").alias("_hash"), F.col("doc_id").isNull().alias("_none"))
-    keyed = docs.withColumns({"_id": key, "_hash": F.xxhash64(F.col("text").cast("string")), "_none": F.col("doc_id").isNull()})
-    kept = keyed.join(keep, ["_id", "_hash", "_none"], "left_semi").dropDuplicates(["_id", "_hash", "_none"])
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    keep = names.select(key.alias("id"), F.col("text_hash").alias("hash"), F.col("doc_id").isNull().alias("none"))
+    # a row travels as one column, so none of its own names can clash with a key
+    keyed = docs.select(key.alias("id"), F.xxhash64(F.col("text").cast("string")).alias("hash"), F.col("doc_id").isNull().alias("none"), F.struct("*").alias("row"))
+    return keyed.join(keep, ["id", "hash", "none"], "left_semi").dropDuplicates(["id", "hash", "none"]).select("row.*")
