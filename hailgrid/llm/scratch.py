@@ -2,33 +2,17 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-LOCAL_DEFAULT = "/tmp/checkpoints"
+from hailgrid.sources.tables import scratch_store
 
 
-def shared_folder(spark: SparkSession, label: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``.
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` as Parquet below ``spark.checkpoint.dir`` and read it back.
 
-    Only a local session without that setting (as in tests) gets a default on
-    its own disk; on a cluster the setting is required.
+    The files are deleted once no plan that reads them can be reached any more.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        master = spark.sparkContext.master
-        if not (master == "local" or master.startswith("local[")):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        root = LOCAL_DEFAULT
-    return f"{root.rstrip('/')}/corpus/{label}-{uuid.uuid4().hex}"
-
-
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back."""
-    path = shared_folder(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return scratch_store(df.sparkSession, label).write(df, "table")
 
 
 def partitions(spark: SparkSession) -> int:
