@@ -57,3 +57,13 @@ def test_stages_on_odd_rows(spark):
     kept = [tuple(r)[:2] for r in STAGES["near_copies"](spark, odd, SF_DIR).collect()]
     groups = {c for _, _, c in brute.simhash_groups(ODD)}
     assert len(kept) == len(groups) and {i for i, _ in kept} == groups
+
+
+def test_near_copies_leave_columns_of_any_name_alone(spark):
+    names = ["doc_id", "text", "_id", "_hash", "_none", "ID", "Hash", "row", "fp", "keep"]
+    data = [(1, "a b c d", "mongo-1", "h1", "n", 1.5, "H", 7, "f", None), (2, "A B C D", "mongo-2", "h2", "n", 2.5, "H", 8, "f", "k"), (3, "other words altogether", None, "h3", "n", 3.5, "H", 9, "f", "k")]
+    kinds = "doc_id long, text string, _id string, _hash string, _none string, ID double, Hash string, row int, fp string, keep string"
+    docs = spark.createDataFrame(data, kinds)
+    out = STAGES["near_copies"](spark, docs, SF_DIR)
+    assert out.columns == names and out.dtypes == docs.dtypes
+    assert sorted(tuple(r) for r in out.collect()) == [data[0], data[2]]
