@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hailgrid.catalog.allocation import ALLOC_SIMPLE, SLOT_PREDICTIONS, simple
-from hailgrid.catalog.inputs import PARAMS, SHIFT, dense, features, slot_predictions, stored_all_zones, stored_features, totals, week_tables
+from hailgrid.catalog.inputs import PARAMS, SHIFT, counted_zones, dense, features, slot_predictions, stored_features, totals, week_tables
 from hailgrid.catalog.registry import query
 from hailgrid.catalog.sql import TRAIN_END, center, day_number, with_tables
 from hailgrid.operators import accuracy, demand, reshape, zone_hours
@@ -75,7 +75,7 @@ def peak_day(spark, sf):
 
 @query("demand_level", with_tables("SELECT * FROM levels", "zone_demand", extra=LEVELS))
 def demand_level(spark, sf):
-    return reshape.with_demand_level(stored_all_zones(spark, sf)).select("zone_id", "total_trips", "demand_level")
+    return reshape.with_demand_level(counted_zones(spark, sf)).select("zone_id", "total_trips", "demand_level")
 
 
 @query(
@@ -83,7 +83,7 @@ def demand_level(spark, sf):
     with_tables("SELECT * FROM levels WHERE demand_level IN ('High', 'Low')", "zone_demand", extra=LEVELS),
 )
 def demand_level_filter(spark, sf):
-    leveled = reshape.with_demand_level(stored_all_zones(spark, sf))
+    leveled = reshape.with_demand_level(counted_zones(spark, sf))
     return with_levels(leveled, ["High", "Low"]).select("zone_id", "total_trips", "demand_level")
 
 
@@ -98,12 +98,12 @@ ORDER BY total_trips DESC, zone_id LIMIT {n}""",
 
 @query("busiest_zone", _ranked_sql("Medium", 1))
 def busiest_zone(spark, sf):
-    return dashboards.ranked_zones(stored_all_zones(spark, sf), ["Medium"], 1).select("zone_id", "total_trips", "zone")
+    return dashboards.ranked_zones(counted_zones(spark, sf), ["Medium"], 1).select("zone_id", "total_trips", "zone")
 
 
 @query("ranked_zones", _ranked_sql("High", 10))
 def ranked_zones(spark, sf):
-    return dashboards.ranked_zones(stored_all_zones(spark, sf), ["High"], 10).select("zone_id", "total_trips", "zone")
+    return dashboards.ranked_zones(counted_zones(spark, sf), ["High"], 10).select("zone_id", "total_trips", "zone")
 
 
 @query(
@@ -297,7 +297,7 @@ def profile_pivot(spark, sf):
     ),
 )
 def zone_map_size(spark, sf):
-    return reshape.zone_map(stored_all_zones(spark, sf), PARAMS.grid)
+    return reshape.zone_map(counted_zones(spark, sf), PARAMS.grid)
 
 
 @query(

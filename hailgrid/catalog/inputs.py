@@ -1,4 +1,8 @@
-"""Inputs the registered queries share."""
+"""Inputs the registered queries share.
+
+Some write or collect a bounded table while a query is being built, so even
+``explain()`` of such a query runs jobs.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from hailgrid.functions.clock import HOURS_PER_WEEK
 from hailgrid.operators import zone_hours
 from hailgrid.operators.balance import with_scenarios
 from hailgrid.operators.demand import (
@@ -18,6 +23,7 @@ from hailgrid.operators.demand import (
     zone_totals,
 )
 from hailgrid.operators.filters import pickup_in_box
+from hailgrid.operators.sizes import local_within
 from hailgrid.params import COARSE_GRID, FINE_GRID, RideParams
 from hailgrid.plans.cleaning import clean_trips
 from hailgrid.plans.dashboards import with_missing_centres
@@ -82,20 +88,25 @@ def all_zones(spark: SparkSession, sf: str) -> DataFrame:
     return zone_demand(totals(spark, sf, "zone_id"))
 
 
-def stored_all_zones(spark: SparkSession, sf: str) -> DataFrame:
-    """Every zone's demand as a table, for queries that read it for a bound and for the rows."""
-    return scratch_store(spark, "zone-demand").write(all_zones(spark, sf), "zone_demand")
+def counted_zones(spark: SparkSession, sf: str) -> DataFrame:
+    """Every zone's demand, counted now, for queries that read it for a bound and for the rows: a row per cell at most."""
+    return local_within(all_zones(spark, sf), PARAMS.grid.n_cells)
+
+
+def modelled_zones(counted: DataFrame, params: RideParams) -> DataFrame:
+    """The modelled zones with their span; the grid and the totals both meet them, so they are planned once."""
+    return local_within(top_zones(counted, params), params.max_zones)
 
 
 def dense(spark: SparkSession, sf: str, params: RideParams = PARAMS) -> DataFrame:
     counted = stored_totals(spark, sf, params)
-    filled = zone_hours.dense_demand(counted, top_zones(counted, params), params)
+    filled = zone_hours.dense_demand(counted, modelled_zones(counted, params), params)
     return zone_hours.with_zone_calendar(filled, params.grid.stride)
 
 
 def features(spark: SparkSession, sf: str, params: RideParams = PARAMS) -> DataFrame:
     counted = stored_totals(spark, sf, params)
-    return zone_hours.feature_table(zone_hour_data(counted, top_zones(counted, params), params))
+    return zone_hours.feature_table(zone_hour_data(counted, modelled_zones(counted, params), params))
 
 
 def stored_features(spark: SparkSession, sf: str) -> DataFrame:
@@ -111,7 +122,7 @@ def slot_predictions(spark: SparkSession, sf: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class WeekTables:
-    """The stored series, and the zone and weekly-slot tables derived from it."""
+    """The series, its summary by weekly slot, and the zone and slot tables derived from it."""
 
     store: ResultStore
     zones: DataFrame
@@ -124,21 +135,19 @@ class WeekTables:
 def week_tables(spark: SparkSession, sf: str, params: RideParams = PARAMS) -> WeekTables:
     """The tables of the allocation queries, which read each of them several times.
 
-    The series is written to the shared folder first, then its summary by
-    weekly slot, from which zones, history and supply follow. So the trips are
-    scanned once, the series is grouped once, and a lost executor costs a reread
-    of a small table.
+    One grouping of the series gives its summary by weekly slot, at most 168
+    rows a zone; zones, history and supply all follow from it. So the trips are
+    scanned once and the series is grouped once.
     """
-    store = scratch_store(spark, "week")
-    data = store.write(dense(spark, sf, params), "zone_hours")
-    summary = store.write(zone_hours.slot_summary(data, params.train_end), "slot_summary")
-    totals_by_zone = data.groupBy("zone_id").agg(F.sum("demand").alias("total_trips"))
+    data = dense(spark, sf, params)
+    summary = local_within(zone_hours.slot_summary(data, params.train_end), HOURS_PER_WEEK * params.max_zones)
+    totals_by_zone = summary.groupBy("zone_id").agg(F.sum("trips").alias("total_trips"))
     top = with_missing_centres(totals_by_zone, params.grid)
     hist = zone_hours.hist_of(summary)
     # The historical mean stands in for the model, so that SQL can follow.
     typical = F.round("hist_mean", 2)
     pred_grid = hist.select("zone_id", "dow", "hour", typical.alias("hist_mean"), typical.alias("prediction"))
-    return WeekTables(store, top, data, hist, zone_hours.supply_of(summary), pred_grid)
+    return WeekTables(scratch_store(spark, "week"), top, data, hist, zone_hours.supply_of(summary), pred_grid)
 
 
 def one_fleet(slots: DataFrame, fleet: int) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from hailgrid.catalog.inputs import FINE, PARAMS, clean, dense, features, stored_features, stored_totals
+from hailgrid.catalog.inputs import FINE, PARAMS, clean, dense, features, modelled_zones, stored_features, stored_totals
 from hailgrid.catalog.registry import query
 from hailgrid.catalog.sql import TRAIN_END, day_number, tables, with_tables
 from hailgrid.operators import demand, zone_hours
@@ -32,13 +32,13 @@ def hour_timeline(spark, sf):
 @query("zone_hour_demand", with_tables("SELECT * FROM pickups", "pickups"))
 def zone_hour_demand(spark, sf):
     totals = stored_totals(spark, sf)
-    return demand.zone_hour_pickups(totals, demand.top_zones(totals, PARAMS), PARAMS)
+    return demand.zone_hour_pickups(totals, modelled_zones(totals, PARAMS), PARAMS)
 
 
 @query("zone_hour_dropoffs", with_tables("SELECT * FROM dropoffs", "dropoffs"))
 def zone_hour_dropoffs(spark, sf):
     totals = stored_totals(spark, sf)
-    return demand.zone_hour_dropoffs(totals, demand.top_zones(totals, PARAMS), PARAMS)
+    return demand.zone_hour_dropoffs(totals, modelled_zones(totals, PARAMS), PARAMS)
 
 
 @query("dense_demand", with_tables(f"SELECT {DENSE} FROM dense", "dense"))

@@ -21,6 +21,21 @@ def broadcast_within(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if fits_broadcast(max_rows) else df
 
 
+# Rows that the driver may hold for a plan that reads them several times.
+MAX_LOCAL_ROWS = 50_000
+
+
+def local_within(df: DataFrame, max_rows: int) -> DataFrame:
+    """The rows as a local table if ``max_rows``, a proven upper bound, is small.
+
+    A plan then reads them as often as it likes without a job or a file of
+    their own. Beyond the bound ``df`` comes back as it is: store it first.
+    """
+    if max_rows > MAX_LOCAL_ROWS:
+        return df
+    return df.sparkSession.createDataFrame(df.toArrow(), df.schema)
+
+
 def shuffle_partitions(df: DataFrame) -> int:
     """The session's shuffle width, for the few places that must fix a partition count."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -95,14 +95,16 @@ def with_hist_mean(data: DataFrame, train_end: str, min_rows: int = 1) -> DataFr
 def slot_summary(data: DataFrame, train_end: str) -> DataFrame:
     """Mean train demand, mean drop-offs and their sum per zone, weekday and hour, from one grouping.
 
-    The sum is what shares are taken by: every zone has the same dates in a
-    slot, so sums share like means, and whole numbers share exactly.
+    The sum of drop-offs is what shares are taken by: every zone has the same
+    dates in a slot, so sums share like means, and whole numbers share exactly.
+    ``trips`` are the pickups of all dates.
     """
     train = F.when(before_date(train_end), F.col("demand"))
     return data.groupBy(*SLOT).agg(
         (F.sum(train) / F.nullif(F.count(train), F.lit(0))).alias("hist_mean"),
         F.avg("dropoffs").alias("avg_dropoffs"),
         F.sum("dropoffs").alias("dropoffs"),
+        F.sum("demand").alias("trips"),
     )
 
 
