@@ -39,14 +39,13 @@ def shingle_hashes(texts: pa.Array, size: int = SHINGLE) -> tuple[np.ndarray, np
     return mixed(out), number
 
 
-def signatures(texts: pa.Array, permutations: int = PERMUTATIONS) -> np.ndarray:
+def signatures(hashes: np.ndarray, number: np.ndarray, permutations: int = PERMUTATIONS) -> np.ndarray:
     """One row per text: for each permutation, 16 bits of the smallest permuted shingle hash.
 
     A permutation is x -> a * x + b modulo 2**64 with odd a (multiply-shift, a
     universal family). Texts without words get all ones.
     """
-    hashes, number = shingle_hashes(texts)
-    out = np.full((len(texts), permutations), 0xFFFF, np.uint16)
+    out = np.full((len(number), permutations), 0xFFFF, np.uint16)
     some = np.flatnonzero(number)
     if not len(some):
         return out
@@ -70,6 +69,23 @@ def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a == b).mean(axis=1)
 
 
+def banded(signature: np.ndarray) -> np.ndarray:
+    """The bands of each signature, one 64-bit number a band."""
+    return signature.reshape(len(signature), BANDS, -1).view(np.uint64)[:, :, 0]
+
+
+def shingle_sets(hashes: np.ndarray, number: np.ndarray) -> list[np.ndarray]:
+    ends = np.cumsum(number)
+    return [np.unique(hashes[e - n : e]) for e, n in zip(ends, number, strict=True)]
+
+
+def jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    """Of two sets; two empty ones are alike."""
+    shared = len(np.intersect1d(a, b, assume_unique=True))
+    whole = len(a) + len(b) - shared
+    return shared / whole if whole else 1.0
+
+
 def in_order_with_next(docs: DataFrame) -> DataFrame:
     """Texts in ranges of ascending doc_id, each range sorted and ending with a copy of the text after it.
 
@@ -103,7 +119,8 @@ def in_order_with_next(docs: DataFrame) -> DataFrame:
 
 
 FINGERPRINTS = (
-    "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+    "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, "
+    "bands_edited int, bands_next int, jaccard_edited double, jaccard_next double"
 )
 
 
@@ -115,14 +132,17 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     text in ascending doc_id; the first follows the last, ties go by text, and
     null ids come last. Null counts as empty; all texts without words have the
     same fingerprint and likeness 1 to each other. Returns one row per row of
-    ``docs``; a single document is its own next one. The texts are shuffled once.
+    ``docs``; a single document is its own next one. Both likenesses come with
+    the number of bands the signatures share and the Jaccard similarity of all
+    shingles, which verifies them. The texts are shuffled once.
     """
 
     def compared(texts: list[str], after: str) -> dict[str, list]:
         following = [*texts[1:], after]
         edited = [t[: len(t) - len(t) // 2] + u[: len(t) // 2] for t, u in zip(texts, following, strict=True)]
-        own = signatures(pa.array([*texts, after], pa.string()))
-        new = signatures(pa.array(edited, pa.string()))
+        shingles, changed = shingle_hashes(pa.array([*texts, after], pa.string())), shingle_hashes(pa.array(edited, pa.string()))
+        own, new = signatures(*shingles), signatures(*changed)
+        sets, other = shingle_sets(*shingles), shingle_sets(*changed)
         return {
             "n_chars": [len(t) for t in texts],
             "edited_sha256": [hashlib.sha256(e.encode("utf-8")).hexdigest() for e in edited],
@@ -130,6 +150,10 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
             "edited_fingerprint": hexadecimal(new),
             "near_edited": likeness(own[:-1], new),
             "near_next": likeness(own[:-1], own[1:]),
+            "bands_edited": (banded(own[:-1]) == banded(new)).sum(axis=1).astype(np.int32),
+            "bands_next": (banded(own[:-1]) == banded(own[1:])).sum(axis=1).astype(np.int32),
+            "jaccard_edited": [jaccard(a, b) for a, b in zip(sets, other, strict=False)],
+            "jaccard_next": [jaccard(a, b) for a, b in zip(sets, sets[1:], strict=False)],
         }
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,22 +188,19 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     smallest doc_id: returns a, b (class names, a < b) and jaccard. At 0.8, a
     pair is missed with a probability below one in a million.
     """
-    width = PERMUTATIONS // BANDS
 
-    def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            found = signatures(batch.column("text"))
-            hashes, number = shingle_hashes(batch.column("text"))
-            ends = np.cumsum(number)
-            sets = [np.unique(hashes[e - n : e]).view(np.int64) for e, n in zip(ends, number, strict=True)]
-            bands = found.reshape(len(found), BANDS, width).view(np.uint64)[:, :, 0].view(np.int64)
+            shingles = shingle_hashes(batch.column("text"))
+            sets = [x.view(np.int64) for x in shingle_sets(*shingles)]
+            bands = banded(signatures(*shingles)).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(list(bands), pa.list_(pa.int64())), pa.array(sets, pa.list_(pa.int64()))],
                 names=["doc_id", "bands", "shingles"],
             )
 
     distinct = docs.filter("text is not null").groupBy("text").agg(F.min(F.col("doc_id").cast("long")).alias("doc_id"))
-    signed = stored(distinct.mapInArrow(banded, "doc_id long, bands array<long>, shingles array<long>"), "minhash")
+    signed = stored(distinct.mapInArrow(sign, "doc_id long, bands array<long>, shingles array<long>"), "minhash")
     keys = signed.select("doc_id", F.posexplode("bands").alias("band", "key"))
     left, right = keys.withColumnRenamed("doc_id", "a"), keys.withColumnRenamed("doc_id", "b")
     pairs = left.join(right, ["band", "key"]).filter("a < b").select("a", "b").distinct()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -139,3 +140,24 @@ def lpt_loads(groups, shards):
     for size in sorted(groups, reverse=True):
         loads[loads.index(min(loads))] += size
     return sorted(loads)
+
+
+def language(model, text):
+    """Label, cosine to the nearest centroid and the best cosine of another language, n-gram by n-gram."""
+    letters, last = [], None
+    for b in text.lower().encode("utf-8", "surrogatepass"):
+        b = b if b >= 128 or chr(b).isalpha() else 0x20
+        if b != 0x20 or last != 0x20:
+            letters.append(b)
+        last = b
+    counts = Counter()
+    for n, width, base in ((1, 256, 0), (2, 2048, 256), (3, 4096, 2304)):
+        for k in range(len(letters) - n + 1):
+            code = int.from_bytes(bytes(letters[k : k + n]), "big")
+            counts[base + (code if n == 1 else (code * 0x9E3779B1 >> 13) % width)] += 1
+    vector = {f: math.sqrt(c) * float(model.idf[f]) for f, c in counts.items()}
+    size = math.sqrt(sum(v * v for v in vector.values()))
+    cosines = [(sum(v * float(c[f]) for f, v in vector.items()) / size, -k) for k, c in enumerate(model.centroids)]
+    best, k = max(cosines)
+    label = model.labels[-k]
+    return label, best, max([x for x, n in cosines if model.labels[-n] != label], default=0.0), sum(counts.values())

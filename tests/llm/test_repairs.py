@@ -156,3 +156,18 @@ def test_prose_of_another_kind_stays(spark):
         found = [model.predict(parts[a:b]) for a, b in language.chunks(parts)]
         gone = np.concatenate([f[2] for f in found])
         assert len(parts) > 50 and gone.mean() < 0.02, (size, len(parts), gone.mean())
+
+
+def test_nearest_centroid_n_gram_by_n_gram(spark):
+    table = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    model = language.fitted_model(table)
+    texts = [r["text"] for r in table.collect() if language.has_letter(r["text"])][:60] + ["zzqxj " * 80, "Ünï, CÖDÉ -- 12", "a"]
+    labels, scores, rejected = model.predict(texts)
+    for text, label, score, gone in zip(texts, labels, scores, rejected, strict=True):
+        want, best, second, n = brute.language(model, text)
+        assert label == want and abs(score - best) < 1e-4
+        size = np.log2(n)
+        bar = model.least[min(int(size), len(model.least) - 1)]
+        very_far = best < bar * np.clip(0.54 + 0.12 * (size - 9.2), 0.4, 0.72)
+        ambiguous = second > best * np.clip(0.935 - 0.03 * (size - 9.2), 0.86, 1.0)
+        assert gone == (best < bar and (very_far or ambiguous))

@@ -244,6 +244,9 @@ def test_edited_texts(spark):
         r = got[doc_id]
         assert (r["n_chars"], r["edited_sha256"]) == (n, brute.sha(text))
         errors += [r["near_edited"] - jaccard(own, text), r["near_next"] - jaccard(own, after)]
+        assert abs(r["jaccard_edited"] - jaccard(own, text)) < 1e-12 and abs(r["jaccard_next"] - jaccard(own, after)) < 1e-12
+        for near in ("edited", "next"):
+            assert 4 * r[f"bands_{near}"] <= round(128 * r[f"near_{near}"]) and (r[f"bands_{near}"] or r[f"jaccard_{near}"] < 0.8)
         if own == after:
             assert r["near_next"] == 1.0
     assert abs(np.mean(errors)) < 0.01 and np.std(errors) < 0.05
