@@ -57,22 +57,22 @@ def ngram_counts(texts: list[str | None]) -> np.ndarray:
     """Counts of hashed n-grams, one row per text; a row without letters is zero."""
     lowered = [t.lower() if has_letter(t) else "" for t in texts]
     data, offsets = utf8(pa.array(lowered, pa.string()))
-    data = _BLANK[data].astype(np.int64)
-    row = np.repeat(np.arange(len(texts)), np.diff(offsets))
+    data = _BLANK[data].astype(np.int32)  # a code of three bytes fits
+    row = np.repeat(np.arange(len(texts), dtype=np.int32), np.diff(offsets))
     # a run of blanks counts as one
     stay = np.ones(len(data), bool)
     stay[1:] = (data[1:] != 0x20) | (data[:-1] != 0x20) | (row[1:] != row[:-1])
     data, row = data[stay], row[stay]
-    found = []
+    counts = np.zeros((len(texts), FEATURES), np.int64)
     base, code = 0, data
     for n, width in enumerate(WIDTHS, 1):
         if n > 1:
             code = code[:-1] * 256 + data[n - 1 :]
-        same = row[: len(code)] == row[n - 1 :] if n > 1 else np.ones(len(code), bool)
-        feature = code if n == 1 else (code * 0x9E3779B1 >> 13) % width
-        found.append((row[: len(code)] * FEATURES + base + feature)[same])
+        feature = code if n == 1 else (code.astype(np.int64) * 0x9E3779B1 >> 13) % width
+        place = (row[: len(code)].astype(np.int64) * width + feature)[row[: len(code)] == row[n - 1 :]]
+        counts[:, base : base + width] = np.bincount(place, minlength=len(texts) * width).reshape(len(texts), width)
         base += width
-    return np.bincount(np.concatenate(found), minlength=len(texts) * FEATURES).reshape(len(texts), FEATURES)
+    return counts
 
 
 def chunks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
