@@ -1,12 +1,12 @@
 """Substring dedup: repeated word windows, found by Rabin-Karp hashes counted in Spark.
 
-Documents are dealt by hash into slices of about 2 MB of text. A slice sends
+Documents are dealt by hash into slices of about 4 MB of text. A slice sends
 each distinct hash once, with a mark if it holds it several times, packed into
 one binary value per counting bucket. A bucket answers with one bit per hash:
 whether it occurs again anywhere. So a window that a third of all documents
 share costs one entry per slice, and a window costs little more than its hash.
-There are as many buckets as the bytes of text call for, one to a task, so a
-bucket does not grow with the corpus.
+There are as many buckets as the bytes of text call for, one to a task, and a
+fixed number of slices to a task, so no task grows with the corpus.
 
 Only windows that may repeat are sent. The words of a window choose an anchor,
 the short run of words with the smallest hash in it. Equal windows choose equal
@@ -30,14 +30,16 @@ ANCHOR_SEED = 303
 #: Words of an anchor, at most; a small window has anchors of half its size.
 ANCHOR_WORDS = 8
 #: Text of a slice, on average, in bytes, and its documents.
-SLICE_BYTES = 2 << 20
-SLICE_ROWS = 4096
+SLICE_BYTES = 4 << 20
+SLICE_ROWS = 8192
+#: Slices of a task.
+SLICES = 2
 #: Hashes that a bucket gets if every word starts a window to count, and a word and its blank take four bytes.
 BUCKET_BYTES = 32 << 20
 WORD_BYTES = 4
 
-SENT = "bucket long, slice long, hashes binary, several binary"
-ANSWER = "slice long, bucket long, again binary"
+SENT = "bucket int, slice int, hashes binary, several binary"
+ANSWER = "slice int, bucket int, again binary"
 
 
 def blank_words(texts: pa.Array) -> Words:
@@ -120,8 +122,8 @@ def sent(slice_id: int, hashes: np.ndarray, buckets: int) -> pa.Table:
     stop = np.append(at[1:], len(bucket))
     return pa.table(
         {
-            "bucket": pa.array(bucket[at], pa.int64()),
-            "slice": pa.array(np.full(len(at), slice_id), pa.int64()),
+            "bucket": pa.array(bucket[at], pa.int32()),
+            "slice": pa.array(np.full(len(at), slice_id), pa.int32()),
             "hashes": pa.array([hashes[a:b].tobytes() for a, b in zip(at, stop, strict=False)], pa.binary()),
             "several": pa.array([np.packbits(several[a:b]).tobytes() for a, b in zip(at, stop, strict=False)], pa.binary()),
         }
@@ -151,7 +153,7 @@ def answered(sent_hashes: DataFrame, width: int, buckets: int) -> DataFrame:
         bits = pa.array([np.packbits(again[b - n : b]).tobytes() for b, n in zip(ends, sizes, strict=True)], pa.binary())
         yield from pa.table({"slice": table.column("slice"), "bucket": table.column("bucket"), "again": bits}).to_batches()
 
-    return sent_hashes.repartitionById(buckets, F.col("bucket").cast("int")).mapInArrow(count, ANSWER)
+    return sent_hashes.repartitionById(buckets, "bucket").mapInArrow(count, ANSWER)
 
 
 def marked(hashes: np.ndarray, answer: list[dict], buckets: int) -> np.ndarray:
@@ -207,7 +209,10 @@ def repeated_windows(
     buckets = buckets or max(-(-size // WORD_BYTES * 16 // BUCKET_BYTES), 1)
     folded = not rows.groupBy("doc_id", F.xxhash64("text")).count().filter("count > 1").isEmpty()
     rows = rows.groupBy("doc_id", "text").agg(F.count("*").alias("copies")) if folded else rows.withColumn("copies", F.lit(1).cast("long"))
-    dealt = rows.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_slices)).alias("slice"), "doc_id", "text", "copies")
+    # a slice number says which task it goes to; grouping by it moves nothing more
+    tasks = -(-n_slices // SLICES)
+    number = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_slices)).cast("int").alias("slice")
+    dealt = rows.select(number, "doc_id", "text", "copies").repartitionById(tasks, "slice")
 
     def send_anchors(key: tuple, table: pa.Table) -> pa.Table:
         found = [part.anchors() for _, part in parts(doubled(table), window)]
@@ -238,11 +243,14 @@ def repeated_windows(
             out.append(without(batch, part.words, np.cumsum(edge)[:-1] > 0))
         return pa.Table.from_batches(out)
 
+    def by_slice(answers: DataFrame):
+        return answers.repartitionById(tasks, "slice").groupBy("slice")
+
     anchor_answers = answered(dealt.groupBy("slice").applyInArrow(send_anchors, SENT), 1, buckets)
-    window_answers = answered(dealt.groupBy("slice").cogroup(anchor_answers.groupBy("slice")).applyInArrow(send_windows, SENT), 2, buckets)
+    window_answers = answered(dealt.groupBy("slice").cogroup(by_slice(anchor_answers)).applyInArrow(send_windows, SENT), 2, buckets)
     told = anchor_answers.withColumn("windows", F.lit(False)).union(window_answers.withColumn("windows", F.lit(True)))
     columns = "doc_id long, n_words long, n_removed long, removed array<struct<start:int,stop:int>>, kept string"
-    out = dealt.groupBy("slice").cogroup(told.groupBy("slice")).applyInArrow(cut, f"{columns}, copies long")
+    out = dealt.groupBy("slice").cogroup(by_slice(told)).applyInArrow(cut, f"{columns}, copies long")
     each = out.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))) if folded else out
     return each.drop("copies", "copy")
 
