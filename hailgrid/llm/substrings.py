@@ -1,6 +1,6 @@
 """Substring dedup: repeated word windows, found by Rabin-Karp hashes counted in Spark.
 
-Documents are dealt by hash into slices of about 4 MB of text. A slice sends
+Documents are dealt by hash into slices of about 2 MB of text. A slice sends
 each distinct hash once, with a mark if it holds it several times, packed into
 one binary value per counting bucket. A bucket answers with one bit per hash:
 whether it occurs again anywhere. So a window that a third of all documents
@@ -30,10 +30,10 @@ ANCHOR_SEED = 303
 #: Words of an anchor, at most; a small window has anchors of half its size.
 ANCHOR_WORDS = 8
 #: Text of a slice, on average, in bytes, and its documents.
-SLICE_BYTES = 4 << 20
-SLICE_ROWS = 8192
+SLICE_BYTES = 2 << 20
+SLICE_ROWS = 4096
 #: Slices of a task.
-SLICES = 2
+SLICES = 4
 #: Hashes that a bucket gets if every word starts a window to count, and a word and its blank take four bytes.
 BUCKET_BYTES = 32 << 20
 WORD_BYTES = 4
@@ -204,10 +204,12 @@ def repeated_windows(
     all three steps.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    n_rows, size = rows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    # one scan for the size of the table and whether rows are alike
+    each = rows.groupBy("doc_id", F.xxhash64("text")).agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("size"))
+    n_rows, size, most = (x or 0 for x in each.agg(F.sum("n"), F.sum("size"), F.max("n")).first())
     n_slices = max(-(-n_rows // slice_rows), -(-size // slice_bytes), 1)
     buckets = buckets or max(-(-size // WORD_BYTES * 16 // BUCKET_BYTES), 1)
-    folded = not rows.groupBy("doc_id", F.xxhash64("text")).count().filter("count > 1").isEmpty()
+    folded = most > 1
     rows = rows.groupBy("doc_id", "text").agg(F.count("*").alias("copies")) if folded else rows.withColumn("copies", F.lit(1).cast("long"))
     # a slice number says which task it goes to; grouping by it moves nothing more
     tasks = -(-n_slices // SLICES)
@@ -251,8 +253,8 @@ def repeated_windows(
     told = anchor_answers.withColumn("windows", F.lit(False)).union(window_answers.withColumn("windows", F.lit(True)))
     columns = "doc_id long, n_words long, n_removed long, removed array<struct<start:int,stop:int>>, kept string"
     out = dealt.groupBy("slice").cogroup(by_slice(told)).applyInArrow(cut, f"{columns}, copies long")
-    each = out.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))) if folded else out
-    return each.drop("copies", "copy")
+    whole = out.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))) if folded else out
+    return whole.drop("copies", "copy")
 
 
 def without(batch: pa.RecordBatch, words: Words, gone: np.ndarray) -> pa.RecordBatch:
