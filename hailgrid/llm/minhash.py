@@ -186,7 +186,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     Candidates share a band of the signature; their Jaccard similarity is then
     computed from all shingles. Equal texts are one class, named by its
     smallest doc_id: returns a, b (class names, a < b) and jaccard. At 0.8, a
-    pair is missed with a probability below one in a million.
+    pair is missed with a probability below one in a million. Null texts and
+    texts without words are like none. Pairs are listed, so a band that many
+    different texts share costs as many candidates as they have pairs.
     """
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,10 +196,11 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             shingles = shingle_hashes(batch.column("text"))
             sets = [x.view(np.int64) for x in shingle_sets(*shingles)]
             bands = banded(signatures(*shingles)).view(np.int64)
-            yield pa.RecordBatch.from_arrays(
+            signed = pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(list(bands), pa.list_(pa.int64())), pa.array(sets, pa.list_(pa.int64()))],
                 names=["doc_id", "bands", "shingles"],
             )
+            yield signed.filter(pa.array(shingles[1] > 0))
 
     distinct = docs.filter("text is not null").groupBy("text").agg(F.min(F.col("doc_id").cast("long")).alias("doc_id"))
     signed = stored(distinct.mapInArrow(sign, "doc_id long, bands array<long>, shingles array<long>"), "minhash")

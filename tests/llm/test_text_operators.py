@@ -272,7 +272,7 @@ def test_edited_odd(spark):
 
 def test_near_duplicates(spark):
     words = [f"w{k}" for k in range(400)]
-    texts = [" ".join(words), " ".join(words[:395]), " ".join(words[:200]), " ".join(words), "w1 w2", None, " ".join(words[5:])]
+    texts = [" ".join(words), " ".join(words[:395]), " ".join(words[:200]), " ".join(words), "w1 w2", None, " ".join(words[5:]), "", "  ", "\n"]
     docs = frame(spark, list(enumerate(texts)))
     got = {(r["a"], r["b"]): r["jaccard"] for r in minhash.near_duplicates(docs).collect()}
     assert set(got) == {(0, 1), (0, 6), (1, 6)}
